@@ -21,17 +21,22 @@ from gridspark.dims import AREA_CODES, lookup
 from gridspark.functions.text import is_utf8, is_zip
 
 WHOLE_FILE_LIMIT = 32 * 1024 * 1024
+ARCHIVE_LIMIT = 1024 * 1024 * 1024
+ARCHIVE_GLOB = "*.[zZ][iI][pP]"
 PIECE_BYTES = 4 * 1024 * 1024
 HEAD_LINES = 8
 PIECES = "path string, seg bigint, head binary, utf8 boolean, content binary"
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def scan_files(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """Non-empty files up to `limit` bytes; the length test reaches the scan, so
-    larger files are not read here (see `gridspark.sources.lines.scan_large`)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.filter(F.col("length").between(1, limit))
+def scan_files(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT,
+               over: int = 0, name_glob: str | None = None) -> DataFrame:
+    """Files of more than `over` and at most `limit` bytes. The size test reaches the
+    scan: the bytes of other files are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
+    return reader.load(path).filter((F.col("length") > over) & (F.col("length") <= limit))
 
 
 def area_of_path(path: Column) -> Column:
@@ -124,9 +129,23 @@ def archive_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFram
 
 
 def scan_pieces(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """Pieces of every file up to `limit`, archives opened."""
+    """Pieces of every plain file up to `limit` and of every archive.
+
+    Plain files over the limit belong to `gridspark.sources.lines.scan_large`. An archive
+    has to be opened as a whole, so its own limit is higher; see `oversize_archives`.
+    """
     files = scan_files(spark, path, limit)
-    return whole_pieces(files).unionByName(archive_pieces(files))
+    large_archives = scan_files(spark, path, ARCHIVE_LIMIT, over=limit, name_glob=ARCHIVE_GLOB)
+    return whole_pieces(files).unionByName(archive_pieces(files)).unionByName(archive_pieces(large_archives))
+
+
+def oversize_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Archives too large to open, for the reject report; only their names are read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = reader.option("pathGlobFilter", ARCHIVE_GLOB).load(path)
+    return files.filter(F.col("length") > ARCHIVE_LIMIT).select(
+        "path", "length", F.lit("archive_too_large").alias("issue")
+    )
 
 
 def store_payloads(files: DataFrame, target: str, dir_name: Column, day: Column) -> None:

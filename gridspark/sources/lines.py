@@ -90,7 +90,8 @@ def scan_large(spark: SparkSession, path: str | list[str], over: int = WHOLE_FIL
     cutting lines before decoding is safe.
     """
     scan = spark.read.option("recursiveFileLookup", "true").text(path)
-    return scan.filter(F.col("_metadata.file_size") > over).select(
+    archive = F.lower("_metadata.file_path").endswith(".zip")
+    return scan.filter((F.col("_metadata.file_size") > over) & ~archive).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("seg"),
         F.monotonically_increasing_id().alias("line_no"),
@@ -107,12 +108,23 @@ def decode_lines(raw: DataFrame, charset: str | None = None) -> DataFrame:
     return raw.join(verdicts, "path").withColumn("line", text).drop("raw", "utf8")
 
 
-def nth_line_heads(lines: DataFrame, n: int) -> DataFrame:
-    """Per file the n-th non-blank line. The rank is limited before the shuffle."""
+def nth_line_heads(lines: DataFrame, n: int, skip_blank: bool = True) -> DataFrame:
+    """Per file the n-th line as `header`, with all lines up to it as `head`.
+
+    The rank is limited per task before the shuffle, so n lines per file are gathered.
+    """
     order = Window.partitionBy("path").orderBy("seg", "line_no")
-    first = lines.filter((F.col("seg") == 0) & (F.trim("line") != "")).withColumn("n", F.row_number().over(order))
-    return first.filter(F.col("n") <= n).filter(F.col("n") == n).select(
-        "path", F.col("line_no").alias("head_at"), F.col("line").alias("header")
+    counted = (F.trim("line") != "") if skip_blank else F.lit(True)
+    first = (
+        lines.filter((F.col("seg") == 0) & counted)
+        .withColumn("n", F.row_number().over(order))
+        .filter(F.col("n") <= n)
+    )
+    gathered = first.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("n", "line_no", "line"))).alias("h"))
+    last = F.get("h", F.lit(n - 1))
+    return gathered.filter(F.size("h") == n).select(
+        "path", last["line_no"].alias("head_at"), last["line"].alias("header"),
+        F.transform("h", lambda entry: entry["line"]).alias("head"),
     )
 
 

@@ -14,7 +14,7 @@ from gridspark.functions.text import JAPANESE, cell, cells, joined_key
 from gridspark.functions.wind import bearing_cos, bearing_sin
 from gridspark.schemas import TABLES
 from gridspark.sources.files import WHOLE_FILE_LIMIT
-from gridspark.sources.lines import alias_positions, nth_line, piece_lines, scan_pieces
+from gridspark.sources.lines import alias_positions, headed_lines, nth_line, nth_line_heads
 
 TABLE = TABLES["jma_weather"]
 ORDER = ["path", "seg", "line_no"]
@@ -61,14 +61,20 @@ def positions(upper_line: Column, lower_line: Column, interval: str) -> Column:
 
 
 def scan(spark: SparkSession, path: str | list[str], interval: str, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """Lines of landed files named `jma_weather_{station}_...`; one file is one station-month."""
-    lines = piece_lines(
-        scan_pieces(spark, path, limit), nth_line(LOWER_HEADER_LINE, skip_blank=False),
-        lambda head, at: positions(F.get(head, F.lit(UPPER_HEADER_LINE - 1)), F.get(head, F.lit(LOWER_HEADER_LINE - 1)), interval),
-        JAPANESE,
+    """Lines of landed files; the station number is part of the file name."""
+
+    def place(head: Column) -> Column:
+        return positions(F.get(head, F.lit(UPPER_HEADER_LINE - 1)), F.get(head, F.lit(LOWER_HEADER_LINE - 1)), interval)
+
+    lines = headed_lines(
+        spark, path, nth_line(LOWER_HEADER_LINE, skip_blank=False), lambda head, at: place(head),
+        lambda large: nth_line_heads(large, LOWER_HEADER_LINE, skip_blank=False), place(F.col("head")), limit, JAPANESE,
     )
-    station = F.regexp_extract(F.substring_index("path", "/", -1), r"(\d{5})", 1)
-    return lines.withColumn("station_id", station)
+    return lines.withColumn("station_id", station_of_path(F.col("path")))
+
+
+def station_of_path(path: Column) -> Column:
+    return F.regexp_extract(F.substring_index(path, "/", -1), r"(?:^|\D)(\d{5})(?!\d)", 1)
 
 
 def parse(lines: DataFrame, interval: str) -> DataFrame:
