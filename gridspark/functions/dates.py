@@ -6,21 +6,21 @@ from pyspark.sql import Column, functions as F
 
 from gridspark.functions.numbers import fold_digits
 
-SLASHED_DATE = r"^\s*\d{4}/\d{1,2}/\d{1,2}\s*$"
-SLASHED_STAMP = r"^\s*\d{4}/\d{1,2}/\d{1,2} +\d{1,2}:\d{1,2}(:\d{1,2})?\s*$"
+SLASHED_DATE = r"^\s*(\d{4}/\d{1,2}/\d{1,2})\s*$"
+SLASHED_STAMP = r"^\s*(\d{4}/\d{1,2}/\d{1,2}(?: +\d{1,2}:\d{1,2}(?::\d{1,2})?)?)\s*$"
+COMPACT_DATE = r"^\d{8}$"
 CLOCK = r"^\s*([+-]?\d+)\s*:\s*([+-]?\d+)\s*$"
 
 
 def slashed_date(text: Column) -> Column:
     """`2024/4/1` to a date; anything else is null."""
-    return F.when(text.rlike(SLASHED_DATE), F.translate(F.trim(text), "/", "-").try_cast("date"))
+    return F.translate(F.regexp_extract(text, SLASHED_DATE, 1), "/", "-").try_cast("date")
 
 
 def compact_date(text: Column) -> Column:
     """`20240401` (slashes and blanks tolerated) to a date; anything else is null."""
-    digits = F.translate(F.trim(text), "/", "")
-    dashed = F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2))
-    return F.when(digits.rlike(r"^\d{8}$"), dashed.try_cast("date"))
+    digits = F.regexp_extract(F.translate(F.trim(text), "/", ""), COMPACT_DATE, 0)
+    return F.regexp_replace(digits, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3").try_cast("date")
 
 
 def compact_text(day: Column) -> Column:
@@ -74,10 +74,8 @@ def observed_at(text: Column, interval: str) -> Column:
     """Observation time: date and clock for hourly files, date only for daily ones."""
     if interval not in ("hourly", "daily"):
         raise ValueError(f"unknown interval: {interval}")
-    dashed = F.translate(F.trim(text), "/", "-").try_cast("timestamp_ntz")
-    if interval == "daily":
-        return F.when(text.rlike(SLASHED_DATE), dashed)
-    return F.when(text.rlike(SLASHED_STAMP) | text.rlike(SLASHED_DATE), dashed)
+    pattern = SLASHED_DATE if interval == "daily" else SLASHED_STAMP
+    return F.translate(F.regexp_extract(text, pattern, 1), "/", "-").try_cast("timestamp_ntz")
 
 
 def clamp_future_year(day: Column, year: int) -> Column:

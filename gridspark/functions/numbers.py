@@ -15,6 +15,7 @@ def fold_digits(text: Column) -> Column:
 
 
 def number_or_null(text: Column) -> Column:
+    # The pattern comes first: a failing cast costs an exception per cell.
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
@@ -23,13 +24,17 @@ def clean_number(text: Column) -> Column:
     return F.coalesce(number_or_null(F.translate(text, FULL_WIDTH + ",", ASCII)), F.lit(0.0))
 
 
+def exact_number(text: Column) -> Column:
+    return F.when(text.rlike(NUMBER), F.trim(text).try_cast("decimal(38,10)"))
+
+
 def exact_int(text: Column) -> Column:
     """Whole part of a decimal text, toward zero; null for blank or invalid text."""
-    return F.trim(text).try_cast("decimal(38,10)").try_cast("bigint")
+    return exact_number(text).try_cast("bigint")
 
 
 def exact_decimal(text: Column, kind: str) -> Column:
-    return F.trim(text).try_cast("decimal(38,10)").try_cast(kind)
+    return exact_number(text).try_cast(kind)
 
 
 def int_or_zero(text: Column, kind: str = "int") -> Column:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gridspark.constants import NA_TOKENS
 
 JAPANESE = "windows-31j"
 BOM = "﻿"
-CELL_OPTIONS = {"ignoreLeadingWhiteSpace": "true", "escape": '"', "mode": "PERMISSIVE"}
+# A comma, then a quoted cell with doubled quotes inside, or a plain one.
+QUOTED_CELL = r', *("[^"]*+(?:""[^"]*+)*+" *|[^,]*)'
 
 
 def is_utf8(content: Column) -> Column:
@@ -38,14 +41,20 @@ def lines_of(text: Column) -> Column:
     return F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n")
 
 
-def cells(line: Column, width: int) -> Column:
-    """Comma-separated cells as an array; only lines with quotes pay for a CSV parse."""
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    parsed = F.transform(
-        F.array(F.from_csv(line, schema, CELL_OPTIONS)),
-        lambda row: F.array(*[F.coalesce(row[f"c{i}"], F.lit("")) for i in range(width)]),
-    )
-    return F.when(line.contains('"'), F.get(parsed, F.lit(0))).otherwise(F.split(line, ","))
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` worked out once, however often `use` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _unquoted(raw: Column) -> Column:
+    inner = F.regexp_extract(raw, r'^"(.*)" *$', 1)
+    return F.when(raw.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(raw)
+
+
+def cells(line: Column) -> Column:
+    """Comma-separated cells; only lines that hold quotes are matched cell by cell."""
+    quoted = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(QUOTED_CELL), F.lit(1))
+    return F.when(line.contains('"'), F.transform(quoted, _unquoted)).otherwise(F.split(line, ","))
 
 
 def cell(array: Column, position: int | Column) -> Column:
@@ -53,6 +62,11 @@ def cell(array: Column, position: int | Column) -> Column:
     return F.trim(F.get(array, F.lit(position) if isinstance(position, int) else position))
 
 
+def cells_at(array: Column, places: Column, read: Callable[[Column], Column]) -> Column:
+    """The cells at `places`, trimmed and read alike: one small expression for many columns."""
+    return F.transform(places, lambda place: read(F.trim(F.get(array, place))))
+
+
 def joined_key(*parts: Column) -> Column:
     """Parts joined by `_`; null if any part is null, unlike concat_ws."""
     pieces = [parts[0]]
@@ -79,3 +93,12 @@ def fixed_or_na(value: Column, digits: int = 2) -> Column:
 
 def thousands_or_na(value: Column) -> Column:
     return F.when(value.isNull(), "N/A").otherwise(F.format_number(value, 0))
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows behind a generator, which later filters are not pushed through.
+
+    Without it a filter on a derived column repeats the derivation, text parsing
+    included, below the projection that already holds it.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{name}`") for name in df.columns]))))

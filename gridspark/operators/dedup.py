@@ -26,9 +26,9 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str | Column]) -> Data
     return keep_first(df, keys, [column.desc() for column in _columns(order)])
 
 
-def first_usable(candidates: DataFrame, keys: list[str], priority: str, usable: Column) -> DataFrame:
+def first_usable(candidates: DataFrame, keys: list[str], priority: list[str | Column], usable: Column) -> DataFrame:
     """The best-ranked usable candidate per key, e.g. the first non-empty file version."""
-    return keep_first(candidates.filter(usable), keys, [priority])
+    return keep_first(candidates.filter(usable), keys, priority)
 
 
 def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
 from gridspark.operators.dedup import keep_first, keep_last
-from gridspark.schemas import Table, enforce, require_columns
+from gridspark.schemas import MONTH, Table, missing_columns, require_columns
 
 PARTITIONS_TO_PRUNE = 1000
 Order = list[str | Column]
@@ -80,24 +80,41 @@ def watermark_append(target: DataFrame, batch: DataFrame, keys: list[str], day:
 
 def affected_counts(target: DataFrame, batch: DataFrame, keys: list[str], order: Order) -> DataFrame:
     """One row: batch rows, rows that insert-ignore adds, rows it leaves out."""
-    sent = batch.agg(F.count(F.lit(1)).alias("sent"))
+    sent = batch.agg(F.count(F.lit(1)).alias("sent")).scalar()
     added = new_rows(target, batch, keys, order).agg(F.count(F.lit(1)).alias("inserted"))
-    return sent.join(added, how="inner", on=F.lit(True)).withColumn("ignored", F.col("sent") - F.col("inserted"))
+    return added.withColumn("sent", sent).withColumn("ignored", F.col("sent") - F.col("inserted"))
 
 
 # --- onto parquet ------------------------------------------------------------------
 
 
 def read_table(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    """The stored table, or an empty one where nothing has been written yet."""
+    """The stored table with its month, or an empty one where nothing has been written yet."""
     try:
-        return enforce(spark.read.schema(table.schema).parquet(path), table)
+        return spark.read.schema(table.stored_schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return table.empty(spark)
+            return spark.createDataFrame([], table.stored_schema)
         raise
 
 
+def stored_form(batch: DataFrame, table: Table, extra: list[str]) -> DataFrame:
+    """Declared columns, the month the files are laid out by, and columns that order the batch."""
+    require_columns(batch, table.key)
+    absent = {name.lower() for name in missing_columns(batch, table.columns)}
+    typed = [
+        (F.lit(None) if f.name.lower() in absent else F.col(f.name)).cast(f.dataType).alias(f.name)
+        for f in table.schema
+    ]
+    rows = batch.select(*typed, *[name for name in extra if name not in table.columns])
+    return rows.withColumn(MONTH, month_of(F.col("date"))) if MONTH in table.partitions else rows
+
+
+def month_of(day: Column) -> Column:
+    """`YYYYMM` of a date or of a date text with or without separators."""
+    return F.substring(F.translate(day.cast("string"), "-/", ""), 1, 6)
+
+
 def touched(target: DataFrame, batch: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
     """The target's partitions that the batch falls into.
 
@@ -114,34 +131,41 @@ def touched(target: DataFrame, batch: DataFrame, partitions: tuple[str, ...]) ->
     return target
 
 
+def _write(rows: DataFrame, path: str, table: Table, mode: str) -> None:
+    """Write clustered by partition, so that a partition gets few files; the engine
+    splits partitions that are too large for one task."""
+    clustered = rows.hint("rebalance", *table.partitions) if table.partitions else rows
+    writer = clustered.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*table.partitions).parquet(path)
+
+
 def append_into(batch: DataFrame, path: str, table: Table) -> None:
     """Plain append by column name, without a duplicate check."""
-    enforce(batch, table).write.mode("append").partitionBy(*table.partitions).parquet(path)
+    _write(stored_form(batch, table, []), path, table, "append")
 
 
-def insert_into(spark: SparkSession, batch: DataFrame, path: str, table: Table, order: Order) -> None:
+def insert_into(spark: SparkSession, batch: DataFrame, path: str, table: Table, order: list[str]) -> None:
     """Append the rows with unknown keys. Running it again adds nothing."""
-    target = touched(read_table(spark, path, table), batch, table.partitions)
-    append_into(new_rows(target, batch, list(table.key), order), path, table)
+    rows = stored_form(batch, table, order)
+    target = touched(read_table(spark, path, table), rows, table.partitions)
+    added = new_rows(target, rows, list(table.key), order)
+    _write(added.select(*table.stored_schema.names), path, table, "append")
 
 
-def upsert_into(spark: SparkSession, batch: DataFrame, path: str, table: Table, order: Order) -> None:
-    """Rewrite the touched partitions with the batch merged in.
+def upsert_into(spark: SparkSession, batch: DataFrame, path: str, table: Table, order: list[str],
+                columns: list[str] | None = None) -> None:
+    """Rewrite the touched partitions with the batch merged in, whole rows or some columns.
 
-    The table has to be partitioned by key columns, so that a key never changes its
-    partition. Files are swapped when the job commits; lost tasks are simply run again.
+    Partitions must follow from the key, so that a key never changes its partition.
+    Files are swapped when the job commits; a lost task is simply run again.
     """
-    loose = [column for column in table.partitions if column not in table.key]
-    if not table.partitions or loose:
-        raise ValueError(f"{table.name} needs partitions that are part of its key, not {table.partitions}")
-    target = touched(read_table(spark, path, table), batch, table.partitions)
-    merged = enforce(upsert(target, enforce_with(batch, table, order), list(table.key), order), table)
-    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*table.partitions).parquet(path)
-
-
-def enforce_with(batch: DataFrame, table: Table, order: Order) -> DataFrame:
-    """The declared columns plus those that order the batch."""
-    extra = [name for name in order if isinstance(name, str) and name not in table.columns]
-    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema]
-    return require_columns(batch, table.columns).select(*typed, *extra)
+    if not table.partitions:
+        raise ValueError(f"{table.name} has no partitions to rewrite")
+    rows = stored_form(batch, table, order)
+    target = touched(read_table(spark, path, table), rows, table.partitions)
+    keys = [*table.key, *[name for name in table.partitions if name not in table.key]]
+    if columns:
+        merged = upsert_columns(target, rows, keys, columns, order)
+    else:
+        merged = upsert(target, rows, keys, order)
+    _write(merged.select(*table.stored_schema.names), path, table, "overwrite")

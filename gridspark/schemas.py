@@ -15,6 +15,7 @@ REAL = T.DoubleType()
 DATE = T.DateType()
 STAMP = T.TimestampType()
 PRICE = T.DecimalType(9, 2)
+MONTH = "month"
 SLOT_COLUMNS = [f"slot{n}" for n in range(1, 49)]
 BID_POINT = T.StructType([T.StructField(n, TEXT) for n in ("price", "sell_qty", "buy_qty")])
 
@@ -32,6 +33,12 @@ class Table:
     def columns(self) -> list[str]:
         return self.schema.names
 
+    @property
+    def stored_schema(self) -> T.StructType:
+        """Declared columns plus the month folder, which the key's date determines."""
+        month = [T.StructField(MONTH, TEXT)] if MONTH in self.partitions else []
+        return T.StructType([*self.schema.fields, *month])
+
     def empty(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([], self.schema)
 
@@ -53,10 +60,10 @@ PRICE_COLUMNS = [name for _, _, name in PRICE_CELLS]
 TABLES = {
     table.name: table
     for table in [
-        Table("jepx_da_price", _schema(*[(n, _price_type(n)) for n in PRICE_COLUMNS]), ("date", "slot")),
+        Table("jepx_da_price", _schema(*[(n, _price_type(n)) for n in PRICE_COLUMNS]), ("date", "slot"), (MONTH,)),
         Table("jepx_bid_data",
               _schema(("id", TEXT), ("date", TEXT), ("slot", INT), ("area_code", INT),
-                      ("bid", T.ArrayType(BID_POINT))), ("id",)),
+                      ("bid", T.ArrayType(BID_POINT))), ("id",), (MONTH,)),
         Table("downloaded_files",
               _schema(("id", LONG), ("dir_name", TEXT), ("date", DATE), ("filename", TEXT),
                       ("status", TEXT), ("downloaded_at", STAMP)), ("id",)),
@@ -67,7 +74,7 @@ TABLES = {
               _schema(("primary_key", TEXT), ("station_id", TEXT), ("date", TEXT), ("time", TEXT),
                       ("temperature", REAL), ("sunshine_duration", REAL), ("global_solar_radiation", REAL),
                       ("wind_speed", REAL), ("wind_direction_sin", REAL), ("wind_direction_cos", REAL),
-                      ("weather_description", TEXT), ("snowfall_depth", REAL)), ("primary_key",)),
+                      ("weather_description", TEXT), ("snowfall_depth", REAL)), ("primary_key",), (MONTH,)),
         Table("tso_areas",
               _schema(("id", INT), ("tso_id", TEXT), ("name", TEXT), ("area_code", INT), ("region", TEXT)),
               ("id",)),
@@ -75,7 +82,7 @@ TABLES = {
         Table("tso_area_data",
               _schema(("area_code", INT), ("master_key", TEXT), ("date", TEXT), ("slot", INT),
                       *[(n, REAL) for n in SUPPLY_MEASURES]),
-              ("area_code", "master_key"), ("area_code",)),
+              ("area_code", "master_key"), ("area_code", MONTH)),
         Table("tso_data",
               _schema(("master_key", TEXT), ("date", DATE), ("slot", INT),
                       *[(f"{a}_{n}", REAL) for a in range(1, 10) for n in SUPPLY_MEASURES]),
@@ -83,7 +90,7 @@ TABLES = {
         Table("occto_30min_generation",
               _schema(("master_key", TEXT), ("date", TEXT), ("plant_code", TEXT), ("unit_num", TEXT),
                       ("area_code", INT), ("plant_name", TEXT), ("gen_method", TEXT),
-                      *[(n, INT) for n in SLOT_COLUMNS], ("total", LONG)), ("master_key",)),
+                      *[(n, INT) for n in SLOT_COLUMNS], ("total", LONG)), ("master_key",), (MONTH,)),
         Table("occto_interconnection",
               _schema(("date", DATE), ("hour", INT), ("line_id", TEXT), ("forecast", T.DecimalType(10, 2)),
                       ("actual", T.DecimalType(10, 2))), ("date", "hour", "line_id")),

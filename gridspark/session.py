@@ -28,6 +28,7 @@ def local_session(cores: str = "*", app_name: str = "gridspark") -> SparkSession
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

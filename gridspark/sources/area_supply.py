@@ -8,11 +8,11 @@ from gridspark.constants import ARCHIVE_ALIASES, ARCHIVE_AREA, COMPACT_DATE_AREA
 from gridspark.functions.dates import clamp_future_year, compact_date, compact_text, repair_clock, slashed_date, \
     slot_of_clock, slot_of_stored_clock
 from gridspark.functions.numbers import clean_number
-from gridspark.functions.text import cell, cells, joined_key
+from gridspark.functions.text import bound, cell, cells, cells_at, joined_key, settled
 from gridspark.operators.dedup import keep_first
 from gridspark.schemas import require_columns
 from gridspark.sources.files import WHOLE_FILE_LIMIT, area_of_path
-from gridspark.sources.lines import HEADER_WIDTH, alias_positions, headed_lines, header_names, nth_line, nth_line_heads
+from gridspark.sources.lines import alias_positions, headed_lines, header_names, nth_line, nth_line_heads
 
 HEADER_LINE = 2
 ORDER = ["path", "seg", "line_no"]
@@ -22,9 +22,11 @@ CANONICAL = ["area_code", "master_key", "date", "slot", *SUPPLY_MEASURES]
 
 def positions(header: Column, area_code: Column) -> Column:
     """Cells of the canonical columns; one area's archive has its own, shorter alias list."""
-    names = header_names(header)
-    return F.when(area_code == ARCHIVE_AREA, alias_positions(names, ARCHIVE_ALIASES)).otherwise(
-        alias_positions(names, SUPPLY_ALIASES)
+    return bound(
+        header_names(header),
+        lambda names: F.when(area_code == ARCHIVE_AREA, alias_positions(names, ARCHIVE_ALIASES)).otherwise(
+            alias_positions(names, SUPPLY_ALIASES)
+        ),
     )
 
 
@@ -45,14 +47,16 @@ def parse(lines: DataFrame) -> DataFrame:
     Needs `area_code, path, seg, line_no, positions, line`.
     """
     names = list(SUPPLY_ALIASES)
-    place = {name: F.get("positions", F.lit(i)) for i, name in enumerate(names)}
-    split = lines.filter(F.trim("line") != "").withColumn("cells", cells(F.col("line"), HEADER_WIDTH))
-    values = {name: cell(F.col("cells"), place[name]) for name in names}
+    date_at, time_at = (F.get("positions", F.lit(names.index(name))) for name in ("date", "slot"))
+    first = names.index(SUPPLY_MEASURES[0])
+    split = lines.filter(F.trim("line") != "").withColumn("cells", cells(F.col("line")))
     compact = F.col("area_code") == COMPACT_DATE_AREA
+    measures = F.slice("positions", first + 1, len(SUPPLY_MEASURES))
     raw = split.select(
-        "area_code", *ORDER, "line", values["date"].alias("raw_date"), values["slot"].alias("raw_time"),
-        (place["date"].isNull() | place["slot"].isNull()).alias("no_key_column"),
-        *[clean_number(values[name]).alias(name) for name in SUPPLY_MEASURES],
+        "area_code", *ORDER, "line", cell(F.col("cells"), date_at).alias("raw_date"),
+        cell(F.col("cells"), time_at).alias("raw_time"),
+        (date_at.isNull() | time_at.isNull()).alias("no_key_column"),
+        cells_at(F.col("cells"), measures, clean_number).alias("numbers"),
     )
     keyed = raw.withColumn(
         "dt", F.when(compact, compact_date(F.col("raw_date"))).otherwise(slashed_date(F.col("raw_date")))
@@ -64,11 +68,15 @@ def parse(lines: DataFrame) -> DataFrame:
         .when(~F.col("slot").between(1, 48), "slot_out_of_range")
     )
     text = compact_text(F.col("dt"))
-    return (
+    return settled(
         keyed.withColumn("date", text)
         .withColumn("master_key", joined_key(text, F.col("slot").cast("string")))
         .withColumn("issue", issue)
-        .select(*CANONICAL, "dt", *ORDER, "line", "issue")
+        .select(
+            "area_code", "master_key", "date", "slot",
+            *[F.coalesce(F.get("numbers", F.lit(i)), F.lit(0.0)).alias(name) for i, name in enumerate(SUPPLY_MEASURES)],
+            "dt", *ORDER, "line", "issue",
+        )
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridspark.functions.numbers import nullable_int
-from gridspark.functions.text import cells, decode_ladder, joined_key, lines_of
+from gridspark.functions.text import cells, decode_ladder, joined_key, lines_of, settled
 from gridspark.sources.files import WHOLE_FILE_LIMIT, scan_pieces
 from gridspark.sources.lines import decode_lines, scan_large
 
@@ -29,7 +29,7 @@ def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIM
 
 def parse(lines: DataFrame) -> DataFrame:
     """Every line as a price step with `issue`; headers fail the number test like any other text."""
-    cell = cells(F.col("line"), 6)
+    cell = cells(F.col("line"))
     split = lines.filter(F.col("line").isNotNull()).withColumn("cells", cell)
     steps = split.select(
         *[F.col(name) for name in lines.columns if name != "line"], "line",
@@ -44,7 +44,7 @@ def parse(lines: DataFrame) -> DataFrame:
         .when(F.col("area_code").isNull(), "invalid_area")
     )
     key = joined_key(F.col("date"), F.col("slot").cast("string"), F.col("area_code").cast("string"))
-    return steps.withColumn("id", key).withColumn("issue", issue).drop("width")
+    return settled(steps.withColumn("id", key).withColumn("issue", issue).drop("width"))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

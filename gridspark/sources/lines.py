@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from gridspark.functions.text import JAPANESE, cells, decode_ladder, lines_of
 from gridspark.sources.files import WHOLE_FILE_LIMIT, scan_pieces
 
-HEADER_WIDTH = 80
 HEADS_TO_BROADCAST = 10_000
 Resolver = Callable[[Column], Column]
 
@@ -32,7 +31,7 @@ def alias_positions(names: Column, aliases: dict[str, list[str]]) -> Column:
 
 def header_names(line: Column) -> Column:
     """Header cells, trimmed and in lower case."""
-    return F.transform(cells(line, HEADER_WIDTH), lambda name: F.lower(F.trim(name)))
+    return F.transform(cells(line), lambda name: F.lower(F.trim(name)))
 
 
 def nth_line(n: int, skip_blank: bool = True) -> Resolver:

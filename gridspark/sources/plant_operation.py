@@ -9,23 +9,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from gridspark.constants import PLANT_ENERGY_MARK, PLANT_HEADERS
 from gridspark.functions.dates import slashed_date
 from gridspark.functions.numbers import number_or_null
-from gridspark.functions.text import cell, cells
+from gridspark.functions.text import bound, cell, cells
 from gridspark.sources.files import WHOLE_FILE_LIMIT
-from gridspark.sources.lines import HEADER_WIDTH, headed_lines, nth_line, nth_line_heads
+from gridspark.sources.lines import headed_lines, nth_line, nth_line_heads
 
 ORDER = ["path", "seg", "line_no"]
 
 
 def positions(header: Column) -> Column:
-    """Cells of the six known columns, then the cells of the energy columns with their labels."""
-    names = F.transform(cells(header, HEADER_WIDTH), lambda name: F.trim(name))
-    known = [(F.nullif(F.array_position(names, F.lit(h)), F.lit(0)) - 1).cast("int") for h in PLANT_HEADERS]
-    numbered = F.transform(names, lambda name, i: F.struct(name.alias("name"), i.alias("at")))
-    energy = F.transform(
-        F.filter(numbered, lambda entry: entry["name"].contains(PLANT_ENERGY_MARK)),
-        lambda entry: F.struct(F.replace(entry["name"], F.lit(PLANT_ENERGY_MARK), F.lit("")).alias("label"), entry["at"].alias("at")),
-    )
-    return F.struct(F.array(*known).alias("known"), energy.alias("energy"))
+    """Cells of the six known columns, then the energy columns' labels and cells."""
+
+    def of(names: Column) -> Column:
+        known = [(F.nullif(F.array_position(names, F.lit(h)), F.lit(0)) - 1).cast("int") for h in PLANT_HEADERS]
+        numbered = F.transform(names, lambda name, i: F.struct(name.alias("name"), i.alias("at")))
+        energy = F.filter(numbered, lambda entry: entry["name"].contains(PLANT_ENERGY_MARK))
+        label = lambda entry: F.replace(entry["name"], F.lit(PLANT_ENERGY_MARK), F.lit(""))
+        labelled = F.transform(energy, lambda entry: F.struct(label(entry).alias("label"), entry["at"].alias("at")))
+        return F.struct(F.array(*known).alias("known"), labelled.alias("energy"))
+
+    return bound(F.transform(cells(header), lambda name: F.trim(name)), of)
 
 
 def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
@@ -37,7 +39,7 @@ def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIM
 
 def parse(lines: DataFrame, processed_on: date) -> DataFrame:
     """Known columns by name, energy columns as a map from end label to kWh."""
-    split = lines.filter(F.trim("line") != "").withColumn("cells", cells(F.col("line"), HEADER_WIDTH))
+    split = lines.filter(F.trim("line") != "").withColumn("cells", cells(F.col("line")))
     known = {
         name: cell(F.col("cells"), F.get(F.col("positions.known"), F.lit(i)))
         for i, name in enumerate(PLANT_HEADERS.values())

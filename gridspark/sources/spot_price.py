@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridspark.constants import PRICE_CELLS, PRICE_HEADER_CELL
 from gridspark.functions.dates import iso_text, slashed_date
 from gridspark.functions.numbers import exact_decimal, exact_int
-from gridspark.functions.text import JAPANESE, cells
-from gridspark.schemas import PRICE_COLUMNS, TABLES
+from gridspark.functions.text import JAPANESE, cells, cells_at, settled
+from gridspark.schemas import PRICE, PRICE_COLUMNS, TABLES
 from gridspark.sources.files import WHOLE_FILE_LIMIT
 from gridspark.sources.lines import first_cell_heads, first_cell_line, headed_lines
 
 TABLE = TABLES["jepx_da_price"]
 ORDER = ["path", "seg", "line_no"]
-WIDTH = 48
+PRICE_KIND = PRICE.simpleString()
 
 
 def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
@@ -28,22 +28,25 @@ def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIM
 
 def parse(lines: DataFrame) -> DataFrame:
     """Every non-blank line as a typed row with `issue`. Needs `path, seg, line_no, line`."""
-    split = lines.withColumn("cells", cells(F.col("line"), WIDTH)).filter(F.exists("cells", lambda c: c != ""))
-    kinds = {field.name: field.dataType for field in TABLE.schema}
-
-    def value(number: int, name: str):
-        text = F.get("cells", F.lit(number))
-        if name == "date":
-            return iso_text(slashed_date(text)).alias(name)
-        if name == "slot":
-            return exact_int(text).try_cast("int").alias(name)
-        if name.endswith("_qty_kwh"):
-            return exact_int(text).alias(name)
-        return exact_decimal(text, kinds[name].simpleString()).alias(name)
-
-    typed = split.select(*ORDER, "line", *[value(number, name) for number, _, name in PRICE_CELLS])
-    issue = F.when(F.col("date").isNull(), "invalid_date").when(F.col("slot").isNull(), "invalid_slot")
-    return typed.withColumn("dt", F.col("date").try_cast("date")).withColumn("issue", issue)
+    split = lines.withColumn("cells", cells(F.col("line"))).filter(F.exists("cells", lambda c: c != ""))
+    whole = [(number, name) for number, _, name in PRICE_CELLS if name.endswith("_qty_kwh")]
+    prices = [(number, name) for number, _, name in PRICE_CELLS if name not in ("date", "slot", *[n for _, n in whole])]
+
+    def read(columns: list[tuple[int, str]], convert) -> Column:
+        return cells_at(F.col("cells"), F.array(*[F.lit(number) for number, _ in columns]), convert)
+
+    typed = split.select(
+        *ORDER, "line", slashed_date(F.get("cells", F.lit(0))).alias("dt"),
+        exact_int(F.get("cells", F.lit(1))).try_cast("int").alias("slot"),
+        read(whole, exact_int).alias("whole"), read(prices, lambda text: exact_decimal(text, PRICE_KIND)).alias("prices"),
+    )
+    place = {name: ("whole", i) for i, (_, name) in enumerate(whole)}
+    place |= {name: ("prices", i) for i, (_, name) in enumerate(prices)}
+    measures = [F.get(place[name][0], F.lit(place[name][1])).alias(name) for name in PRICE_COLUMNS if name in place]
+    issue = F.when(F.col("dt").isNull(), "invalid_date").when(F.col("slot").isNull(), "invalid_slot")
+    return settled(
+        typed.select(iso_text(F.col("dt")).alias("date"), "slot", *measures, "dt", *ORDER, "line", issue.alias("issue"))
+    )
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

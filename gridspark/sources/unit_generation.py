@@ -8,7 +8,7 @@ from gridspark.constants import UNIT_FIELDS, UNIT_SLOT_PREFIX
 from gridspark.dims import generation_type_of
 from gridspark.functions.dates import compact_text, slashed_date
 from gridspark.functions.numbers import int_or_zero, nullable_int
-from gridspark.functions.text import decode_ladder, joined_key, or_na
+from gridspark.functions.text import decode_ladder, joined_key, or_na, settled
 from gridspark.schemas import SLOT_COLUMNS, TABLES
 from gridspark.sources.files import WHOLE_FILE_LIMIT, scan_pieces
 
@@ -45,15 +45,20 @@ def transform(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     dt = slashed_date(field(source["date"]))
     text = compact_text(dt)
     key = joined_key(text, or_na(field(source["plant_code"])), or_na(field(source["unit_num"])))
-    slots = [int_or_zero(field(name)).alias(column) for name, column in slot_fields().items()]
-    return raw.select(
-        *kept, key.alias("master_key"), text.alias("date"), field(source["plant_code"]).alias("plant_code"),
+    fields = F.array(*[F.lit(name) for name in slot_fields()])
+    typed = raw.select(
+        *kept, "item", dt.alias("dt"), text.alias("date"), key.alias("master_key"),
+        F.transform(fields, lambda name: int_or_zero(F.try_element_at("item", name))).alias("slots"),
+    )
+    return settled(typed.select(
+        *kept, "master_key", "date", field(source["plant_code"]).alias("plant_code"),
         field(source["unit_num"]).alias("unit_num"), nullable_int(field(source["area_code"])).alias("area_code"),
         field(source["plant_name"]).alias("plant_name"),
         generation_type_of(field(source["gen_method"])).alias("gen_method"),
-        *slots, int_or_zero(field(source["total"]), "bigint").alias("total"), dt.alias("dt"),
-        F.when(dt.isNull(), "invalid_date").alias("issue"),
-    )
+        *[F.get("slots", F.lit(i)).alias(name) for i, name in enumerate(SLOT_COLUMNS)],
+        int_or_zero(field(source["total"]), "bigint").alias("total"), "dt",
+        F.when(F.col("dt").isNull(), "invalid_date").alias("issue"),
+    ))
 
 
 def accepted(transformed: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from gridspark.constants import DAILY_SPELLINGS, PUNCTUATION_SPELLINGS, QUALITY_
     UNIT_SPELLINGS, WEATHER_ALIASES
 from gridspark.functions.dates import observed_at
 from gridspark.functions.numbers import number_or_null
-from gridspark.functions.text import JAPANESE, cell, cells, joined_key
+from gridspark.functions.text import JAPANESE, bound, cell, cells, cells_at, joined_key, settled
 from gridspark.functions.wind import bearing_cos, bearing_sin
 from gridspark.schemas import TABLES
 from gridspark.sources.files import WHOLE_FILE_LIMIT
@@ -20,7 +20,6 @@ TABLE = TABLES["jma_weather"]
 ORDER = ["path", "seg", "line_no"]
 UPPER_HEADER_LINE = 4
 LOWER_HEADER_LINE = 5
-WIDTH = 80
 MEASURES = ["temperature", "sunshine_duration", "global_solar_radiation", "wind_speed", "wind_direction_sin",
             "wind_direction_cos", "weather_description", "snowfall_depth", "precipitation"]
 
@@ -52,12 +51,16 @@ def column_name(upper: Column, lower: Column, interval: str) -> Column:
 
 def positions(upper_line: Column, lower_line: Column, interval: str) -> Column:
     """Cells of the measures; among equal names the first one counts."""
-    upper = F.transform(cells(upper_line, WIDTH), lambda name: F.trim(name))
-    lower = F.transform(cells(lower_line, WIDTH), lambda name: F.trim(name))
+    upper = F.transform(cells(upper_line), lambda name: F.trim(name))
+    lower = F.transform(cells(lower_line), lambda name: F.trim(name))
     names = F.zip_with(
-        upper, lower, lambda u, d: column_name(F.coalesce(u, F.lit("")), F.coalesce(d, F.lit("")), interval)
+        upper, lower,
+        lambda u, d: bound(
+            F.struct(F.coalesce(u, F.lit("")).alias("u"), F.coalesce(d, F.lit("")).alias("d")),
+            lambda pair: column_name(pair["u"], pair["d"], interval),
+        ),
     )
-    return alias_positions(names, WEATHER_ALIASES)
+    return bound(names, lambda found: alias_positions(found, WEATHER_ALIASES))
 
 
 def scan(spark: SparkSession, path: str | list[str], interval: str, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
@@ -79,20 +82,24 @@ def station_of_path(path: Column) -> Column:
 
 def parse(lines: DataFrame, interval: str) -> DataFrame:
     """Observations with `issue`. Needs `station_id, path, seg, line_no, after_head, positions, line`."""
-    split = lines.filter(F.col("line").isNotNull()).withColumn("cells", cells(F.col("line"), WIDTH))
-    raw = {name: cell(F.col("cells"), F.get("positions", F.lit(i))) for i, name in enumerate(WEATHER_ALIASES)}
+    split = lines.filter(F.col("line").isNotNull()).withColumn("cells", cells(F.col("line")))
+    names = list(WEATHER_ALIASES)
+    numeric = [name for name in names if name not in ("weather_description", "wind_direction")]
+    place = {name: F.get("positions", F.lit(i)) for i, name in enumerate(names)}
+    read = cells_at(F.col("cells"), F.array(*[place[name] for name in numeric]), number_or_null)
     typed = split.select(
         "station_id", *ORDER, "after_head", "line", F.trim(F.get("cells", F.lit(0))).alias("first_cell"),
-        raw["weather_description"].alias("weather_description"), raw["wind_direction"].alias("bearing"),
-        F.get("positions", F.lit(list(WEATHER_ALIASES).index("wind_direction"))).isNotNull().alias("has_bearing"),
-        *[number_or_null(raw[name]).alias(name) for name in WEATHER_ALIASES
-          if name not in ("weather_description", "wind_direction")],
-    ).withColumn("observed", observed_at(F.col("first_cell"), interval))
+        cell(F.col("cells"), place["weather_description"]).alias("weather_description"),
+        cell(F.col("cells"), place["wind_direction"]).alias("bearing"),
+        place["wind_direction"].isNotNull().alias("has_bearing"), read.alias("numbers"),
+    ).withColumn("observed", observed_at(F.col("first_cell"), interval)).withColumns(
+        {name: F.get("numbers", F.lit(i)) for i, name in enumerate(numeric)}
+    )
     quality = (F.col("after_head") == 1) & ((F.col("first_cell") == "") | _holds(F.col("first_cell"), QUALITY_MARKS))
     issue = F.when(quality, "quality_row").when(F.col("observed").isNull(), "invalid_datetime")
     speed = F.col("wind_speed")
     clock = F.date_format("observed", "HH:mm") if interval == "hourly" else F.lit("00:00")
-    return typed.select(
+    return settled(typed.select(
         joined_key(F.col("station_id"), F.date_format("observed", "yyyyMMddHHmm")).alias("primary_key"), "station_id",
         F.date_format("observed", "yyyy-MM-dd").alias("date"), clock.alias("time"), "temperature",
         "sunshine_duration", "global_solar_radiation", "wind_speed",
@@ -100,7 +107,7 @@ def parse(lines: DataFrame, interval: str) -> DataFrame:
         F.when(F.col("has_bearing"), bearing_cos(F.col("bearing"), speed)).alias("wind_direction_cos"),
         "weather_description", "snowfall_depth", "precipitation", F.to_date("observed").alias("dt"), *ORDER, "line",
         issue.alias("issue"),
-    )
+    ))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

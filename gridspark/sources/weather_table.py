@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from gridspark.functions.numbers import number_or_null
-from gridspark.functions.text import blank_na_text, cell, cells, na_to_null
+from gridspark.functions.text import blank_na_text, bound, cells, cells_at, na_to_null, settled
 from gridspark.operators.dedup import keep_first
 from gridspark.schemas import TABLES
 from gridspark.sources.files import WHOLE_FILE_LIMIT
@@ -14,12 +14,11 @@ from gridspark.sources.lines import alias_positions, headed_lines, nth_line, nth
 TABLE = TABLES["jma_weather"]
 ORDER = ["path", "seg", "line_no"]
 FILE_PATTERN = "jma_weather_*.csv"
-WIDTH = 24
 
 
 def positions(header: Column) -> Column:
-    names = F.transform(cells(header, WIDTH), lambda name: F.trim(name))
-    return alias_positions(names, {name: [name] for name in TABLE.columns})
+    names = F.transform(cells(header), lambda name: F.trim(name))
+    return bound(names, lambda found: alias_positions(found, {name: [name] for name in TABLE.columns}))
 
 
 def scan(spark: SparkSession, directory: str, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
@@ -32,22 +31,26 @@ def scan(spark: SparkSession, directory: str, limit: int = WHOLE_FILE_LIMIT) ->
 
 def parse(lines: DataFrame) -> DataFrame:
     """Declared columns by name, missing ones null, plus `bad_number` for text in a number column."""
-    split = lines.filter(F.trim("line") != "").withColumn("cells", cells(F.col("line"), WIDTH))
-    texts = {
-        name: na_to_null(cell(F.col("cells"), F.get("positions", F.lit(i)))) for i, name in enumerate(TABLE.columns)
-    }
+    split = lines.filter(F.trim("line") != "").withColumn("cells", cells(F.col("line")))
     numbers = [field.name for field in TABLE.schema if field.dataType == T.DoubleType()]
-    raw = split.select(*ORDER, "line", *[text.alias(name) for name, text in texts.items()])
-    bad = F.lit(False)
-    for name in numbers:
-        bad = bad | (F.col(name).isNotNull() & number_or_null(F.col(name)).isNull())
-    typed = raw.withColumn("bad_number", bad)
-    return typed.select(
-        *ORDER, "line", "bad_number",
-        *[(number_or_null(F.col(n)) if n in numbers else
-           blank_na_text(F.col(n)) if n == "weather_description" else F.col(n)).alias(n) for n in TABLE.columns],
+    texts = cells_at(F.col("cells"), F.col("positions"), na_to_null)
+    raw = split.select(*ORDER, "line", texts.alias("texts"))
+    place = {name: F.get("texts", F.lit(i)) for i, name in enumerate(TABLE.columns)}
+    figures = F.array(*[place[name] for name in numbers])
+    typed = raw.withColumn("figures", F.transform(figures, number_or_null))
+    bad = F.size(F.filter(figures, lambda text: text.isNotNull())) > F.size(
+        F.filter("figures", lambda number: number.isNotNull())
     )
 
+    def value(name: str) -> Column:
+        if name in numbers:
+            return F.get("figures", F.lit(numbers.index(name)))
+        return blank_na_text(place[name]) if name == "weather_description" else place[name]
+
+    return settled(typed.select(
+        *ORDER, "line", bad.alias("bad_number"), *[value(name).alias(name) for name in TABLE.columns]
+    ))
+
 
 def without_bad_files(parsed: DataFrame) -> DataFrame:
     """Leave out every file that holds text in a number column; the list of such files
