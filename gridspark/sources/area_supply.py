@@ -12,7 +12,8 @@ from gridspark.functions.text import bound, cell, cells, cells_at, joined_key, s
 from gridspark.operators.dedup import keep_first
 from gridspark.schemas import require_columns
 from gridspark.sources.files import WHOLE_FILE_LIMIT, area_of_path
-from gridspark.sources.lines import alias_positions, headed_lines, header_names, nth_line, nth_line_heads
+from gridspark.sources.lines import alias_positions, headed_lines, header_names, nth_line, \
+    nth_line_heads, spellings_of
 
 HEADER_LINE = 2
 ORDER = ["path", "seg", "line_no"]
@@ -22,12 +23,8 @@ CANONICAL = ["area_code", "master_key", "date", "slot", *SUPPLY_MEASURES]
 
 def positions(header: Column, area_code: Column) -> Column:
     """Cells of the canonical columns; one area's archive has its own, shorter alias list."""
-    return bound(
-        header_names(header),
-        lambda names: F.when(area_code == ARCHIVE_AREA, alias_positions(names, ARCHIVE_ALIASES)).otherwise(
-            alias_positions(names, SUPPLY_ALIASES)
-        ),
-    )
+    spellings = F.when(area_code == ARCHIVE_AREA, spellings_of(ARCHIVE_ALIASES)).otherwise(spellings_of(SUPPLY_ALIASES))
+    return bound(header_names(header), lambda names: alias_positions(names, spellings))
 
 
 def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:

@@ -19,14 +19,19 @@ HEADS_TO_BROADCAST = 10_000
 Resolver = Callable[[Column], Column]
 
 
-def alias_positions(names: Column, aliases: dict[str, list[str]]) -> Column:
+def spellings_of(aliases: dict[str, list[str]]) -> Column:
+    """The alias table as one array literal, a list of spellings per wanted column."""
+    return F.array(*[F.array(*[F.lit(s) for s in spellings]) for spellings in aliases.values()])
+
+
+def alias_positions(names: Column, spellings: Column) -> Column:
     """For each wanted column the 0-based cell of its first spelling that occurs."""
 
-    def place(spellings: list[str]) -> Column:
-        found = [F.nullif(F.array_position(names, F.lit(s)), F.lit(0)) for s in spellings]
-        return (F.coalesce(*found) - 1).cast("int")
+    def place(column: Column) -> Column:
+        found = F.transform(column, lambda spelling: F.array_position(names, spelling).cast("int") - 1)
+        return F.get(F.filter(found, lambda position: position >= 0), F.lit(0))
 
-    return F.array(*[place(spellings) for spellings in aliases.values()])
+    return F.transform(spellings, place)
 
 
 def header_names(line: Column) -> Column:

@@ -14,7 +14,7 @@ from gridspark.functions.text import JAPANESE, bound, cell, cells, cells_at, joi
 from gridspark.functions.wind import bearing_cos, bearing_sin
 from gridspark.schemas import TABLES
 from gridspark.sources.files import WHOLE_FILE_LIMIT
-from gridspark.sources.lines import alias_positions, headed_lines, nth_line, nth_line_heads
+from gridspark.sources.lines import alias_positions, headed_lines, nth_line, nth_line_heads, spellings_of
 
 TABLE = TABLES["jma_weather"]
 ORDER = ["path", "seg", "line_no"]
@@ -60,7 +60,7 @@ def positions(upper_line: Column, lower_line: Column, interval: str) -> Column:
             lambda pair: column_name(pair["u"], pair["d"], interval),
         ),
     )
-    return bound(names, lambda found: alias_positions(found, WEATHER_ALIASES))
+    return bound(names, lambda found: alias_positions(found, spellings_of(WEATHER_ALIASES)))
 
 
 def scan(spark: SparkSession, path: str | list[str], interval: str, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:

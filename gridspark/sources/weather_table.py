@@ -9,7 +9,7 @@ from gridspark.functions.text import blank_na_text, bound, cells, cells_at, na_t
 from gridspark.operators.dedup import keep_first
 from gridspark.schemas import TABLES
 from gridspark.sources.files import WHOLE_FILE_LIMIT
-from gridspark.sources.lines import alias_positions, headed_lines, nth_line, nth_line_heads
+from gridspark.sources.lines import alias_positions, headed_lines, nth_line, nth_line_heads, spellings_of
 
 TABLE = TABLES["jma_weather"]
 ORDER = ["path", "seg", "line_no"]
@@ -18,7 +18,7 @@ FILE_PATTERN = "jma_weather_*.csv"
 
 def positions(header: Column) -> Column:
     names = F.transform(cells(header), lambda name: F.trim(name))
-    return bound(names, lambda found: alias_positions(found, {name: [name] for name in TABLE.columns}))
+    return bound(names, lambda found: alias_positions(found, spellings_of({name: [name] for name in TABLE.columns})))
 
 
 def scan(spark: SparkSession, directory: str, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
