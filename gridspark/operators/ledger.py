@@ -23,7 +23,7 @@ def sparse_ids(df: DataFrame, start: Column) -> DataFrame:
     return df.withColumn("id", start + F.monotonically_increasing_id())
 
 
-def dense_ids(df: DataFrame, order: list[str], start: int = 1, fallback_dir: str = "/tmp/gridspark-checkpoints") -> DataFrame:
+def dense_ids(df: DataFrame, order: list[str], start: int = 1) -> DataFrame:
     """Consecutive ids in `order`, without ever sorting everything in one task.
 
     Rows are range-partitioned and sorted by `order`, saved, counted per partition, and
@@ -31,8 +31,7 @@ def dense_ids(df: DataFrame, order: list[str], start: int = 1, fallback_dir: str
     column is split by the following ones. The checkpoint keeps the partitions the
     counts were taken from, also when an executor is lost between the two steps.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark, fallback_dir)
+    ensure_checkpoint_dir(df.sparkSession)
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     placed = (
         df.repartitionByRange(*order)
@@ -49,3 +48,21 @@ def dense_ids(df: DataFrame, order: list[str], start: int = 1, fallback_dir: str
     joined = placed.join(F.broadcast(offsets) if few else offsets, "__part")
     numbered = joined.withColumn("id", F.lit(start) + F.col("__before") + F.col("__position"))
     return numbered.select("id", *df.columns)
+
+
+def file_outcomes(files: DataFrame, parsed: DataFrame) -> DataFrame:
+    """Per attempted file its accepted and flagged rows; a file without rows has failed.
+
+    `files` holds `path`; `parsed` holds `path` and `issue` and is counted per task first.
+    """
+    counts = parsed.groupBy("path").agg(
+        F.count_if(F.col("issue").isNull()).alias("rows"), F.count("issue").alias("flagged")
+    )
+    # Entries of an archive count for the archive.
+    whole = counts.groupBy(F.substring_index("path", "!", 1).alias("path")).agg(
+        F.sum("rows").alias("rows"), F.sum("flagged").alias("flagged")
+    )
+    joined = files.select("path").join(whole, "path", "left")
+    rows, flagged = F.coalesce("rows", F.lit(0)), F.coalesce("flagged", F.lit(0))
+    status = F.when(rows > 0, "success").otherwise("failed: no rows")
+    return joined.select("path", status.alias("status"), rows.alias("rows"), flagged.alias("flagged"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Legacy charsets are needed for windows-31j; the error action makes a damaged
@@ -36,10 +38,12 @@ def local_session(cores: str = "*", app_name: str = "gridspark") -> SparkSession
     return configure(spark)
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> None:
-    """Use the cluster's checkpoint folder; fall back only where none is set."""
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the cluster's checkpoint folder; only a local session gets one of its own."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(configured or fallback)
+    if not configured and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="gridspark-checkpoint-"))
