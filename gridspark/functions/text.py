@@ -48,7 +48,7 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def _unquoted(raw: Column) -> Column:
     inner = F.regexp_extract(raw, r'^"(.*)" *$', 1)
-    return F.when(raw.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(raw)
+    return F.when(raw.rlike(r'^".*" *$'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(raw)
 
 
 def cells(line: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from gridspark.constants import ARCHIVE_ALIASES, ARCHIVE_AREA, COMPACT_DATE_AREA, SUPPLY_ALIASES, SUPPLY_MEASURES
 from gridspark.functions.dates import clamp_future_year, compact_date, compact_text, repair_clock, slashed_date, \
     slot_of_clock, slot_of_stored_clock
-from gridspark.functions.numbers import clean_number
+from gridspark.functions.numbers import clean_number, fold_digits
 from gridspark.functions.text import bound, cell, cells, cells_at, joined_key, settled
 from gridspark.operators.dedup import keep_first
 from gridspark.schemas import require_columns
@@ -46,7 +46,7 @@ def parse(lines: DataFrame) -> DataFrame:
     names = list(SUPPLY_ALIASES)
     date_at, time_at = (F.get("positions", F.lit(names.index(name))) for name in ("date", "slot"))
     first = names.index(SUPPLY_MEASURES[0])
-    split = lines.filter(F.trim("line") != "").withColumn("cells", cells(F.col("line")))
+    split = lines.filter(F.trim("line") != "").withColumn("cells", cells(fold_digits(F.col("line"))))
     compact = F.col("area_code") == COMPACT_DATE_AREA
     measures = F.slice("positions", first + 1, len(SUPPLY_MEASURES))
     raw = split.select(

@@ -16,6 +16,7 @@ from gridspark.functions.text import JAPANESE, cells, decode_ladder, lines_of
 from gridspark.sources.files import WHOLE_FILE_LIMIT, scan_pieces
 
 HEADS_TO_BROADCAST = 10_000
+HEAD_BYTES = 64 * 1024
 Resolver = Callable[[Column], Column]
 
 
@@ -115,19 +116,21 @@ def decode_lines(raw: DataFrame, charset: str | None = None) -> DataFrame:
 def nth_line_heads(lines: DataFrame, n: int, skip_blank: bool = True) -> DataFrame:
     """Per file the n-th line as `header`, with all lines up to it as `head`.
 
-    The rank is limited per task before the shuffle, so n lines per file are gathered.
+    Only splits that start within the first HEAD_BYTES are looked at, which leaves the
+    first one unless splits are tiny. The rank is limited per task before the shuffle,
+    so n lines per file are gathered.
     """
     order = Window.partitionBy("path").orderBy("seg", "line_no")
     counted = (F.trim("line") != "") if skip_blank else F.lit(True)
     first = (
-        lines.filter((F.col("seg") == 0) & counted)
+        lines.filter((F.col("seg") < HEAD_BYTES) & counted)
         .withColumn("n", F.row_number().over(order))
         .filter(F.col("n") <= n)
     )
-    gathered = first.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("n", "line_no", "line"))).alias("h"))
+    gathered = first.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("n", "seg", "line_no", "line"))).alias("h"))
     last = F.get("h", F.lit(n - 1))
     return gathered.filter(F.size("h") == n).select(
-        "path", last["line_no"].alias("head_at"), last["line"].alias("header"),
+        "path", last["seg"].alias("head_seg"), last["line_no"].alias("head_at"), last["line"].alias("header"),
         F.transform("h", lambda entry: entry["line"]).alias("head"),
     )
 

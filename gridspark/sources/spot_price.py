@@ -28,7 +28,8 @@ def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIM
 
 def parse(lines: DataFrame) -> DataFrame:
     """Every non-blank line as a typed row with `issue`. Needs `path, seg, line_no, line`."""
-    split = lines.withColumn("cells", cells(F.col("line"))).filter(F.exists("cells", lambda c: c != ""))
+    filled = lines.filter(F.translate("line", ',"', "") != "")
+    split = filled.withColumn("cells", cells(F.col("line")))
     whole = [(number, name) for number, _, name in PRICE_CELLS if name.endswith("_qty_kwh")]
     prices = [(number, name) for number, _, name in PRICE_CELLS if name not in ("date", "slot", *[n for _, n in whole])]
 
