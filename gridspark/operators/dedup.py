@@ -36,6 +36,12 @@ def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
 
 
+def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows of repeated keys. The keys' side of the join has one row per key, so a
+    dominant key can be split on the other side."""
+    return df.join(duplicate_groups(df, keys), keys, "left_semi").select(*df.columns)
+
+
 def duplicate_summary(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row: repeated keys, rows in repeated groups, rows a first-wins pass removes."""
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))

@@ -68,9 +68,9 @@ def upsert_columns(target: DataFrame, batch: DataFrame, keys: list[str], columns
 
 
 def after_watermark(target: DataFrame, batch: DataFrame, day: str) -> DataFrame:
-    """Batch rows newer than the target's latest day; all of them when it has none."""
+    """Batch rows newer than the target's latest day; all dated ones when it has none."""
     latest = target.agg(F.max(day).alias("latest")).scalar()
-    return batch.filter(F.coalesce(F.col(day) > latest, latest.isNull()))
+    return batch.filter(F.col(day).isNotNull() & F.coalesce(F.col(day) > latest, F.lit(True)))
 
 
 def watermark_append(target: DataFrame, batch: DataFrame, keys: list[str], day: str, order: Order) -> DataFrame:
@@ -121,13 +121,14 @@ def touched(target: DataFrame, batch: DataFrame, partitions: tuple[str, ...]) ->
     The partition values are collected only up to a fixed number, to become a literal
     filter that prunes files; beyond it the engine joins instead.
     """
-    for column in partitions:
-        values = batch.select(column).distinct()
-        found = [row[0] for row in values.limit(PARTITIONS_TO_PRUNE + 1).collect()]
-        if len(found) <= PARTITIONS_TO_PRUNE:
-            target = target.filter(F.col(column).isin(found))
-        else:
-            target = target.join(values, column, "left_semi")
+    if not partitions:
+        return target
+    values = batch.select(*partitions).distinct()
+    found = values.limit(PARTITIONS_TO_PRUNE + 1).collect()
+    if len(found) > PARTITIONS_TO_PRUNE:
+        return target.join(values, list(partitions), "left_semi")
+    for position, column in enumerate(partitions):
+        target = target.filter(F.col(column).isin(sorted({row[position] for row in found})))
     return target
 
 

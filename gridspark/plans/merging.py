@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from gridspark.dims import AREA_IDS, area_code_of, area_id_of, lookup
 from gridspark.functions.dates import clamp_future_year
 from gridspark.operators import merge
-from gridspark.operators.dedup import duplicate_groups, duplicate_summary, first_usable, keep_first
+from gridspark.operators.dedup import duplicate_groups, duplicate_rows, duplicate_summary, first_usable, keep_first
 from gridspark.operators.ledger import dense_ids, ledger_entries
 from gridspark.operators.routing import table_name, with_area
 from gridspark.plans.registry import EVENTS_SQL, plan, slot_events, table
@@ -72,6 +72,13 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(table(spark, sf_dir, "lineitem"), LINE_KEY)
 
 
+@plan("""SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM (
+  SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem) WHERE copies > 1""")
+def duplicate_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_partkey", "l_shipdate")
+    return duplicate_rows(lines, LINE_KEY)
+
+
 # --- upserts ---------------------------------------------------------------------
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]

@@ -9,9 +9,10 @@ from gridspark.functions.dates import clamp_future_year, compact_date, compact_t
     slot_of_clock, slot_of_stored_clock
 from gridspark.functions.numbers import clean_number, fold_digits
 from gridspark.functions.text import bound, cell, cells, cells_at, joined_key, settled
-from gridspark.operators.dedup import keep_first
+from gridspark.operators.coverage import archive_years
+from gridspark.operators.dedup import first_usable, keep_first
 from gridspark.schemas import require_columns
-from gridspark.sources.files import WHOLE_FILE_LIMIT, area_of_path
+from gridspark.sources.files import WHOLE_FILE_LIMIT, area_of_path, period_of_path
 from gridspark.sources.lines import alias_positions, headed_lines, header_names, nth_line, \
     nth_line_heads, spellings_of
 
@@ -38,6 +39,33 @@ def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIM
     return lines.withColumn("area_code", area)
 
 
+def choose_versions(files: DataFrame, current_year: int) -> DataFrame:
+    """The file to use where several candidates have landed for one area and period.
+
+    Monthly files carry a version in their name; the lowest non-empty one counts. Every
+    non-empty yearly archive up to the current year counts. Needs `path` and `length`;
+    contents are not read.
+    """
+    path = F.col("path")
+    named = files.select(
+        "path", "length", area_of_path(path).alias("area_code"), period_of_path(path).alias("period"),
+        F.regexp_extract(path, r"_(\d{2})\.csv$", 1).try_cast("int").alias("version"),
+    )
+    monthly = named.filter(F.length("period") == 6)
+    best = first_usable(monthly, ["area_code", "period"], [F.coalesce("version", F.lit(0)), "path"], F.col("length") > 0)
+    yearly = named.filter((F.length("period") == 4) & (F.col("period").cast("int") <= current_year) & (F.col("length") > 0))
+    return best.select("area_code", "period", "path").unionByName(yearly.select("area_code", "period", "path"))
+
+
+def archive_for_year(files: DataFrame, target_year: int, current_year: int) -> DataFrame:
+    """The yearly archive that answers for a year: the first landed, non-empty candidate."""
+    years = archive_years(target_year, current_year)
+    rank = F.array_position(F.array(*[F.lit(str(year)) for year in years]), period_of_path(F.col("path")))
+    named = files.select("path", "length", area_of_path(F.col("path")).alias("area_code"), rank.alias("rank"))
+    usable = (F.col("length") > 0) & (F.col("rank") > 0)
+    return first_usable(named, ["area_code"], ["rank", "path"], usable).select("area_code", "path")
+
+
 def parse(lines: DataFrame) -> DataFrame:
     """Every non-blank line as a canonical row with `issue`; null where all is well.
 

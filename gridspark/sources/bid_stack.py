@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from gridspark.functions.numbers import nullable_int
 from gridspark.functions.text import cells, decode_ladder, joined_key, lines_of, settled
 from gridspark.sources.files import WHOLE_FILE_LIMIT, scan_pieces
-from gridspark.sources.lines import decode_lines, scan_large
+from gridspark.sources.lines import decode_lines, has_few_files, scan_large
 
 KEY = ["id", "date", "slot", "area_code"]
 ORDER = ["path", "seg", "line_no"]
@@ -24,7 +24,8 @@ def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIM
     pieces = scan_pieces(spark, path, limit)
     text = decode_ladder(F.col("content"), F.col("utf8"))
     small = pieces.select("path", "seg", F.posexplode_outer(lines_of(text)).alias("line_no", "line"))
-    return small.unionByName(decode_lines(scan_large(spark, path, limit)))
+    large = scan_large(spark, path, limit)
+    return small.unionByName(decode_lines(large, broadcast=has_few_files(large)))
 
 
 def parse(lines: DataFrame) -> DataFrame:

@@ -104,13 +104,17 @@ def scan_large(spark: SparkSession, path: str | list[str], over: int = WHOLE_FIL
     )
 
 
-def decode_lines(raw: DataFrame, charset: str | None = None) -> DataFrame:
-    """Decode lines by a verdict reached per file; the verdict is a map-side aggregate."""
+def decode_lines(raw: DataFrame, charset: str | None = None, broadcast: bool = False) -> DataFrame:
+    """Decode lines by a verdict reached per file; the verdict is a map-side aggregate.
+
+    `broadcast` as for `attach_heads`: with few files the lines themselves never move.
+    """
     if charset:
         return raw.withColumn("line", F.decode("raw", charset)).drop("raw")
     verdicts = raw.groupBy("path").agg(F.bool_and(F.is_valid_utf8(F.col("raw").cast("string"))).alias("utf8"))
     text = F.when(F.col("utf8"), F.col("raw").cast("string")).otherwise(F.decode("raw", JAPANESE))
-    return raw.join(verdicts, "path").withColumn("line", text).drop("raw", "utf8")
+    joined = raw.join(F.broadcast(verdicts) if broadcast else verdicts, "path")
+    return joined.withColumn("line", text).drop("raw", "utf8")
 
 
 def nth_line_heads(lines: DataFrame, n: int, skip_blank: bool = True) -> DataFrame:
@@ -151,7 +155,7 @@ def attach_heads(lines: DataFrame, heads: DataFrame, positions: Column, broadcas
     """Give every line its file's positions and drop the lines up to the header.
 
     `heads` has one row per file. Pass `broadcast` only when the number of files is
-    known to be small (`count_files`); otherwise the engine decides.
+    known to be small (`has_few_files`); otherwise the engine decides.
     """
     resolved = heads.withColumn("positions", positions)
     if "head_seg" not in heads.columns:
@@ -165,9 +169,9 @@ def attach_heads(lines: DataFrame, heads: DataFrame, positions: Column, broadcas
     )
 
 
-def count_files(raw: DataFrame) -> int:
-    """Number of files behind a scan, from its listing: no job runs."""
-    return len(raw.inputFiles())
+def has_few_files(scan: DataFrame) -> bool:
+    """Whether one row per file is small enough to broadcast; from the listing, no job runs."""
+    return len(scan.inputFiles()) <= HEADS_TO_BROADCAST
 
 
 def headed_lines(spark: SparkSession, path: str | list[str], find_head: Resolver,
@@ -176,6 +180,6 @@ def headed_lines(spark: SparkSession, path: str | list[str], find_head: Resolver
     """Lines of all landed files: small ones and archives as pieces, large ones as splits."""
     small = piece_lines(scan_pieces(spark, path, limit), find_head, resolve, charset)
     scan = scan_large(spark, path, limit)
-    large = decode_lines(scan, charset)
-    few = count_files(scan) <= HEADS_TO_BROADCAST
+    few = has_few_files(scan)
+    large = decode_lines(scan, charset, broadcast=few)
     return small.unionByName(attach_heads(large, large_heads(large), large_positions, broadcast=few))

@@ -10,9 +10,10 @@ from gridspark.functions.dates import compact_text, slashed_date
 from gridspark.functions.numbers import int_or_zero, nullable_int
 from gridspark.functions.text import decode_ladder, joined_key, or_na, settled
 from gridspark.schemas import SLOT_COLUMNS, TABLES
-from gridspark.sources.files import WHOLE_FILE_LIMIT, scan_pieces
+from gridspark.sources.files import scan_pieces
 
 TABLE = TABLES["occto_30min_generation"]
+ANSWER_LIMIT = 512 * 1024 * 1024
 ANSWER = "data struct<items: array<map<string,string>>>"
 
 
@@ -22,12 +23,18 @@ def slot_fields() -> dict[str, str]:
     return {f"{UNIT_SLOT_PREFIX}{end // 60:02d}{end % 60:02d}": name for end, name in zip(ends, SLOT_COLUMNS)}
 
 
-def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """Answers as `(path, text)`; one answer is one file."""
+def scan(spark: SparkSession, path: str | list[str], limit: int = ANSWER_LIMIT) -> DataFrame:
+    """Answers as `(path, text)`; one answer is one file and is parsed as a whole."""
     pieces = scan_pieces(spark, path, limit)
     return pieces.select("path", decode_ladder(F.col("content"), F.col("utf8")).alias("text"))
 
 
+def oversize(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Answers too large to parse, for the reject report; only their names are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.filter(F.col("length") > ANSWER_LIMIT).select("path", "length", F.lit("answer_too_large").alias("issue"))
+
+
 def items(answers: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One row per item; answers without `data.items` give none."""
     kept = keep if keep is not None else [name for name in answers.columns if name != "text"]

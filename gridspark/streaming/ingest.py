@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gridspark.operators.ledger import file_outcomes
 from gridspark.operators.merge import insert_into, upsert_into
 from gridspark.schemas import Table
+from gridspark.session import ensure_checkpoint_dir
 from gridspark.sources.files import BINARY_SCHEMA
 
 FILES_PER_BATCH = 1000
@@ -40,7 +41,9 @@ def ingest_new_files(
         if not paths:
             return
         session = batch.sparkSession
-        parsed = read(session, paths)
+        # Parsed once, for the table and the ledger alike; survives lost executors.
+        ensure_checkpoint_dir(session)
+        parsed = read(session, paths).checkpoint()
         good = parsed.filter(F.col("issue").isNull() | F.col("issue").isin(list(kept_issues)))
         if replace:
             upsert_into(session, good, target, table, order)

@@ -117,6 +117,17 @@ def test_paths(spark):
         (3, "202404"), (4, "2024"), (None, None)]
 
 
+def test_version_choice(spark, rows):
+    names = [("/l/tohoku/eria_jukyu_202404_01.csv", 0), ("/l/tohoku/eria_jukyu_202404_02.csv", 9),
+             ("/l/tohoku/eria_jukyu_202404_03.csv", 9), ("/l/tepco/eria_jukyu_202404_03.csv", 9),
+             ("/l/chubu/eria_jukyu_2023.zip", 9), ("/l/chubu/eria_jukyu_2024.zip", 0), ("/l/chubu/eria_jukyu_2025.zip", 9)]
+    df = spark.createDataFrame(names, "path string, length bigint")
+    assert rows(area_supply.choose_versions(df, 2025), "area_code", "path") == [
+        (2, "/l/tohoku/eria_jukyu_202404_02.csv"), (3, "/l/tepco/eria_jukyu_202404_03.csv"),
+        (4, "/l/chubu/eria_jukyu_2023.zip"), (4, "/l/chubu/eria_jukyu_2025.zip")]
+    assert rows(area_supply.archive_for_year(df, 2024, 2025), "path") == [("/l/chubu/eria_jukyu_2023.zip",)]
+
+
 # --- price and bids ------------------------------------------------------------------
 
 
