@@ -11,7 +11,8 @@ import codecs
 import io
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -22,21 +23,24 @@ from gridspark.functions.text import is_utf8, is_zip
 
 WHOLE_FILE_LIMIT = 32 * 1024 * 1024
 ARCHIVE_LIMIT = 1024 * 1024 * 1024
-ARCHIVE_GLOB = "*.[zZ][iI][pP]"
+ARCHIVE_NAME = ".zip"
+TEXT_NAMES = (".csv", ".json", ".txt")
 PIECE_BYTES = 4 * 1024 * 1024
 HEAD_LINES = 8
 PIECES = "path string, seg bigint, head binary, utf8 boolean, content binary"
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def scan_files(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT,
-               over: int = 0, name_glob: str | None = None) -> DataFrame:
-    """Files of more than `over` and at most `limit` bytes. The size test reaches the
-    scan: the bytes of other files are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    return reader.load(path).filter((F.col("length") > over) & (F.col("length") <= limit))
+def scan_files(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT, over: int = 0,
+               name: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Files of more than `over` and at most `limit` bytes, with names that pass `name`.
+
+    Both tests are applied to the listing or the scan: the bytes of other files are not read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    if name is not None:
+        files = files.filter(name(F.lower("_metadata.file_name")))
+    return files.filter((F.col("length") > over) & (F.col("length") <= limit))
 
 
 def area_of_path(path: Column) -> Column:
@@ -56,16 +60,19 @@ def period_of_path(path: Column) -> Column:
 
 
 def whole_pieces(files: DataFrame) -> DataFrame:
-    """One piece per file that is not an archive, by name or by its first bytes."""
-    plain = files.filter(~is_archive(F.col("path"), F.col("content")))
-    return plain.select(
-        "path", F.lit(0).cast("bigint").alias("seg"), F.col("content").alias("head"),
+    """One piece per file."""
+    return files.select(
+        "path", F.lit(0).cast("bigint").alias("seg"), F.lit(None).cast("binary").alias("head"),
         is_utf8(F.col("content")).alias("utf8"), "content",
     )
 
 
-def is_archive(path: Column, content: Column) -> Column:
-    return F.lower(path).endswith(".zip") | is_zip(content)
+def has_archive_name(name: Column) -> Column:
+    return name.endswith(ARCHIVE_NAME)
+
+
+def has_text_name(name: Column) -> Column:
+    return reduce(lambda left, suffix: left | name.endswith(suffix), TEXT_NAMES, F.lit(False))
 
 
 def _entry_expander(piece_bytes: int):
@@ -124,28 +131,37 @@ def _entry_expander(piece_bytes: int):
 
 def archive_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """CSV entries of archives; a broken entry or archive gives no rows."""
-    archives = files.filter(is_archive(F.col("path"), F.col("content")))
-    return archives.select("path", "content").mapInPandas(_entry_expander(piece_bytes), PIECES)
+    return files.select("path", "content").mapInPandas(_entry_expander(piece_bytes), PIECES)
 
 
-def scan_pieces(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
+def scan_pieces(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT,
+                trust_names: bool = True) -> DataFrame:
     """Pieces of every plain file up to `limit` and of every archive.
 
-    Plain files over the limit belong to `gridspark.sources.lines.scan_large`. An archive
-    has to be opened as a whole, so its own limit is higher; see `oversize_archives`.
+    A file is an archive by its name or, unless it is named like a text, by its first
+    bytes. With `trust_names` off, the first bytes of text-named files count too, at the
+    price of reading them twice. Plain files over the limit belong to
+    `gridspark.sources.lines.scan_large`. An archive has to be opened as a whole, so its
+    own limit is higher; see `oversize_archives`.
     """
-    files = scan_files(spark, path, limit)
-    large_archives = scan_files(spark, path, ARCHIVE_LIMIT, over=limit, name_glob=ARCHIVE_GLOB)
-    return whole_pieces(files).unionByName(archive_pieces(files)).unionByName(archive_pieces(large_archives))
+    zipped = is_zip(F.col("content"))
+    named = scan_files(spark, path, ARCHIVE_LIMIT, name=has_archive_name)
+    if trust_names:
+        texts = scan_files(spark, path, limit, name=has_text_name)
+        others = scan_files(spark, path, limit, name=lambda name: ~has_text_name(name) & ~has_archive_name(name))
+        plain = texts.unionByName(others.filter(~zipped))
+    else:
+        others = scan_files(spark, path, limit, name=lambda name: ~has_archive_name(name))
+        plain = others.filter(~zipped)
+    archives = named.unionByName(others.filter(zipped))
+    return whole_pieces(plain).unionByName(archive_pieces(archives))
 
 
 def oversize_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Archives too large to open, for the reject report; only their names are read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    files = reader.option("pathGlobFilter", ARCHIVE_GLOB).load(path)
-    return files.filter(F.col("length") > ARCHIVE_LIMIT).select(
-        "path", "length", F.lit("archive_too_large").alias("issue")
-    )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    too_large = files.filter(has_archive_name(F.lower("_metadata.file_name")) & (F.col("length") > ARCHIVE_LIMIT))
+    return too_large.select("path", "length", F.lit("archive_too_large").alias("issue"))
 
 
 def store_payloads(files: DataFrame, target: str, dir_name: Column, day: Column) -> None:

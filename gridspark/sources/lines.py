@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gridspark.functions.text import JAPANESE, cells, decode_ladder, lines_of
-from gridspark.sources.files import WHOLE_FILE_LIMIT, scan_pieces
+from gridspark.sources.files import WHOLE_FILE_LIMIT, has_archive_name, scan_pieces
 
 HEADS_TO_BROADCAST = 10_000
 HEAD_BYTES = 64 * 1024
@@ -95,8 +95,8 @@ def scan_large(spark: SparkSession, path: str | list[str], over: int = WHOLE_FIL
     cutting lines before decoding is safe.
     """
     scan = spark.read.option("recursiveFileLookup", "true").text(path)
-    archive = F.lower("_metadata.file_path").endswith(".zip")
-    return scan.filter((F.col("_metadata.file_size") > over) & ~archive).select(
+    plain = ~has_archive_name(F.lower("_metadata.file_name"))
+    return scan.filter((F.col("_metadata.file_size") > over) & plain).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("seg"),
         F.monotonically_increasing_id().alias("line_no"),

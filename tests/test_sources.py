@@ -102,7 +102,7 @@ def test_archive_entries_are_cut_at_line_ends(spark, tmp_path):
     lines = [f"2024/04/{n % 28 + 1:02d},{n % 24}:00,{n},,," for n in range(3000)]
     text = "\n".join(["表題", SUPPLY_HEADER, *lines])
     land(tmp_path, "chubu/e_2024.zip", archive(a__csv=text.encode("cp932")))
-    pieces = files.archive_pieces(files.scan_files(spark, str(tmp_path)), piece_bytes=1000)
+    pieces = files.archive_pieces(files.scan_files(spark, str(tmp_path), name=files.has_archive_name), piece_bytes=1000)
     assert pieces.count() > 50
     from gridspark.sources.lines import nth_line, piece_lines
 
@@ -111,6 +111,25 @@ def test_archive_entries_are_cut_at_line_ends(spark, tmp_path):
     assert cut.filter(F.get("positions", F.lit(0)) != 0).count() == 0
 
 
+def test_names_decide_which_files_are_read(spark, tmp_path):
+    land(tmp_path, "a.csv", "x\n1\n")
+    land(tmp_path, "b.zip", archive(b__csv="x\n2\n"))
+    land(tmp_path, "c.csv", archive(c__csv="x\n3\n"))
+    land(tmp_path, "d.bin", archive(d__csv="x\n4\n"))
+    land(tmp_path, "e.bin", "x\n5\n")
+
+    def contents(**options):
+        pieces = files.scan_pieces(spark, str(tmp_path), **options)
+        return sorted(bytes(r.content)[2:3] for r in pieces.collect())
+
+    assert contents(trust_names=False) == [b"1", b"2", b"3", b"4", b"5"]
+    assert len(contents()) == 5 and b"3" not in contents()  # taken as text, to be rejected line by line
+    named = files.scan_files(spark, str(tmp_path), name=files.has_archive_name)
+    named.collect()
+    scan = next(line for line in named._jdf.queryExecution().toString().splitlines() if "FileScan binaryFile" in line)
+    assert "file_name" in scan
+
+
 def test_paths(spark):
     df = spark.createDataFrame([("/x/tepco/eria_202404_03.csv",), ("/x/chubu_2024.zip",), ("/x/unknown/a.csv",)], "path string")
     assert [tuple(r) for r in df.select(files.area_of_path(F.col("path")), files.period_of_path(F.col("path"))).collect()] == [
