@@ -31,12 +31,12 @@ def positions(header: Column, area_code: Column) -> Column:
 def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
     """Lines of landed files; the area id is part of the path."""
     area = area_of_path(F.col("path"))
-    lines = headed_lines(
+    return headed_lines(
         spark, path, nth_line(HEADER_LINE),
         lambda head, at: positions(F.get(head, at.cast("int")), area),
         lambda large: nth_line_heads(large, HEADER_LINE), positions(F.col("header"), area), limit,
+        labels={"area_code": area},
     )
-    return lines.withColumn("area_code", area)
 
 
 def choose_versions(files: DataFrame, current_year: int) -> DataFrame:

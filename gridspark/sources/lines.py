@@ -65,8 +65,10 @@ def first_cell_line(value: str) -> Resolver:
 
 
 def piece_lines(pieces: DataFrame, find_head: Resolver, resolve: Callable[[Column, Column], Column],
-                charset: str | None = None) -> DataFrame:
-    """Lines of pieces. `resolve` gets the head's lines and the header's index."""
+                charset: str | None = None, labels: dict[str, Column] | None = None) -> DataFrame:
+    """Lines of pieces. `resolve` gets the head's lines and the header's index; `labels`
+    are columns derived from the path, worked out once per piece."""
+    labels = labels or {}
 
     def text(content: str) -> Column:
         return F.decode(F.col(content), charset) if charset else decode_ladder(F.col(content), F.col("utf8"))
@@ -76,14 +78,15 @@ def piece_lines(pieces: DataFrame, find_head: Resolver, resolve: Callable[[Colum
         .withColumn("head_lines", F.when(F.col("seg") == 0, F.col("lines")).otherwise(lines_of(text("head"))))
         .withColumn("head_at", find_head(F.col("head_lines")).cast("bigint"))
         .withColumn("positions", resolve(F.col("head_lines"), F.col("head_at")))
-        .select("path", "seg", "head_at", "positions", F.posexplode_outer("lines").alias("pos", "line"))
+        .withColumns(labels)
+        .select("path", "seg", "head_at", "positions", *labels, F.posexplode_outer("lines").alias("pos", "line"))
         .withColumn("line_no", F.col("pos").cast("bigint"))
     )
     after = F.when(F.col("seg") == 0, F.col("line_no") - F.col("head_at"))
     return (
         staged.withColumn("after_head", after)
         .filter((F.col("seg") > 0) | F.col("head_at").isNull() | (F.col("after_head") > 0))
-        .select("path", "seg", "line_no", "after_head", "positions", "line")
+        .select("path", "seg", "line_no", "after_head", "positions", "line", *labels)
     )
 
 
@@ -176,10 +179,12 @@ def has_few_files(scan: DataFrame) -> bool:
 
 def headed_lines(spark: SparkSession, path: str | list[str], find_head: Resolver,
                  resolve: Callable[[Column, Column], Column], large_heads: Callable[[DataFrame], DataFrame],
-                 large_positions: Column, limit: int = WHOLE_FILE_LIMIT, charset: str | None = None) -> DataFrame:
+                 large_positions: Column, limit: int = WHOLE_FILE_LIMIT, charset: str | None = None,
+                 labels: dict[str, Column] | None = None) -> DataFrame:
     """Lines of all landed files: small ones and archives as pieces, large ones as splits."""
-    small = piece_lines(scan_pieces(spark, path, limit), find_head, resolve, charset)
+    small = piece_lines(scan_pieces(spark, path, limit), find_head, resolve, charset, labels)
     scan = scan_large(spark, path, limit)
     few = has_few_files(scan)
     large = decode_lines(scan, charset, broadcast=few)
-    return small.unionByName(attach_heads(large, large_heads(large), large_positions, broadcast=few))
+    attached = attach_heads(large, large_heads(large), large_positions, broadcast=few)
+    return small.unionByName(attached.withColumns(labels or {}))

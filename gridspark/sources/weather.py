@@ -69,11 +69,11 @@ def scan(spark: SparkSession, path: str | list[str], interval: str, limit: int =
     def place(head: Column) -> Column:
         return positions(F.get(head, F.lit(UPPER_HEADER_LINE - 1)), F.get(head, F.lit(LOWER_HEADER_LINE - 1)), interval)
 
-    lines = headed_lines(
+    return headed_lines(
         spark, path, nth_line(LOWER_HEADER_LINE, skip_blank=False), lambda head, at: place(head),
         lambda large: nth_line_heads(large, LOWER_HEADER_LINE, skip_blank=False), place(F.col("head")), limit, JAPANESE,
+        {"station_id": station_of_path(F.col("path"))},
     )
-    return lines.withColumn("station_id", station_of_path(F.col("path")))
 
 
 def station_of_path(path: Column) -> Column:
