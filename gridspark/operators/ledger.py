@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from gridspark.operators.merge import append_into, read_table
+from gridspark.schemas import TABLES, Table
 from gridspark.session import ensure_checkpoint_dir
 
 PARTITION_COUNTS_LIMIT = 100_000
@@ -23,6 +25,19 @@ def sparse_ids(df: DataFrame, start: Column) -> DataFrame:
     return df.withColumn("id", start + F.monotonically_increasing_id())
 
 
+def next_id(spark: SparkSession, path: str, table: Table) -> int:
+    """One above the largest stored id; of the files only that column is read."""
+    largest = read_table(spark, path, table).agg(F.max("id")).first()[0]
+    return (largest or 0) + 1
+
+
+def append_entries(entries: DataFrame, path: str) -> None:
+    """Append ledger entries with ids and the time of loading."""
+    spark, table = entries.sparkSession, TABLES["downloaded_files"]
+    stamped = entries.withColumn("downloaded_at", F.current_timestamp())
+    append_into(sparse_ids(stamped, F.lit(next_id(spark, path, table))), path, table)
+
+
 def dense_ids(df: DataFrame, order: list[str], start: int = 1) -> DataFrame:
     """Consecutive ids in `order`, without ever sorting everything in one task.
 

@@ -69,7 +69,7 @@ TABLES = {
                       ("status", TEXT), ("downloaded_at", STAMP)), ("id",)),
         Table("downloaded_csv",
               _schema(("id", LONG), ("dir_name", TEXT), ("date", TEXT), ("content", T.BinaryType()),
-                      ("downloaded_at", STAMP)), ("id",)),
+                      ("downloaded_at", STAMP)), ("id",), ("dir_name",)),
         Table("jma_weather",
               _schema(("primary_key", TEXT), ("station_id", TEXT), ("date", TEXT), ("time", TEXT),
                       ("temperature", REAL), ("sunshine_duration", REAL), ("global_solar_radiation", REAL),

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from gridspark.constants import AREAS
 from gridspark.dims import AREA_CODES, lookup
 from gridspark.functions.text import is_utf8, is_zip
+from gridspark.operators.ledger import next_id, sparse_ids
+from gridspark.schemas import TABLES, enforce
 
 WHOLE_FILE_LIMIT = 32 * 1024 * 1024
 ARCHIVE_LIMIT = 1024 * 1024 * 1024
@@ -165,12 +167,15 @@ def oversize_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def store_payloads(files: DataFrame, target: str, dir_name: Column, day: Column) -> None:
-    """Append raw payloads with their feed, day and arrival time."""
+    """Append raw payloads with an id, their feed, day and arrival time."""
+    table = TABLES["downloaded_csv"]
     rows = files.select(
-        F.expr("uuid()").alias("id"), dir_name.alias("dir_name"), F.date_format(day, "yyyyMMdd").alias("date"),
-        "content", F.current_timestamp().alias("downloaded_at"),
+        dir_name.alias("dir_name"), F.date_format(day, "yyyyMMdd").alias("date"), "content",
+        F.current_timestamp().alias("downloaded_at"),
     )
-    rows.write.mode("append").partitionBy("dir_name").parquet(target)
+    start = next_id(files.sparkSession, target, table)
+    # Payloads are large: they are written where they were read.
+    enforce(sparse_ids(rows, F.lit(start)), table).write.mode("append").partitionBy(*table.partitions).parquet(target)
 
 
 def stored_pieces(payloads: DataFrame) -> DataFrame:

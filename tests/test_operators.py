@@ -170,6 +170,18 @@ def test_sparse_ids_are_unique(spark):
     assert df.select("id").distinct().count() == 100 and df.agg(F.min("id")).first()[0] >= 5
 
 
+def test_ledger_entries_get_growing_ids(spark, tmp_path, rows):
+    attempts = spark.createDataFrame([("a", date(2024, 4, 1), True), ("b", date(2024, 4, 2), False)], "feed string, day date, ok boolean")
+    name = F.concat("feed", F.lit(".csv"))
+    entries = ledger.ledger_entries(attempts, F.col("feed"), F.col("day"), name, F.col("ok"), F.lit("404"))
+    for _ in range(2):
+        ledger.append_entries(entries, str(tmp_path / "l"))
+    stored = merge.read_table(spark, str(tmp_path / "l"), TABLES["downloaded_files"])
+    assert stored.count() == 4 and stored.select("id").distinct().count() == 4
+    assert rows(stored.select("filename", "status").distinct(), "filename", "status") == [("a.csv", "success"), ("b.csv", "failed: 404")]
+    assert stored.filter("downloaded_at is null").count() == 0
+
+
 def test_profile(spark, rows):
     df = spark.createDataFrame([("a", i % 20) for i in range(40)] + [(None, None)], "s string, n int")
     assert rows(reports.profile(df, ["s", "n"]), "column", "nulls", "distinct_values", "values") == [
