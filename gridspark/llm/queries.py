@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import exact_dedup, sharding
+from gridspark.llm import exact_dedup, sharding, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -40,3 +40,8 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir)).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+@query()
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(table(spark, sf_dir))
