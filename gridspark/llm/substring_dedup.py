@@ -53,9 +53,12 @@ def paths_of(block: Block, window: int) -> tuple[np.ndarray, dict[str, np.ndarra
     inside = np.flatnonzero(rows[:edges] == rows[window - 1:])
     first = np.arange(edges)
     place = first + (((least & LOW).astype(np.int64) - first) & 63)
+    # Where an anchor occurs twice in one edge, edges may repeat inside a path: each is its own path.
+    last = sliding_min(marked ^ LOW, window - size + 1)
+    tied = (((last ^ least) & LOW) != LOW)[inside]
     place = place[inside]
     begins = np.ones(len(inside), dtype=bool)
-    begins[1:] = (place[1:] != place[:-1]) | (inside[1:] != inside[:-1] + 1)
+    begins[1:] = (place[1:] != place[:-1]) | (inside[1:] != inside[:-1] + 1) | tied[1:] | tied[:-1]
     heads = np.flatnonzero(begins)
     counts = np.diff(np.append(heads, len(inside)))
     starts = inside[heads]
