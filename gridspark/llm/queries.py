@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import exact_dedup, sharding, substring_dedup
+from gridspark.llm import exact_dedup, jaccard_join, sharding, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -45,3 +45,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(table(spark, sf_dir))
+
+
+@query()
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.groups(table(spark, sf_dir), words=3, percent=90).select("doc_id", "n_shingles", "component_id")
