@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import exact_dedup, jaccard_join, sharding, substring_dedup
+from gridspark.llm import exact_dedup, jaccard_join, sharding, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -50,3 +50,9 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.groups(table(spark, sf_dir), words=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir)
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
