@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import exact_dedup, jaccard_join, sharding, substring_dedup, toxicity
+from gridspark.llm import exact_dedup, jaccard_join, language, quality, sharding, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -56,3 +56,15 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir)
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir)
+    return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir)
+    return language.predicted(docs, language.learn(docs))
