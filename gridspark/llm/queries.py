@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import exact_dedup, jaccard_join, language, quality, sharding, substring_dedup, toxicity
+from gridspark.llm import exact_dedup, fingerprints, jaccard_join, language, packing, quality, sharding, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -68,3 +68,13 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir)
     return language.predicted(docs, language.learn(docs))
+
+
+@query()
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir), keep_ids=False)
+
+
+@query()
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(table(spark, sf_dir))
