@@ -23,7 +23,7 @@ END = 0
 DIMENSIONS, BITS = 4, 12
 CACHE = 300_000
 # White space of the tokenizer's pattern: a text may be cut where a run of it begins.
-WHITE = r"\t-\r \x85\xa0  -     　"
+WHITE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 
@@ -57,7 +57,7 @@ class Tokens:
         self.known: dict[str, bytes] = {}
 
     def encode(self, piece: str) -> bytes:
-        latin = piece.isascii() or max(piece) < "ɐ"
+        latin = piece.isascii() or max(piece) < chr(0x250)
         ids = self.fast.encode_ordinary(piece) if latin else self.slow.encode(piece, add_special_tokens=False).ids
         out = np.array(ids, np.uint16).tobytes()
         if len(self.known) >= CACHE:
