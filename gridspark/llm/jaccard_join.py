@@ -352,7 +352,8 @@ def links(docs: DataFrame, profiles: DataFrame, words: int, percent: int) -> Dat
     members = seats.join(known, "row_no").select("region", F.col("rep").alias("row_no"), "n_shingles", "counts").dropDuplicates(["region", "row_no"])
     near = staged(by_region(members, "row_no", "n_shingles", "counts").mapInArrow(nearer(percent), NEAR).distinct(), "near")
     chairs = near.groupBy("row_no").agg(F.collect_list(F.struct("region", "rank", "members", "shingles")).alias("seats"))
-    sets = numbered(docs).select("row_no", "text").join(chairs, "row_no").mapInArrow(setter(words), SETS)
+    # One way of joining at every size: the texts move once, so the work grows in proportion.
+    sets = numbered(docs).select("row_no", "text").join(chairs.hint("merge"), "row_no").mapInArrow(setter(words), SETS)
     sets = staged(sets, "sets")
     fits = F.expr(f"members <= {REGION_ROWS} AND shingles <= {REGION_SHINGLES}")
     ball, cells = blocked(sets.filter(~fits), percent)
