@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
-import zlib
+import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from gridspark.session import ensure_checkpoint_dir
 
 BLOCK_BYTES = 1 << 20
+SHIPPED: set[str] = set()
 # Label folds: rows of the remainder HELD_OUT are never learnt from.
 FOLDS, HELD_OUT = 4, 2
 
@@ -42,9 +45,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(place)
 
 
-def documents(docs: DataFrame) -> DataFrame:
-    """doc_id and text alone, so that no further column can clash with an operator's own."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python once per application, as they may not have it."""
+    context = spark.sparkContext
+    if context.applicationId in SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    place = Path(tempfile.mkdtemp(prefix="gridspark-package-")) / "gridspark.zip"
+    with zipfile.ZipFile(place, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(place))
+    SHIPPED.add(context.applicationId)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -203,14 +215,6 @@ def sliding_min(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(out[:len(values) - size + 1], out[size - reach:]) if size > reach else out
 
 
-def lists(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
-    """A list column from flat values and row bounds."""
-    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
-
-
 def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
-
-def crc(data: bytes) -> int:
-    return zlib.crc32(data)

@@ -380,10 +380,10 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
         "row_no", "doc_id", "n_shingles", F.coalesce("component", "rep").alias("root"))
     alone = profiles.filter("n_shingles = 0").select("row_no", "doc_id", "n_shingles", F.col("row_no").alias("root"))
     placed = staged(placed.unionByName(alone), "placed")
-    heads = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    stay = placed.join(heads, "root").filter("doc_id <=> component_id").groupBy("root").agg(F.min("row_no").alias("stays"))
-    return placed.join(heads, "root").join(stay, "root").select(
-        "row_no", "doc_id", "n_shingles", "component_id", (F.col("row_no") == F.col("stays")).alias("first"))
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("blank"), F.col("doc_id").alias("id"), F.col("row_no").alias("row")))
+    heads = staged(placed.groupBy("root").agg(head.alias("head")), "heads")
+    return placed.join(heads, "root").select(
+        "row_no", "doc_id", "n_shingles", F.col("head.id").alias("component_id"), (F.col("row_no") == F.col("head.row")).alias("first"))
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

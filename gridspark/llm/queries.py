@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import exact_dedup, fingerprints, jaccard_join, language, packing, quality, sharding, substring_dedup, toxicity
+from gridspark.llm import exact_dedup, fingerprints, jaccard_join, language, packing, quality, sentence_pieces, sharding, substring_dedup, toxicity
+from gridspark.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -23,6 +24,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -78,3 +80,8 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir))
+
+
+@query()
+def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.checked(table(spark, sf_dir))

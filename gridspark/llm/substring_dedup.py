@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gridspark.llm.common import CHECK_LANE, LANE, Block, blocks, lists, signed, sliding_min, staged, words_of
+from gridspark.llm.common import CHECK_LANE, LANE, Block, blocks, signed, sliding_min, staged, words_of
 
 WINDOW = 35
 # Word runs of WINDOW - REACH words are the anchors' candidates; an edge holds REACH + 1 of them.
@@ -173,10 +173,11 @@ def find(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     rows = staged(numbered(docs).mapInArrow(scanner(window), SCAN), "paths")
     runs = rows.select("row_no", F.inline("runs"))
     keys = ["anchor", "path", "path_check"]
-    anchors = runs.groupBy("anchor").agg(
+    # Staged, so that the join below has two plain shuffles and Spark can split a frequent anchor.
+    anchors = staged(runs.groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("path").alias("p0"), F.max("path").alias("p1"),
         F.min("path_check").alias("c0"), F.max("path_check").alias("c1"),
-    ).filter("n > 1").select("anchor", F.expr("p0 = p1 AND c0 = c1").alias("nonbranching"))
+    ).filter("n > 1").select("anchor", F.expr("p0 = p1 AND c0 = c1").alias("nonbranching")), "anchors")
     hits = staged(runs.join(anchors, "anchor"), "hits")
     whole = hits.filter("nonbranching").select("row_no", "start", "edges")
 
@@ -189,7 +190,7 @@ def find(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     texts = numbered(docs).select("row_no", "text")
     unrolled = staged(texts.join(sources, "row_no").mapInArrow(unroller(window), UNROLLED), "edges")
     edge = ["anchor", "edge", "edge_check"]
-    repeated = unrolled.groupBy(edge).agg(F.count("*").alias("n")).filter("n > 1").select(edge)
+    repeated = staged(unrolled.groupBy(edge).agg(F.count("*").alias("n")).filter("n > 1").select(edge), "repeated")
     single = unrolled.filter("copies = 1").join(repeated, edge, "left_semi").select("row_no", "start", F.lit(1).alias("edges"))
     spans = whole.unionByName(copied).unionByName(single).groupBy("row_no").agg(
         F.collect_list(F.struct("start", "edges")).alias("spans"))
