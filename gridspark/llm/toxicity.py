@@ -89,6 +89,26 @@ def document_counts(docs: DataFrame, words: np.ndarray) -> tuple[np.ndarray, int
     return np.array([found.get(i, 0) for i in range(len(words))], np.int64), found.get(-1, 0)
 
 
+class Sparse:
+    """Rows of (feature, weight), flat."""
+
+    def __init__(self, bounds: np.ndarray, place: np.ndarray, value: np.ndarray) -> None:
+        self.bounds, self.place, self.value = bounds, place, value
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    @property
+    def rows(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self)), np.diff(self.bounds))
+
+    def take(self, rows: np.ndarray) -> "Sparse":
+        sizes = np.diff(self.bounds)[rows]
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.repeat(self.bounds[rows] - bounds[:-1], sizes) + np.arange(bounds[-1])
+        return Sparse(bounds, self.place[at], self.value[at])
+
+
 class Vectors:
     """TF-IDF vectors of unit length over the vocabulary."""
 
@@ -96,71 +116,89 @@ class Vectors:
         self.words = words
         self.weight = np.log((1 + documents) / (1 + frequency)) + 1
 
-    def of(self, block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def of(self, block) -> Sparse:
         rows, places = lookup(self.words, *features(block))
         key, count = np.unique(rows * len(self.words) + places, return_counts=True)
         row, place = key // max(1, len(self.words)), key % max(1, len(self.words))
         value = (1 + np.log(count)) * self.weight[place]
-        bounds = np.searchsorted(row, np.arange(block.rows + 1))
-        for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            own = value[begin:end]
-            yield place[begin:end], own / np.sqrt((own * own).sum()) if end > begin else own
+        length = np.sqrt(np.bincount(row, weights=value * value, minlength=block.rows))
+        return Sparse(np.searchsorted(row, np.arange(block.rows + 1)), place, value / length[row])
 
 
 class Index:
     """Inverted lists in blocks of examples, with each feature's largest weight in each block."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], size: int) -> None:
+    def __init__(self, vectors: Sparse, size: int) -> None:
         # Examples with the same strongest feature lie in one block, so that bounds are tight.
-        strongest = [(int(p[v.argmax()]), -float(v.max()), i) if len(p) else (size, 0.0, i) for i, (p, v) in enumerate(vectors)]
-        self.order = np.array([i for *_, i in sorted(strongest)], np.int64)
-        self.blocks = -(-len(vectors) // BLOCK)
-        self.bound = np.zeros((size, self.blocks), np.float64)
-        self.lists: list[dict[int, tuple[np.ndarray, np.ndarray]]] = []
+        strongest = np.full(len(vectors), size)
+        by = np.lexsort((-vectors.value, vectors.rows))
+        full = np.flatnonzero(np.diff(vectors.bounds))
+        strongest[full] = vectors.place[by][vectors.bounds[full]]
+        self.order = np.lexsort((np.arange(len(vectors)), strongest))
+        self.vectors, self.size, self.blocks = vectors.take(self.order), size, -(-len(vectors) // BLOCK)
+        self.lists: list[tuple[np.ndarray, np.ndarray]] | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"lists": None}
+
+    def open(self) -> None:
+        """Lay out the lists of each block: its features, and their weights in its examples."""
+        self.lists, self.bound = [], np.zeros((self.size, self.blocks))
         for b in range(self.blocks):
-            own = self.order[b * BLOCK:(b + 1) * BLOCK]
-            place = np.concatenate([vectors[i][0] for i in own]) if len(own) else np.zeros(0, np.int64)
-            value = np.concatenate([vectors[i][1] for i in own]) if len(own) else np.zeros(0)
-            slot = np.repeat(np.arange(len(own)), [len(vectors[i][0]) for i in own])
-            by = np.argsort(place, kind="stable")
-            place, value, slot = place[by], value[by], slot[by]
-            starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else np.zeros(0, np.int64)
-            if len(place):
-                self.bound[place[starts], b] = np.maximum.reduceat(value, starts)
-            ends = np.append(starts[1:], len(place))
-            self.lists.append({int(place[s]): (slot[s:e], value[s:e]) for s, e in zip(starts, ends)})
-
-    def nearest(self, place: np.ndarray, value: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The K examples of largest cosine above 0, ties by example, and their cosines."""
-        bounds = value @ self.bound[place] if len(place) else np.zeros(self.blocks)
-        found_i, found_c, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or bounds[b] < least - 1e-12:
+            own = self.vectors.take(np.arange(b * BLOCK, min((b + 1) * BLOCK, len(self.vectors))))
+            names, at = np.unique(own.place, return_inverse=True)
+            weights = np.zeros((len(names), BLOCK))
+            weights[at, own.rows] = own.value
+            self.lists.append((names, weights))
+            self.bound[names, b] = weights.max(axis=1) if len(names) else 0
+
+    def nearest(self, queries: Sparse, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """For each query the K examples of largest cosine above 0, ties by example, and their cosines;
+        -1 and 0 where there are fewer. Queries open their blocks by falling bound, all their next
+        ones at a time, until the bound is below their K-th cosine."""
+        if self.lists is None:
+            self.open()
+        n = len(queries)
+        dense = np.zeros((n, self.size))
+        dense[queries.rows, queries.place] = queries.value
+        bounds = dense @ self.bound
+        turns = np.argsort(-bounds, axis=1, kind="stable")
+        near, cosine = np.full((n, K), -1), np.zeros((n, K))
+        active = np.arange(n)
+        for turn in range(self.blocks):
+            block = turns[active, turn]
+            reach = bounds[active, block]
+            keep = (reach > 0) & (reach >= cosine[active, -1] - 1e-9)
+            active, block = active[keep], block[keep]
+            if not len(active):
                 break
-            score = np.zeros(BLOCK)
-            lists = self.lists[b]
-            for p, v in zip(place.tolist(), value.tolist()):
-                if p in lists:
-                    slots, weights = lists[p]
-                    score[slots] += v * weights
-            hit = np.flatnonzero(score > 0)
-            i, c = self.order[b * BLOCK + hit], score[hit]
-            if without >= 0:
-                i, c = i[i != without], c[i != without]
-            found_i, found_c = np.concatenate([found_i, i]), np.concatenate([found_c, c])
-            if len(found_i) > K:
-                keep = np.lexsort((found_i, -np.round(found_c, 12)))[:K]
-                found_i, found_c = found_i[keep], found_c[keep]
-                least = found_c.min()
-        keep = np.lexsort((found_i, -np.round(found_c, 12)))
-        return found_i[keep], found_c[keep]
-
-
-def vote(labels: np.ndarray, near: np.ndarray, cosine: np.ndarray, alone: float) -> float:
+            found = np.zeros((len(active), BLOCK))
+            for b in np.unique(block):
+                own = np.flatnonzero(block == b)
+                names, weights = self.lists[b]
+                found[own] = dense[np.ix_(active[own], names)] @ weights
+            # Equal cosines must tie whatever the order of their sums.
+            found = np.round(found, 9)
+            place = block[:, None] * BLOCK + np.arange(BLOCK)
+            example = np.where(found > 0, self.order[np.minimum(place, len(self.order) - 1)], -1)
+            if without is not None:
+                example[example == without[active][:, None]] = -1
+            found[example < 0] = 0
+            some = np.flatnonzero(found.max(axis=1) >= np.maximum(cosine[active, -1], 1e-9))
+            rows = active[some]
+            both, names = np.hstack([cosine[rows], found[some]]), np.hstack([near[rows], example[some]])
+            best = np.lexsort((names, -both), axis=1)[:, :K]
+            near[rows], cosine[rows] = np.take_along_axis(names, best, 1), np.take_along_axis(both, best, 1)
+        near[cosine <= 0] = -1
+        return near, cosine
+
+
+def vote(labels: np.ndarray, near: np.ndarray, cosine: np.ndarray, alone: float) -> np.ndarray:
     """Share of toxic neighbours, the nearer the heavier; the rate of unmatched examples pulls it
     towards itself where cosines are small."""
     weight = cosine / (1.05 - np.minimum(cosine, 1))
-    return float((weight @ labels[near] + 0.2 * alone) / (weight.sum() + 0.2))
+    toxic = labels[near] if len(labels) else np.zeros(near.shape)
+    return ((weight * toxic).sum(axis=1) + 0.2 * alone) / (weight.sum(axis=1) + 0.2)
 
 
 def monotone(raw: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,11 +219,12 @@ class Model:
     def __init__(self, vectors: Vectors, index: Index, ids: np.ndarray, labels: np.ndarray, alone: float, knots: tuple[np.ndarray, np.ndarray]) -> None:
         self.vectors, self.index, self.ids, self.labels, self.alone, self.knots = vectors, index, ids, labels, alone, knots
 
-    def score(self, place: np.ndarray, value: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        near, cosine = self.index.nearest(place, value)
+    def score(self, block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Score of each text, its nearest examples and their cosines."""
+        near, cosine = self.index.nearest(self.vectors.of(block))
         raw = vote(self.labels, near, cosine, self.alone)
-        calibrated = float(np.interp(raw, *self.knots)) if len(self.knots[0]) else raw
-        return min(1.0, max(0.0, 0.999 * calibrated + 0.001 * raw)), near, cosine
+        calibrated = np.interp(raw, *self.knots) if len(self.knots[0]) else raw
+        return np.clip(0.999 * calibrated + 0.001 * raw, 0, 1), near, cosine
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
@@ -197,24 +236,26 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(2)):
-                pairs = list(vectors.of(block))
+                own = vectors.of(block)
+                ends = pa.array(own.bounds.astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(block.first, block.rows), batch.column(1).slice(block.first, block.rows),
-                    pa.array([p.tolist() for p, _ in pairs], pa.list_(pa.int64())), pa.array([v.tolist() for _, v in pairs], pa.list_(pa.float64())),
+                    pa.ListArray.from_arrays(ends, pa.array(own.place)), pa.ListArray.from_arrays(ends, pa.array(own.value)),
                 ], names=["doc_id", "label", "place", "value"])
 
     rows = sorted(examples.select("doc_id", "label", "text").mapInArrow(
         embed, "doc_id long, label int, place array<long>, value array<double>").collect(), key=lambda r: r["doc_id"])
-    pairs = [(np.array(r["place"], np.int64), np.array(r["value"], np.float64)) for r in rows]
+    flat = Sparse(np.concatenate([[0], np.cumsum([len(r["place"]) for r in rows])]).astype(np.int64),
+                  np.array([x for r in rows for x in r["place"]], np.int64), np.array([x for r in rows for x in r["value"]], np.float64))
     truth = np.array([r["label"] for r in rows], np.float64)
     # The sample takes classes alike; weights give each class its share among labelled rows.
     share = np.array([counts.get(int(y), 0) / max(1, (truth == y).sum()) for y in truth])
-    none = np.array([len(p) == 0 for p, _ in pairs], bool)
+    none = np.diff(flat.bounds) == 0
     total = share[none].sum() if none.any() else 0.0
     alone = float((share[none] @ truth[none]) / total) if total else float(counts.get(1, 0) / max(1, sum(counts.values())))
-    index = Index(pairs, len(words))
-    raw = np.array([vote(truth, *index.nearest(p, v, without=i), alone) for i, (p, v) in enumerate(pairs)])
-    knots = monotone(raw, truth, share) if len(rows) else (np.zeros(0), np.zeros(0))
+    index = Index(flat, len(words))
+    raw = [vote(truth, *index.nearest(flat.take(own), without=own), alone) for own in np.array_split(np.arange(len(rows)), 1 + len(rows) // 500)]
+    knots = monotone(np.concatenate(raw), truth, share) if len(rows) else (np.zeros(0), np.zeros(0))
     return Model(vectors, index, np.array([r["doc_id"] for r in rows], np.int64), truth, alone, knots)
 
 
@@ -225,21 +266,17 @@ def scorer(model: Model):
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nothing = model.score(np.zeros(0, np.int64), np.zeros(0))[0]
         for batch in batches:
             for block in blocks(batch.column(1)):
-                scores, evidence = [], []
-                for place, value in model.vectors.of(block):
-                    if not len(place):
-                        scores.append(nothing)
-                        evidence.append([])
-                        continue
-                    value_score, near, cosine = model.score(place, value)
-                    scores.append(value_score)
-                    evidence.append([{"doc_id": int(model.ids[i]), "label": int(model.labels[i]), "cosine": float(c)}
-                                     for i, c in zip(near[:EVIDENCE], cosine[:EVIDENCE])])
+                scores, near, cosine = model.score(block)
+                top, heavy = near[:, :EVIDENCE], cosine[:, :EVIDENCE]
+                some = top >= 0
+                chosen = top[some]
+                evidence = pa.StructArray.from_arrays([
+                    pa.array(model.ids[chosen]), pa.array(model.labels[chosen].astype(np.int32)), pa.array(heavy[some])], fields=list(kind.value_type))
+                ends = np.concatenate([[0], np.cumsum(some.sum(axis=1))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(block.first, block.rows), pa.array(scores, pa.float64()), pa.array(evidence, kind),
+                    batch.column(0).slice(block.first, block.rows), pa.array(scores), pa.ListArray.from_arrays(pa.array(ends), evidence),
                 ], names=["doc_id", "score", "neighbours"])
 
     return score
@@ -265,11 +302,8 @@ def keep_harmless(docs: DataFrame, model: Model) -> DataFrame:
     text = schema.fieldNames().index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nothing = model.score(np.zeros(0, np.int64), np.zeros(0))[0]
         for batch in batches:
-            stay = []
-            for block in blocks(batch.column(text)):
-                stay += [(model.score(p, v)[0] if len(p) else nothing) < THRESHOLD for p, v in model.vectors.of(block)]
-            yield batch.filter(pa.array(stay, pa.bool_()))
+            stay = [model.score(block)[0] < THRESHOLD for block in blocks(batch.column(text))]
+            yield batch.filter(pa.array(np.concatenate(stay) if stay else np.zeros(0, bool)))
 
     return docs.mapInArrow(keep, schema)
