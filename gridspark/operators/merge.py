@@ -7,6 +7,9 @@ appends, upsert rewrites the touched partitions.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
@@ -111,25 +114,45 @@ def stored_form(batch: DataFrame, table: Table, extra: list[str]) -> DataFrame:
 
 
 def month_of(day: Column) -> Column:
-    """`YYYYMM` of a date or of a date text with or without separators."""
-    return F.substring(F.translate(day.cast("string"), "-/", ""), 1, 6)
+    """`YYYYMM` of a date or of a date text with or without separators; one-digit months count."""
+    text = F.trim(day.cast("string"))
+    parts = F.split(text, "[-/]")
+    separated = F.concat(F.get(parts, F.lit(0)), F.lpad(F.get(parts, F.lit(1)), 2, "0"))
+    return F.when(F.size(parts) > 1, separated).otherwise(F.substring(text, 1, 6))
 
 
 def touched(target: DataFrame, batch: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
     """The target's partitions that the batch falls into.
 
     The partition values are collected only up to a fixed number, to become a literal
-    filter that prunes files; beyond it the engine joins instead.
+    filter that prunes files; beyond it the engine joins instead. Whole combinations are
+    compared, and a null value, which has a folder of its own, equals itself.
     """
     if not partitions:
         return target
     values = batch.select(*partitions).distinct()
     found = values.limit(PARTITIONS_TO_PRUNE + 1).collect()
     if len(found) > PARTITIONS_TO_PRUNE:
-        return target.join(values, list(partitions), "left_semi")
-    for position, column in enumerate(partitions):
-        target = target.filter(F.col(column).isin(sorted({row[position] for row in found})))
-    return target
+        values = values.select(*[F.col(name).alias(f"batch_{name}") for name in partitions])
+        same = [F.col(name).eqNullSafe(F.col(f"batch_{name}")) for name in partitions]
+        return target.join(values, reduce(and_, same), "left_semi")
+    return target.filter(in_partitions(partitions, [tuple(row) for row in found]))
+
+
+def in_partitions(partitions: tuple[str, ...], found: list[tuple]) -> Column:
+    """Whether a row lies in one of the given partitions, as nested lists of values per column."""
+    column, rest = F.col(partitions[0]), partitions[1:]
+    by_value: dict = {}
+    for value, *more in found:
+        by_value.setdefault(value, []).append(tuple(more))
+    if not rest:
+        known = [value for value in by_value if value is not None]
+        return column.isin(known) | (column.isNull() if None in by_value else F.lit(False))
+    tests = [
+        (column.isNull() if value is None else column == F.lit(value)) & in_partitions(rest, more)
+        for value, more in by_value.items()
+    ]
+    return reduce(or_, tests, F.lit(False))
 
 
 def _write(rows: DataFrame, path: str, table: Table, mode: str) -> None:
@@ -164,7 +187,8 @@ def upsert_into(spark: SparkSession, batch: DataFrame, path: str, table: Table,
         raise ValueError(f"{table.name} has no partitions to rewrite")
     rows = stored_form(batch, table, order)
     target = touched(read_table(spark, path, table), rows, table.partitions)
-    keys = [*table.key, *[name for name in table.partitions if name not in table.key]]
+    # The key decides the partition, so only the key is compared; a null month has its own folder.
+    keys = list(table.key)
     if columns:
         merged = upsert_columns(target, rows, keys, columns, order)
     else:

@@ -52,7 +52,7 @@ def price_text(orders: DataFrame) -> DataFrame:
 
 def parsed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = price_text(table(spark, sf_dir, "orders"))
-    lines = attach_heads(text, first_cell_heads(text, PRICE_HEADER_CELL), F.array(F.lit(0)))
+    lines = attach_heads(text, first_cell_heads(text, PRICE_HEADER_CELL), F.array(F.lit(0)), broadcast=True)
     return spot_price.parse(lines.filter(F.col("positions").isNotNull()))
 
 
@@ -71,8 +71,11 @@ price AS (
   FROM p WHERE n = 1)"""
 
 
-def latest_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def latest_prices(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None) -> DataFrame:
+    """The last price per day and slot; the day is part of the key, so a range is cut out first."""
     accepted = spot_price.accepted(parsed_prices(spark, sf_dir))
+    if days:
+        accepted = in_range(accepted, "dt", *[F.lit(day).cast("date") for day in days])
     return keep_last(accepted, ["date", "slot"], ["path", "seg", "line_no"])
 
 
@@ -91,8 +94,7 @@ def spot_price_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
   format('{{:,}}', contract_qty_kwh) AS contract_qty
 FROM price WHERE date BETWEEN '1996-01-01' AND '1997-12-31' ORDER BY date, slot LIMIT 10""")
 def price_display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = in_range(latest_prices(spark, sf_dir), "dt", F.lit("1996-01-01").cast("date"),
-                      F.lit("1997-12-31").cast("date"))
+    prices = latest_prices(spark, sf_dir, ("1996-01-01", "1997-12-31"))
     return preview(prices, [F.col("date"), F.col("slot")]).select(
         "date", "slot", fixed_or_na(F.col("ap0_system")).alias("system_price"),
         fixed_or_na(F.col("ap3_tokyo")).alias("tokyo_price"), thousands_or_na(F.col("contract_qty_kwh")).alias("contract_qty"),

@@ -46,7 +46,7 @@ def parsed_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     heads = nth_line_heads(text, weather.LOWER_HEADER_LINE, skip_blank=False)
     head = F.col("head")
     places = weather.positions(head[weather.UPPER_HEADER_LINE - 1], head[weather.LOWER_HEADER_LINE - 1], "hourly")
-    lines = attach_heads(text, heads, places)
+    lines = attach_heads(text, heads, places, broadcast=True)
     return weather.parse(lines.withColumn("station_id", weather.station_of_path(F.col("path"))), "hourly")
 
 

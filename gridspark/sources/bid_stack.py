@@ -25,7 +25,7 @@ def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIM
     text = decode_ladder(F.col("content"), F.col("utf8"))
     small = pieces.select("path", "seg", F.posexplode_outer(lines_of(text)).alias("line_no", "line"))
     large = scan_large(spark, path, limit)
-    return small.unionByName(decode_lines(large, broadcast=has_few_files(large)))
+    return small.unionByName(decode_lines(large, broadcast=has_few_files(spark, path, limit)))
 
 
 def parse(lines: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Landed files as pieces of bytes: whole small files, archive entries, stored payloads.
 
 A *piece* is `(path, seg, head, utf8, content)`. A small file is one piece. An archive
-entry is cut at line ends into pieces of bounded size that share the bytes of the
-entry's first lines (`head`) and one verdict on its encoding (`utf8`).
+entry is cut at line ends into pieces of bounded size that share the lines its header is
+resolved from (`head`, found by the reader's own rule wherever it stands) and one verdict
+on its encoding (`utf8`).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import io
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
@@ -28,11 +30,19 @@ ARCHIVE_LIMIT = 1024 * 1024 * 1024
 ARCHIVE_NAME = ".zip"
 TEXT_NAMES = (".csv", ".json", ".txt")
 PIECE_BYTES = 4 * 1024 * 1024
-HEAD_LINES = 8
 PIECES = "path string, seg bigint, head binary, utf8 boolean, content binary"
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+@dataclass(frozen=True)
+class HeadRule:
+    """Where the header stands: the n-th line, or the first line with a given first cell."""
+
+    nth: int | None = None
+    skip_blank: bool = True
+    first_cell: str | None = None
+
+
 def scan_files(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT, over: int = 0,
                name: Callable[[Column], Column] | None = None) -> DataFrame:
     """Files of more than `over` and at most `limit` bytes, with names that pass `name`.
@@ -77,8 +87,14 @@ def has_text_name(name: Column) -> Column:
     return reduce(lambda left, suffix: left | name.endswith(suffix), TEXT_NAMES, F.lit(False))
 
 
-def _entry_expander(piece_bytes: int):
+def has_other_name(name: Column) -> Column:
+    return ~has_text_name(name) & ~has_archive_name(name)
+
+
+def _entry_expander(piece_bytes: int, rule: HeadRule | None):
     """The archive reader, self-contained so that workers need no copy of this package."""
+    nth, skip_blank = (rule.nth, rule.skip_blank) if rule else (None, True)
+    marks = [rule.first_cell.encode(charset) for charset in ("utf-8", "cp932")] if rule and rule.first_cell else []
 
     def readable(archive: zipfile.ZipFile, name: str) -> bool:
         try:
@@ -102,18 +118,28 @@ def _entry_expander(piece_bytes: int):
 
     def pieces(archive: zipfile.ZipFile, name: str) -> Iterator[tuple]:
         utf8 = is_utf8_entry(archive, name)
-        head, seg, buffer, size = b"", 0, [], 0
+        head, found, counted = b"", not (nth or marks), 0
+        seg, buffer, size = 0, [], 0
         with archive.open(name) as stream:
             for number, line in enumerate(stream):
-                if number < HEAD_LINES:
-                    head += line
                 buffer.append(line)
                 size += len(line)
-                if size >= piece_bytes and number >= HEAD_LINES:
-                    yield seg, head, utf8, b"".join(buffer)
+                ended = False
+                if not found:
+                    bare = line.removeprefix(codecs.BOM_UTF8) if number == 0 else line
+                    if marks:
+                        found = bare.split(b",", 1)[0].replace(b'"', b"").strip() in marks
+                        head = line if found else head
+                    elif not skip_blank or bare.strip():
+                        head, counted = head + line, counted + 1
+                        found = counted == nth
+                    # Lines up to a late header are a piece without one; below it a new piece begins.
+                    ended = found and seg > 0
+                if ended or size >= piece_bytes:
+                    yield seg, head if found and not ended else b"", utf8, b"".join(buffer)
                     seg, buffer, size = seg + 1, [], 0
         if buffer:
-            yield seg, head, utf8, b"".join(buffer)
+            yield seg, head if found else b"", utf8, b"".join(buffer)
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["path", "seg", "head", "utf8", "content"]
@@ -131,32 +157,45 @@ def _entry_expander(piece_bytes: int):
     return expand
 
 
-def archive_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+def archive_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES, rule: HeadRule | None = None) -> DataFrame:
     """CSV entries of archives; a broken entry or archive gives no rows."""
-    return files.select("path", "content").mapInPandas(_entry_expander(piece_bytes), PIECES)
+    return files.select("path", "content").mapInPandas(_entry_expander(piece_bytes, rule), PIECES)
 
 
 def scan_pieces(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT,
-                trust_names: bool = True) -> DataFrame:
+                trust_names: bool = True, rule: HeadRule | None = None) -> DataFrame:
     """Pieces of every plain file up to `limit` and of every archive.
 
     A file is an archive by its name or, unless it is named like a text, by its first
     bytes. With `trust_names` off, the first bytes of text-named files count too, at the
     price of reading them twice. Plain files over the limit belong to
     `gridspark.sources.lines.scan_large`. An archive has to be opened as a whole, so its
-    own limit is higher; see `oversize_archives`.
+    own limit is higher; the load fails on a larger one instead of leaving it out.
     """
+    fail_on(oversize_archives(spark, path))
     zipped = is_zip(F.col("content"))
     named = scan_files(spark, path, ARCHIVE_LIMIT, name=has_archive_name)
     if trust_names:
         texts = scan_files(spark, path, limit, name=has_text_name)
-        others = scan_files(spark, path, limit, name=lambda name: ~has_text_name(name) & ~has_archive_name(name))
+        others = scan_files(spark, path, limit, name=has_other_name)
         plain = texts.unionByName(others.filter(~zipped))
     else:
         others = scan_files(spark, path, limit, name=lambda name: ~has_archive_name(name))
         plain = others.filter(~zipped)
-    archives = named.unionByName(others.filter(zipped))
-    return whole_pieces(plain).unionByName(archive_pieces(archives))
+    archives = named.unionByName(others.filter(zipped)).unionByName(large_unnamed_archives(spark, path, limit))
+    return whole_pieces(plain).unionByName(archive_pieces(archives, rule=rule))
+
+
+def large_unnamed_archives(spark: SparkSession, path: str | list[str], limit: int) -> DataFrame:
+    """Archives above the limit for plain files whose name says neither archive nor text."""
+    return scan_files(spark, path, ARCHIVE_LIMIT, over=limit, name=has_other_name).filter(is_zip(F.col("content")))
+
+
+def fail_on(oversize: DataFrame) -> None:
+    """Stop before anything is loaded when a file is too large to be opened."""
+    found = oversize.limit(10).collect()
+    if found:
+        raise ValueError(f"{found[0].issue}: " + ", ".join(f"{row.path} ({row.length} bytes)" for row in found))
 
 
 def oversize_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:

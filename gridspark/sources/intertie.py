@@ -1,16 +1,44 @@
-"""Intertie-capacity files: columns are passed through as they are named."""
+"""Intertie-capacity files: columns are passed through as each file names them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gridspark.functions.text import BOM, JAPANESE
+from gridspark.functions.text import BOM, JAPANESE, cells
+from gridspark.sources.files import WHOLE_FILE_LIMIT
+from gridspark.sources.lines import headed_lines, nth_line, nth_line_heads
 
 
-def read(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A table with the file's own headers; every value stays text."""
-    df = spark.read.option("header", True).option("encoding", JAPANESE).option("inferSchema", False).csv(path)
-    return df.toDF(*[name.lstrip(BOM) for name in df.columns])
+def names_of(header: Column) -> Column:
+    return F.transform(cells(header), lambda name: F.trim(F.replace(name, F.lit(BOM), F.lit(""))))
+
+
+def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
+    """Lines below each file's first line, with that line's names as `positions`."""
+    return headed_lines(
+        spark, path, nth_line(1), lambda head, at: names_of(F.get(head, at.cast("int"))),
+        lambda large: nth_line_heads(large, 1), names_of(F.col("header")), limit, JAPANESE,
+    )
+
+
+def read(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
+    """All files by column name, whatever order each has them in; every value stays text.
+
+    A file without a column leaves it null, and a repeated name counts at its first cell.
+    Columns come in the order in which sorted files first name them; the names, a few per
+    layout, are the only thing gathered.
+    """
+    lines = scan(spark, path, limit).filter(F.trim("line") != "")
+    named = lines.filter(F.col("positions").isNotNull()).groupBy("positions").agg(F.min("path").alias("first"))
+    layouts = sorted(named.collect(), key=lambda row: row["first"])
+    names = list(dict.fromkeys(name for row in layouts for name in row.positions if name))
+    split = lines.select("positions", cells(F.col("line")).alias("cells"))
+
+    def value(name: str) -> Column:
+        place = F.nullif(F.array_position("positions", F.lit(name)), F.lit(0))
+        return F.get("cells", (place - 1).cast("int")).alias(name)
+
+    return split.select(*[value(name) for name in names])
 
 
 def copy(spark: SparkSession, path: str | list[str], target: str) -> None:

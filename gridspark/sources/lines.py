@@ -9,15 +9,27 @@ route is narrow from end to end.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gridspark.functions.text import JAPANESE, cells, decode_ladder, lines_of
-from gridspark.sources.files import WHOLE_FILE_LIMIT, has_archive_name, scan_pieces
+from gridspark.sources.files import WHOLE_FILE_LIMIT, HeadRule, has_archive_name, has_other_name, scan_pieces
 
 HEADS_TO_BROADCAST = 10_000
 HEAD_BYTES = 64 * 1024
-Resolver = Callable[[Column], Column]
+ARCHIVE_MARK = "PK\x03\x04"
+
+
+@dataclass(frozen=True)
+class Resolver:
+    """Index of the header among a file's lines, and the same rule for archive entries."""
+
+    find: Callable[[Column], Column]
+    rule: HeadRule
+
+    def __call__(self, lines: Column) -> Column:
+        return self.find(lines)
 
 
 def spellings_of(aliases: dict[str, list[str]]) -> Column:
@@ -51,7 +63,7 @@ def nth_line(n: int, skip_blank: bool = True) -> Resolver:
         )
         return F.get(filled, F.lit(n - 1))
 
-    return find
+    return Resolver(find, HeadRule(nth=n, skip_blank=skip_blank))
 
 
 def first_cell_line(value: str) -> Resolver:
@@ -61,7 +73,7 @@ def first_cell_line(value: str) -> Resolver:
         firsts = F.transform(lines, lambda line: F.trim(F.translate(F.substring_index(line, ",", 1), '"', "")))
         return F.nullif(F.array_position(firsts, F.lit(value)), F.lit(0)) - 1
 
-    return find
+    return Resolver(find, HeadRule(first_cell=value))
 
 
 def piece_lines(pieces: DataFrame, find_head: Resolver, resolve: Callable[[Column, Column], Column],
@@ -95,16 +107,20 @@ def scan_large(spark: SparkSession, path: str | list[str], over: int = WHOLE_FIL
 
     `seg` is the byte at which a split starts. The size test prunes whole files.
     No line end can be part of a character in UTF-8 or the Japanese code page, so
-    cutting lines before decoding is safe.
+    cutting lines before decoding is safe. Archives go by name, and where the name says
+    nothing by their first bytes; `scan_pieces` opens both.
     """
     scan = spark.read.option("recursiveFileLookup", "true").text(path)
-    plain = ~has_archive_name(F.lower("_metadata.file_name"))
-    return scan.filter((F.col("_metadata.file_size") > over) & plain).select(
-        F.col("_metadata.file_path").alias("path"),
+    name, place = F.lower("_metadata.file_name"), F.col("_metadata.file_path").alias("path")
+    large = scan.filter((F.col("_metadata.file_size") > over) & ~has_archive_name(name))
+    starts = large.filter(has_other_name(name) & (F.col("_metadata.file_block_start") == 0))
+    archives = starts.filter(F.col("value").startswith(ARCHIVE_MARK)).select(place).distinct()
+    return large.select(
+        place,
         F.col("_metadata.file_block_start").alias("seg"),
         F.monotonically_increasing_id().alias("line_no"),
         F.col("value").cast("binary").alias("raw"),
-    )
+    ).join(archives, "path", "left_anti")
 
 
 def decode_lines(raw: DataFrame, charset: str | None = None, broadcast: bool = False) -> DataFrame:
@@ -172,9 +188,11 @@ def attach_heads(lines: DataFrame, heads: DataFrame, positions: Column, broadcas
     )
 
 
-def has_few_files(scan: DataFrame) -> bool:
-    """Whether one row per file is small enough to broadcast; from the listing, no job runs."""
-    return len(scan.inputFiles()) <= HEADS_TO_BROADCAST
+def has_few_files(spark: SparkSession, path: str | list[str], over: int) -> bool:
+    """Whether one row per large file is small enough to broadcast: their number, counted up to
+    that bound from the listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.filter(F.col("length") > over).select("path").limit(HEADS_TO_BROADCAST + 1).count() <= HEADS_TO_BROADCAST
 
 
 def headed_lines(spark: SparkSession, path: str | list[str], find_head: Resolver,
@@ -182,9 +200,9 @@ def headed_lines(spark: SparkSession, path: str | list[str], find_head: Resolver
                  large_positions: Column, limit: int = WHOLE_FILE_LIMIT, charset: str | None = None,
                  labels: dict[str, Column] | None = None) -> DataFrame:
     """Lines of all landed files: small ones and archives as pieces, large ones as splits."""
-    small = piece_lines(scan_pieces(spark, path, limit), find_head, resolve, charset, labels)
+    small = piece_lines(scan_pieces(spark, path, limit, rule=find_head.rule), find_head, resolve, charset, labels)
     scan = scan_large(spark, path, limit)
-    few = has_few_files(scan)
+    few = has_few_files(spark, path, limit)
     large = decode_lines(scan, charset, broadcast=few)
     attached = attach_heads(large, large_heads(large), large_positions, broadcast=few)
     return small.unionByName(attached.withColumns(labels or {}))

@@ -25,7 +25,10 @@ def positions(header: Column) -> Column:
         energy = F.filter(numbered, lambda entry: entry["name"].contains(PLANT_ENERGY_MARK))
         label = lambda entry: F.replace(entry["name"], F.lit(PLANT_ENERGY_MARK), F.lit(""))
         labelled = F.transform(energy, lambda entry: F.struct(label(entry).alias("label"), entry["at"].alias("at")))
-        return F.struct(F.array(*known).alias("known"), labelled.alias("energy"))
+        labels = F.transform(energy, label)
+        # A label that a header repeats counts once, at its first cell.
+        first = F.filter(labelled, lambda entry, i: F.array_position(labels, entry["label"]) == i + 1)
+        return F.struct(F.array(*known).alias("known"), first.alias("energy"))
 
     return bound(F.transform(cells(header), lambda name: F.trim(name)), of)
 
@@ -48,12 +51,18 @@ def parse(lines: DataFrame, processed_on: date) -> DataFrame:
         F.col("positions.energy"),
         lambda entry: F.struct(entry["label"], number_or_null(F.trim(F.get(F.col("cells"), entry["at"])))),
     ))
+    day = slashed_date(known["date"])
     return split.select(
         *ORDER, *[column.alias(name) for name, column in known.items() if name != "date"],
-        slashed_date(known["date"]).alias("date"), energy.alias("kwh"), F.lit(processed_on).alias("processing_date"),
+        day.alias("date"), energy.alias("kwh"), F.lit(processed_on).alias("processing_date"),
+        F.when(day.isNull(), "invalid_date").alias("issue"),
     )
 
 
+def accepted(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("issue").isNull())
+
+
 def long_form(parsed: DataFrame) -> DataFrame:
     """One row per plant, unit, day and half hour."""
     plain = [name for name in parsed.columns if name != "kwh"]

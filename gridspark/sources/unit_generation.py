@@ -10,7 +10,7 @@ from gridspark.functions.dates import compact_text, slashed_date
 from gridspark.functions.numbers import int_or_zero, nullable_int
 from gridspark.functions.text import decode_ladder, joined_key, or_na, settled
 from gridspark.schemas import SLOT_COLUMNS, TABLES
-from gridspark.sources.files import scan_pieces
+from gridspark.sources.files import fail_on, has_archive_name, scan_pieces
 
 TABLE = TABLES["occto_30min_generation"]
 ANSWER_LIMIT = 512 * 1024 * 1024
@@ -25,14 +25,15 @@ def slot_fields() -> dict[str, str]:
 
 def scan(spark: SparkSession, path: str | list[str], limit: int = ANSWER_LIMIT) -> DataFrame:
     """Answers as `(path, text)`; one answer is one file and is parsed as a whole."""
+    fail_on(oversize(spark, path, limit))
     pieces = scan_pieces(spark, path, limit)
     return pieces.select("path", decode_ladder(F.col("content"), F.col("utf8")).alias("text"))
 
 
-def oversize(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Answers too large to parse, for the reject report; only their names are read."""
+def oversize(spark: SparkSession, path: str | list[str], limit: int = ANSWER_LIMIT) -> DataFrame:
+    """Answers too large to parse, on which a load fails; only their names are read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.filter(F.col("length") > ANSWER_LIMIT).select("path", "length", F.lit("answer_too_large").alias("issue"))
+    return files.filter((F.col("length") > limit) & ~has_archive_name(F.lower("_metadata.file_name"))).select("path", "length", F.lit("answer_too_large").alias("issue"))
 
 
 def items(answers: DataFrame, keep: list[str] | None = None) -> DataFrame:

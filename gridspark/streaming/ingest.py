@@ -7,6 +7,7 @@ A batch that is repeated after a failure finds its keys in the table already.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,6 +24,11 @@ ORDER = ["path", "seg", "line_no"]
 Reader = Callable[[SparkSession, list[str]], DataFrame]
 
 
+def literal_path(path: str) -> str:
+    """A path that readers take as it is, although they expand patterns."""
+    return re.sub(r"([\[\]{}*?,\\])", r"\\\1", path)
+
+
 def ingest_new_files(
     spark: SparkSession, landing: str, read: Reader, table: Table, target: str, ledger: str, checkpoint: str,
     replace: bool = False, order: list[str] = ORDER, kept_issues: tuple[str, ...] = (),
@@ -37,19 +43,19 @@ def ingest_new_files(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         # At most files_per_batch names.
-        paths = [row.path for row in batch.select("path").collect()]
-        if not paths:
+        landed = [row.path for row in batch.select("path").collect()]
+        if not landed:
             return
         session = batch.sparkSession
         # Parsed once, for the table and the ledger alike; survives lost executors.
         ensure_checkpoint_dir(session)
-        parsed = read(session, paths).checkpoint()
+        parsed = read(session, [literal_path(path) for path in landed]).checkpoint()
         good = parsed.filter(F.col("issue").isNull() | F.col("issue").isin(list(kept_issues)))
         if replace:
             upsert_into(session, good, target, table, order)
         else:
             insert_into(session, good, target, table, order)
-        files = session.createDataFrame([(path,) for path in paths], "path string")
+        files = session.createDataFrame([(path,) for path in landed], "path string")
         entries = file_outcomes(files, parsed).withColumn("loaded_at", F.current_timestamp())
         writer = entries.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(ledger)

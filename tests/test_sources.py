@@ -102,10 +102,10 @@ def test_archive_entries_are_cut_at_line_ends(spark, tmp_path):
     lines = [f"2024/04/{n % 28 + 1:02d},{n % 24}:00,{n},,," for n in range(3000)]
     text = "\n".join(["表題", SUPPLY_HEADER, *lines])
     land(tmp_path, "chubu/e_2024.zip", archive(a__csv=text.encode("cp932")))
-    pieces = files.archive_pieces(files.scan_files(spark, str(tmp_path), name=files.has_archive_name), piece_bytes=1000)
-    assert pieces.count() > 50
     from gridspark.sources.lines import nth_line, piece_lines
 
+    pieces = files.archive_pieces(files.scan_files(spark, str(tmp_path), name=files.has_archive_name), 1000, nth_line(2).rule)
+    assert pieces.count() > 50
     cut = piece_lines(pieces, nth_line(2), lambda head, at: area_supply.positions(F.get(head, at.cast("int")), F.lit(3)))
     assert cut.count() == len(lines)
     assert cut.filter(F.get("positions", F.lit(0)) != 0).count() == 0
