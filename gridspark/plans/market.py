@@ -164,12 +164,15 @@ def bid_stack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @plan(f"""WITH {BIDS_SQL}, s AS (SELECT id, first(price ORDER BY k1, k2, price, sell_qty, buy_qty) AS price,
+  first(sell_qty ORDER BY k1, k2, price, sell_qty, buy_qty) AS sell_qty,
+  first(buy_qty ORDER BY k1, k2, price, sell_qty, buy_qty) AS buy_qty,
   count(*) AS n, date, slot, area_code FROM k GROUP BY id, date, slot, area_code)
-SELECT date, slot, area_code, price AS first_price, n || ' points' AS total_points FROM s
+SELECT date, slot, area_code, price AS first_price, sell_qty AS first_sell_qty, buy_qty AS first_buy_qty,
+  n || ' points' AS total_points FROM s
 WHERE date BETWEEN '19960101' AND '19971231' ORDER BY date, slot, area_code LIMIT 10""")
 def bid_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = bid_steps(spark, sf_dir).filter(F.col("date").between("19960101", "19971231"))
     firsts = bids.first_and_size_of_steps(steps, ["seg", "line_no"])
     return preview(firsts, [F.col("date"), F.col("slot"), F.col("area_code")]).select(
-        "date", "slot", "area_code", "first_price", F.concat("points", F.lit(" points")).alias("total_points")
+        "date", "slot", "area_code", "first_price", "first_sell_qty", "first_buy_qty", F.concat("points", F.lit(" points")).alias("total_points")
     )

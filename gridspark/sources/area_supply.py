@@ -12,7 +12,7 @@ from gridspark.functions.text import bound, cell, cells, cells_at, joined_key, s
 from gridspark.operators.coverage import archive_years
 from gridspark.operators.dedup import first_usable, keep_first
 from gridspark.schemas import require_columns
-from gridspark.sources.files import WHOLE_FILE_LIMIT, area_of_path, period_of_path
+from gridspark.sources.files import WHOLE_FILE_LIMIT, area_of_path, listing, literal_path, period_of_path
 from gridspark.sources.lines import alias_positions, headed_lines, header_names, nth_line, \
     nth_line_heads, spellings_of
 
@@ -28,8 +28,18 @@ def positions(header: Column, area_code: Column) -> Column:
     return bound(header_names(header), lambda names: alias_positions(names, spellings))
 
 
-def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """Lines of landed files; the area id is part of the path."""
+def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT,
+         current_year: int | None = None) -> DataFrame:
+    """Lines of landed files; the area id is part of the path.
+
+    With `current_year`, of several versions of one area and month only the one to use is
+    read (`choose_versions`), decided from the listing; files outside that scheme are read too.
+    """
+    if current_year is not None:
+        chosen = [literal_path(row.path) for row in chosen_files(listing(spark, path), current_year).collect()]
+        if not chosen:
+            return scan(spark, path, limit).limit(0)
+        return scan(spark, chosen, limit)
     area = area_of_path(F.col("path"))
     return headed_lines(
         spark, path, nth_line(HEADER_LINE),
@@ -57,6 +67,14 @@ def choose_versions(files: DataFrame, current_year: int) -> DataFrame:
     return best.select("area_code", "period", "path").unionByName(yearly.select("area_code", "period", "path"))
 
 
+def chosen_files(files: DataFrame, current_year: int) -> DataFrame:
+    """`path` of every landed file to read: the chosen versions, and files that name no area or period."""
+    path = F.col("path")
+    named = area_of_path(path).isNotNull() & period_of_path(path).isNotNull()
+    outside = files.filter(~named & (F.col("length") > 0)).select("path")
+    return choose_versions(files.filter(named), current_year).select("path").unionByName(outside)
+
+
 def archive_for_year(files: DataFrame, target_year: int, current_year: int) -> DataFrame:
     """The yearly archive that answers for a year: the first landed, non-empty candidate."""
     years = archive_years(target_year, current_year)
@@ -120,8 +138,9 @@ def canonical(parsed: DataFrame) -> DataFrame:
     return keep_first(rows, ["area_code", "master_key"], ORDER).select(*CANONICAL, "dt")
 
 
-def load(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    return canonical(parse(scan(spark, path, limit)))
+def load(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT,
+         current_year: int | None = None) -> DataFrame:
+    return canonical(parse(scan(spark, path, limit, current_year)))
 
 
 def clean_batch(batch: DataFrame, year: int) -> DataFrame:

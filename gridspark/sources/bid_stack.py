@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gridspark.constants import BID_FEEDS
 from gridspark.functions.numbers import nullable_int
 from gridspark.functions.text import cells, decode_ladder, joined_key, lines_of, settled
 from gridspark.sources.files import WHOLE_FILE_LIMIT, scan_pieces
@@ -73,12 +74,12 @@ def segments(steps: DataFrame, order: list[str], segment: list[Column]) -> DataF
     )
 
 
-def stacks(parts: DataFrame) -> DataFrame:
-    """One row per key with all its steps in order."""
+def stacks(parts: DataFrame, more: list[str] | None = None, of_id: DataFrame | None = None) -> DataFrame:
+    """One row per key with all its steps in order, and columns `more` from a table by id."""
     ordered = F.sort_array(F.collect_list(F.struct("segment", "bid")))
-    return parts.groupBy(*KEY).agg(ordered.alias("parts")).select(
-        *KEY, F.flatten(F.transform("parts", lambda part: part["bid"])).alias("bid")
-    )
+    gathered = parts.groupBy(*KEY).agg(ordered.alias("parts"))
+    joined = gathered if of_id is None else gathered.join(of_id, "id")
+    return joined.select(*KEY, *(more or []), F.flatten(F.transform("parts", lambda part: part["bid"])).alias("bid"))
 
 
 def from_files(parsed: DataFrame) -> DataFrame:
@@ -87,6 +88,24 @@ def from_files(parsed: DataFrame) -> DataFrame:
     return stacks(segments(accepted(parsed), ORDER, by_file))
 
 
+def feed_of(path: Column) -> Column:
+    """Place of a path's feed among the feeds; a later one replaces an earlier one's bids."""
+    named = F.array(*[F.when(path.contains(feed), F.lit(i)) for i, feed in enumerate(BID_FEEDS)])
+    return F.coalesce(F.array_max(named), F.lit(-1))
+
+
+def table_rows(parsed: DataFrame) -> DataFrame:
+    """Rows of the bid table with their `feed`, one per id: the steps of its last feed, in file order.
+
+    For `merge.upsert_into` with the order `feed` and the column `bid`, so that both feeds
+    share one id space and loading files again gives the same rows.
+    """
+    steps = accepted(parsed).withColumn("feed", feed_of(F.col("path")))
+    last = steps.groupBy("id").agg(F.max("feed").alias("feed"))
+    current = steps.join(last, ["id", "feed"])
+    return stacks(segments(current, ORDER, [F.col("path"), F.col("seg"), file_segment()]), ["feed"], last)
+
+
 def bid_json(bid: Column) -> Column:
     return F.to_json(bid, {"ignoreNullFields": "false"})
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import codecs
 import io
+import re
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
@@ -43,6 +44,16 @@ class HeadRule:
     first_cell: str | None = None
 
 
+def literal_path(path: str) -> str:
+    """A path that readers take as it is, although they expand patterns."""
+    return re.sub(r"([\[\]{}*?,\\])", r"\\\1", path)
+
+
+def listing(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """`path` and `length` of landed files; no bytes are read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+
+
 def scan_files(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT, over: int = 0,
                name: Callable[[Column], Column] | None = None) -> DataFrame:
     """Files of more than `over` and at most `limit` bytes, with names that pass `name`.

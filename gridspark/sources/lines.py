@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from gridspark.functions.text import JAPANESE, cells, decode_ladder, lines_of
+from gridspark.functions.text import JAPANESE, cells, decode_fixed, decode_ladder, lines_of
 from gridspark.sources.files import WHOLE_FILE_LIMIT, HeadRule, has_archive_name, has_other_name, scan_pieces
 
 HEADS_TO_BROADCAST = 10_000
@@ -83,7 +83,7 @@ def piece_lines(pieces: DataFrame, find_head: Resolver, resolve: Callable[[Colum
     labels = labels or {}
 
     def text(content: str) -> Column:
-        return F.decode(F.col(content), charset) if charset else decode_ladder(F.col(content), F.col("utf8"))
+        return decode_fixed(F.col(content), charset) if charset else decode_ladder(F.col(content), F.col("utf8"))
 
     staged = (
         pieces.withColumn("lines", lines_of(text("content")))
@@ -129,7 +129,7 @@ def decode_lines(raw: DataFrame, charset: str | None = None, broadcast: bool = F
     `broadcast` as for `attach_heads`: with few files the lines themselves never move.
     """
     if charset:
-        return raw.withColumn("line", F.decode("raw", charset)).drop("raw")
+        return raw.withColumn("line", decode_fixed(F.col("raw"), charset)).drop("raw")
     verdicts = raw.groupBy("path").agg(F.bool_and(F.is_valid_utf8(F.col("raw").cast("string"))).alias("utf8"))
     text = F.when(F.col("utf8"), F.col("raw").cast("string")).otherwise(F.decode("raw", JAPANESE))
     joined = raw.join(F.broadcast(verdicts) if broadcast else verdicts, "path")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gridspark.constants import PLANT_ENERGY_MARK, PLANT_HEADERS
+from gridspark.constants import PLANT_AREA_HINTS, PLANT_ENERGY_MARK, PLANT_HEADERS, PLANT_TYPE_HINTS
 from gridspark.functions.dates import slashed_date
 from gridspark.functions.numbers import number_or_null
 from gridspark.functions.text import bound, cell, cells
@@ -16,6 +18,14 @@ from gridspark.sources.lines import headed_lines, nth_line, nth_line_heads
 ORDER = ["path", "seg", "line_no"]
 
 
+HINTS = {"plant_type": PLANT_TYPE_HINTS, "area": PLANT_AREA_HINTS}
+
+
+def hinted_cells(numbered: Column, hints: list[str]) -> Column:
+    """The header cells whose name contains one of the hints."""
+    return F.filter(numbered, lambda entry: reduce(or_, [entry["name"].contains(hint) for hint in hints]))
+
+
 def positions(header: Column) -> Column:
     """Cells of the six known columns, then the energy columns' labels and cells."""
 
@@ -28,7 +38,8 @@ def positions(header: Column) -> Column:
         labels = F.transform(energy, label)
         # A label that a header repeats counts once, at its first cell.
         first = F.filter(labelled, lambda entry, i: F.array_position(labels, entry["label"]) == i + 1)
-        return F.struct(F.array(*known).alias("known"), first.alias("energy"))
+        hinted = [F.get(hinted_cells(numbered, hints)["at"], F.lit(0)) for hints in HINTS.values()]
+        return F.struct(F.array(*known).alias("known"), first.alias("energy"), F.array(*hinted).alias("hinted"))
 
     return bound(F.transform(cells(header), lambda name: F.trim(name)), of)
 
@@ -63,6 +74,14 @@ def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("issue").isNull())
 
 
+def summary(lines: DataFrame, column: str) -> DataFrame:
+    """Rows per value of the first column whose header hints at a plant type or an area."""
+    place = F.get("positions.hinted", F.lit(list(HINTS).index(column)))
+    filled = lines.filter(F.trim("line") != "")
+    value = cell(cells(F.col("line")), place).alias(column)
+    return filled.select(value).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def long_form(parsed: DataFrame) -> DataFrame:
     """One row per plant, unit, day and half hour."""
     plain = [name for name in parsed.columns if name != "kwh"]

@@ -7,7 +7,6 @@ A batch that is repeated after a failure finds its keys in the table already.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,27 +16,24 @@ from gridspark.operators.ledger import file_outcomes
 from gridspark.operators.merge import insert_into, upsert_into
 from gridspark.schemas import Table
 from gridspark.session import ensure_checkpoint_dir
-from gridspark.sources.files import BINARY_SCHEMA
+from gridspark.sources.files import BINARY_SCHEMA, literal_path
 
 FILES_PER_BATCH = 1000
 ORDER = ["path", "seg", "line_no"]
 Reader = Callable[[SparkSession, list[str]], DataFrame]
 
 
-def literal_path(path: str) -> str:
-    """A path that readers take as it is, although they expand patterns."""
-    return re.sub(r"([\[\]{}*?,\\])", r"\\\1", path)
-
-
 def ingest_new_files(
     spark: SparkSession, landing: str, read: Reader, table: Table, target: str, ledger: str, checkpoint: str,
     replace: bool = False, order: list[str] = ORDER, kept_issues: tuple[str, ...] = (),
-    files_per_batch: int = FILES_PER_BATCH,
+    files_per_batch: int = FILES_PER_BATCH, shape: Callable[[DataFrame], DataFrame] | None = None,
+    columns: list[str] | None = None,
 ) -> StreamingQuery:
     """Start a run over everything that has landed since the last one, then stop by itself.
 
     `read` parses named files into rows with `path`, the `order` columns and `issue`.
-    Known keys are left alone, or replaced when `replace` is set. The ledger keeps one
+    Known keys are left alone, or replaced when `replace` is set, only in `columns` if given.
+    `shape` turns parsed rows that load into rows of the table, such as steps into stacks. The ledger keeps one
     folder per batch, so a repeated batch writes the same entries again.
     """
 
@@ -51,8 +47,9 @@ def ingest_new_files(
         ensure_checkpoint_dir(session)
         parsed = read(session, [literal_path(path) for path in landed]).checkpoint()
         good = parsed.filter(F.col("issue").isNull() | F.col("issue").isin(list(kept_issues)))
+        good = shape(good) if shape else good
         if replace:
-            upsert_into(session, good, target, table, order)
+            upsert_into(session, good, target, table, order, columns)
         else:
             insert_into(session, good, target, table, order)
         files = session.createDataFrame([(path,) for path in landed], "path string")

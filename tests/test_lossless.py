@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridspark.constants import PRICE_CELLS, PRICE_HEADER_CELL
 from gridspark.operators import merge
 from gridspark.schemas import TABLES
-from gridspark.sources import area_supply, files, intertie, plant_operation, spot_price, unit_generation
+from gridspark.sources import area_supply, bid_stack, files, intertie, plant_operation, spot_price, unit_generation
 from gridspark.sources.lines import first_cell_line, nth_line, piece_lines
 from gridspark.streaming.ingest import ingest_new_files
 from test_sources import SUPPLY_HEADER, archive, land, price_line
@@ -130,5 +130,46 @@ def test_plant_labels_that_repeat_and_bad_days(spark, tmp_path, rows):
     assert plant_operation.accepted(parsed).count() == 1
 
 
+def test_only_the_chosen_version_is_read(spark, tmp_path, rows):
+    for name, value in (("01", None), ("02", 2), ("03", 3)):
+        text = "" if value is None else f"t\n{SUPPLY_HEADER}\n2024/04/01,0:00,{value},,,\n2024/04/0{value},0:30,{value},,,\n"
+        land(tmp_path, f"tepco/eria_202404_{name}.csv", text)
+    land(tmp_path, "tepco/other.csv", f"t\n{SUPPLY_HEADER}\n2024/05/01,0:00,9,,,\n")
+    got = area_supply.load(spark, str(tmp_path), current_year=2024)
+    assert rows(got, "master_key", "area_demand") == [("20240401_1", 2.0), ("20240402_2", 2.0), ("20240501_1", 9.0)]
+    assert area_supply.load(spark, str(tmp_path / "tepco" / "eria_202404_01.csv"), current_year=2024).count() == 0
+
+
+def test_both_bid_feeds_share_one_table(spark, tmp_path, rows):
+    def line(price, slot=1):
+        return f"20240401,{slot},{price},10,20,1\n"
+
+    landing, path = tmp_path / "landing", str(tmp_path / "table")
+    land(landing, "spot_bid_curves/spot_bid_curves_20240401.csv", "h,h,h,h,h,h\n" + line(1) + line(2) + line(7, 2))
+
+    def run():
+        query = ingest_new_files(
+            spark, str(landing), lambda s, paths: bid_stack.parse(bid_stack.scan(s, paths)), TABLES["jepx_bid_data"], path,
+            str(tmp_path / "ledger"), str(tmp_path / "checkpoint"), replace=True, order=["feed"], shape=bid_stack.table_rows, columns=["bid"])
+        query.awaitTermination()
+        assert query.exception() is None
+        stored = merge.read_table(spark, path, TABLES["jepx_bid_data"])
+        return rows(stored, "id", F.transform("bid", lambda step: step["price"]))
+
+    assert run() == [("20240401_1_1", ["1", "2"]), ("20240401_2_1", ["7"])]
+    land(landing, "spot_splitting_areas/spot_splitting_areas_20240401.csv", line(5))
+    assert run() == [("20240401_1_1", ["5"]), ("20240401_2_1", ["7"])]
+    steps = bid_stack.parse(bid_stack.scan(spark, str(landing)))
+    assert rows(bid_stack.table_rows(steps), "id", "feed") == [("20240401_1_1", 1), ("20240401_2_1", 0)]
+
+
+def test_plant_summaries_by_header_hint(spark, tmp_path, rows):
+    text = "発電所コード,供給エリア,発電所名,ユニット名,燃種,対象日,00:30[kWh]\n1,東京,A,1号,水力,2025/04/01,1\n2,東京,B,1号,風力,2025/04/01,1\n"
+    land(tmp_path, "p.csv", text, "cp932")
+    lines = plant_operation.scan(spark, str(tmp_path))
+    assert rows(plant_operation.summary(lines, "area"), "area", "rows") == [("東京", 2)]
+    assert rows(plant_operation.summary(lines, "plant_type"), "plant_type", "rows") == sorted([("水力", 1), ("風力", 1)], key=repr)
+
+
 def test_price_cells_are_complete():
     assert len({number for number, *_ in PRICE_CELLS}) == len(PRICE_CELLS)
