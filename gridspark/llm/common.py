@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridspark.session import ensure_checkpoint_dir
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
+BATCH_BYTES = 4 << 20
 SHIPPED: set[str] = set()
 # Label folds: rows of the remainder HELD_OUT are never learnt from.
 FOLDS, HELD_OUT = 4, 2
@@ -46,7 +47,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python once per application, as they may not have it."""
+    """Prepare a session: send this package to the executors' Python once per application, as they
+    may not have it, and bound the bytes of texts that go to Python at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in SHIPPED:
         return

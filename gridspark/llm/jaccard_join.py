@@ -28,7 +28,7 @@ from gridspark.llm.common import CHECK_LANE, LANE, Block, blocks, mix, signed, s
 from gridspark.llm.components import components
 
 WORDS, PERCENT = 5, 80
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 # A region of more members or shingles than these is measured against its pivot and cut in blocks.
 REGION_ROWS, REGION_SHINGLES = 512, 1 << 21
 
