@@ -47,3 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not configured and not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="gridspark-checkpoint-"))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it; only a local session gets its own."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    ensure_checkpoint_dir(spark)
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -21,9 +21,11 @@ def positions(header: Column) -> Column:
     return bound(names, lambda found: alias_positions(found, spellings_of({name: [name] for name in TABLE.columns})))
 
 
-def scan(spark: SparkSession, directory: str, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
+def scan(spark: SparkSession, directory: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
+    """Lines of a directory's weather files, or of the given files."""
+    path = f"{directory.rstrip('/')}/{FILE_PATTERN}" if isinstance(directory, str) else directory
     return headed_lines(
-        spark, f"{directory.rstrip('/')}/{FILE_PATTERN}", nth_line(1),
+        spark, path, nth_line(1),
         lambda head, at: positions(F.get(head, at.cast("int"))),
         lambda large: nth_line_heads(large, 1), positions(F.col("header")), limit,
     )
@@ -59,6 +61,13 @@ def without_bad_files(parsed: DataFrame) -> DataFrame:
     return parsed.join(bad, "path", "left_anti")
 
 
+def flagged(parsed: DataFrame) -> DataFrame:
+    """Every row with `issue`, null where it loads, for a load that keeps account of files and rejects."""
+    bad = parsed.filter("bad_number").select("path").distinct().withColumn("bad_file", F.lit(True))
+    issue = F.when(F.col("bad_file"), "text_in_number_column").when(F.col("primary_key").isNull(), "missing_key")
+    return parsed.join(bad, "path", "left").withColumn("issue", issue).drop("bad_file", "bad_number")
+
+
 def combine(parsed: DataFrame) -> DataFrame:
     """Rows with a key, first by sorted file and line."""
     keyed = parsed.filter(F.col("primary_key").isNotNull())

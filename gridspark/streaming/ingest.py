@@ -7,6 +7,7 @@ A batch that is repeated after a failure finds its keys in the table already.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gridspark.operators.ledger import file_outcomes
 from gridspark.operators.merge import insert_into, upsert_into
 from gridspark.schemas import Table
-from gridspark.session import ensure_checkpoint_dir
+from gridspark.session import remove_folder, shared_folder
 from gridspark.sources.files import BINARY_SCHEMA, literal_path
 
 FILES_PER_BATCH = 1000
@@ -43,9 +44,15 @@ def ingest_new_files(
         if not landed:
             return
         session = batch.sparkSession
-        # Parsed once, for the table and the ledger alike; survives lost executors.
-        ensure_checkpoint_dir(session)
-        parsed = read(session, [literal_path(path) for path in landed]).checkpoint()
+        # Parsed once, for the table and the ledger alike; survives lost executors, and goes afterwards.
+        folder = f"{shared_folder(session)}/ingest-{uuid.uuid4().hex}"
+        try:
+            read(session, [literal_path(path) for path in landed]).write.parquet(folder)
+            store(session, session.read.parquet(folder), landed, batch_id)
+        finally:
+            remove_folder(session, folder)
+
+    def store(session: SparkSession, parsed: DataFrame, landed: list[str], batch_id: int) -> None:
         good = parsed.filter(F.col("issue").isNull() | F.col("issue").isin(list(kept_issues)))
         good = shape(good) if shape else good
         if replace:
