@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridspark.llm import exact_dedup, jaccard_join, packing, substring_dedup, toxicity
-from gridspark.llm.common import shared_folder, ship
+from gridspark.llm.common import ship
+from gridspark.session import remove_folder, shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -56,10 +57,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over `documents`, each written as Parquet in the shared folder and read again."""
+    """The stages over `documents`, each written as Parquet in the shared folder and read again; a
+    stage's table goes as soon as the next one's is written."""
     folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove_folder(spark, before)
+        before = f"{folder}/{name}"
     return docs

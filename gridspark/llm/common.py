@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gridspark.session import ensure_checkpoint_dir
+from gridspark.session import shared_folder
 
 BLOCK_BYTES = 1 << 19
 BATCH_BYTES = 4 << 20
@@ -25,19 +25,19 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; only tests get one of their own."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    ensure_checkpoint_dir(spark)
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
+def stable_splits(spark: SparkSession) -> None:
+    """Fix what the cutting of files into splits otherwise takes from the executors present just now,
+    so that each scan of a table numbers its rows alike."""
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: it is computed once, cuts the
     lineage, and survives lost executors. The folder goes when the application ends."""
     spark = df.sparkSession
+    stable_splits(spark)
     place = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(place)
     jvm = spark._jvm
