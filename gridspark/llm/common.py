@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -53,12 +53,18 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId in SHIPPED:
         return
-    package = Path(__file__).resolve().parent.parent
-    place = Path(tempfile.mkdtemp(prefix="gridspark-package-")) / "gridspark.zip"
-    with zipfile.ZipFile(place, "w") as archive:
+    package, data = Path(__file__).resolve().parent.parent, io.BytesIO()
+    with zipfile.ZipFile(data, "w") as archive:
         for file in sorted(package.rglob("*.py")):
             archive.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(place))
+    place = f"{shared_folder(spark)}/gridspark-{uuid.uuid4().hex}.zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(path)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    files.deleteOnExit(path)
+    context.addPyFile(place)
     SHIPPED.add(context.applicationId)
 
 
