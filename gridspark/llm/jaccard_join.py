@@ -351,15 +351,22 @@ def links(docs: DataFrame, profiles: DataFrame, words: int, percent: int) -> Dat
     # Of equal sets, one stands for all.
     members = seats.join(known, "row_no").select("region", F.col("rep").alias("row_no"), "n_shingles", "counts").dropDuplicates(["region", "row_no"])
     near = staged(by_region(members, "row_no", "n_shingles", "counts").mapInArrow(nearer(percent), NEAR).distinct(), "near")
-    chairs = near.groupBy("row_no").agg(F.collect_list(F.struct("region", "rank", "members", "shingles")).alias("seats"))
-    # One way of joining at every size: the texts move once, so the work grows in proportion.
-    sets = numbered(docs).select("row_no", "text").join(chairs.hint("merge"), "row_no").mapInArrow(setter(words), SETS)
-    sets = staged(sets, "sets")
     fits = F.expr(f"members <= {REGION_ROWS} AND shingles <= {REGION_SHINGLES}")
-    ball, cells = blocked(sets.filter(~fits), percent)
-    small = sets.filter(fits).select("region", "row_no", "rank", "hashes", F.lit(False).alias("ball"), F.lit(True).alias("residual"))
-    every = by_region(small.unionByName(cells.select(small.columns)), "row_no", "rank", "hashes", "ball", "residual")
-    return every.mapInArrow(joiner(percent), LINKS).unionByName(ball)
+    columns = ["row_no", "rank", "hashes", "ball", "residual"]
+    small = sets_of(docs, near.filter(fits), words).withColumns({"ball": F.lit(False), "residual": F.lit(True)})
+    found = by_region(small, *columns).mapInArrow(joiner(percent), LINKS)
+    large = near.filter(~fits)
+    if large.isEmpty():
+        return found
+    ball, cells = blocked(staged(sets_of(docs, large, words), "sets"), percent)
+    return found.unionByName(by_region(cells, *columns).mapInArrow(joiner(percent), LINKS)).unionByName(ball)
+
+
+def sets_of(docs: DataFrame, seats: DataFrame, words: int) -> DataFrame:
+    """The shingle sets of all members of the given regions, once per region."""
+    chairs = seats.groupBy("row_no").agg(F.collect_list(F.struct("region", "rank", "members", "shingles")).alias("seats"))
+    # One way of joining at every size: the texts move once, so the work grows in proportion.
+    return numbered(docs).select("row_no", "text").join(chairs.hint("merge"), "row_no").mapInArrow(setter(words), SETS)
 
 
 def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
