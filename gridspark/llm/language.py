@@ -1,25 +1,25 @@
 """Language by n-gram filters that answer for all languages at once.
 
-A bit-sliced Bloom filter has one row of bits per position and one bit per language. The rows an
-n-gram hashes to, combined by AND, are the mask of all languages that contain it. A text's masks
+A bit-sliced Bloom filter has one row of bits per position and one bit per language, in as many
+64-bit words as there are languages for. The rows an n-gram hashes to, combined by AND, are the mask of all languages that contain it. A text's masks
 are counted per language, the counts are corrected for each language's rate of false positives,
 and the language with the largest count wins.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gridspark.llm.common import LANE, Block, blocks, held_out, mix, signed, staged
 
 GRAM = 4
-# Bounds of the fit: labelled texts, and n-grams a language keeps.
+# Bounds of the fit: labelled texts, and n-grams a language keeps. All languages are learnt.
 TEXTS_PER_LANGUAGE, GRAMS_PER_LANGUAGE = 2000, 60_000
-MAX_LANGUAGES = 64
+WORD = 64
 # An n-gram belongs to a language if it is at least this frequent there against its best language.
 SHARE, LEAST = 0.1, 3
 ROWS, HASHES = 1 << 20, 2
@@ -49,13 +49,14 @@ def grams(block: Block) -> tuple[np.ndarray, np.ndarray]:
 class Filter:
     """The bit-sliced filter, its languages, and each language's rate of false positives."""
 
-    def __init__(self, languages: list[str], members: list[np.ndarray]) -> None:
+    def __init__(self, languages: list[str], members: Iterable[np.ndarray]) -> None:
         self.languages = languages
-        self.rows = np.zeros(ROWS, np.uint64)
+        # One array of words per WORD languages.
+        self.rows = np.zeros((-(-len(languages) // WORD), ROWS), np.uint64)
         for bit, hashes in enumerate(members):
             for place in self.places(hashes):
-                np.bitwise_or.at(self.rows, place, np.uint64(1 << bit))
-        filled = [((self.rows >> np.uint64(b)) & np.uint64(1)).mean() for b in range(len(languages))]
+                np.bitwise_or.at(self.rows[bit // WORD], place, np.uint64(1 << bit % WORD))
+        filled = [((self.rows[b // WORD] >> np.uint64(b % WORD)) & np.uint64(1)).mean() for b in range(len(languages))]
         self.false = np.array([x ** HASHES for x in filled])
 
     @staticmethod
@@ -65,14 +66,16 @@ class Filter:
     def counts(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """Corrected numbers of n-grams each language contains, by text, and numbers of n-grams."""
         rows, hashes = grams(block)
-        mask = np.full(len(hashes), ~np.uint64(0))
-        for place in self.places(hashes):
-            mask &= self.rows[place]
+        places = self.places(hashes)
         bounds = np.searchsorted(rows, np.arange(block.rows + 1))
         n = np.diff(bounds)
         out = np.zeros((block.rows, len(self.languages)))
         for b in range(len(self.languages)):
-            hits = np.concatenate([[0], np.cumsum((mask >> np.uint64(b)) & np.uint64(1))])
+            if b % WORD == 0:
+                mask = np.full(len(hashes), ~np.uint64(0))
+                for place in places:
+                    mask &= self.rows[b // WORD][place]
+            hits = np.concatenate([[0], np.cumsum((mask >> np.uint64(b % WORD)) & np.uint64(1))])
             seen = (hits[bounds[1:]] - hits[bounds[:-1]]).astype(np.float64)
             out[:, b] = np.maximum(0, (seen - n * self.false[b]) / (1 - self.false[b]))
         return out, n
@@ -82,15 +85,14 @@ def learn(docs: DataFrame) -> Filter:
     """Filters of the languages of a bounded number of labelled texts outside the held-out fold."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = rows.filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
-    languages = [r["lang"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()]
+    languages = [r["lang"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()]
     if not languages:
         return Filter([], [])
-    ids = None
-    for name in languages:
-        own = known.filter(F.col("lang") == name).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TEXTS_PER_LANGUAGE)
-        own = own.withColumn("bit", F.lit(languages.index(name)))
-        ids = own if ids is None else ids.unionByName(own)
-    texts = known.join(F.broadcast(ids.dropDuplicates(["doc_id"])), "doc_id").select("bit", "text")
+    bits = docs.sparkSession.createDataFrame(list(zip(languages, range(len(languages)))), "lang string, bit int")
+    known = known.join(F.broadcast(bits), "lang")
+    order = Window.partitionBy("bit").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = known.select("bit", "doc_id").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= TEXTS_PER_LANGUAGE)
+    texts = known.join(F.broadcast(ids.select("bit", "doc_id").distinct()), ["bit", "doc_id"]).select("bit", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,11 +110,18 @@ def learn(docs: DataFrame) -> Filter:
     rates = counted.filter(F.col("n") >= LEAST).join(totals, "bit").withColumn("rate", F.col("n") / F.col("total"))
     best = rates.groupBy("gram").agg(F.max("rate").alias("best"))
     kept = rates.join(best, "gram").filter(F.col("rate") >= SHARE * F.col("best"))
-    members = []
-    for bit in range(len(languages)):
-        own = kept.filter(F.col("bit") == bit).orderBy(F.desc("rate"), "gram").limit(GRAMS_PER_LANGUAGE).select("gram").toPandas()["gram"]
-        members.append(own.to_numpy(np.int64).view(np.uint64))
-    return Filter(languages, members)
+    order = Window.partitionBy("bit").orderBy(F.desc("rate"), "gram")
+    chosen = staged(kept.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= GRAMS_PER_LANGUAGE).select("bit", "gram"), "chosen")
+
+    def members() -> Iterator[np.ndarray]:
+        """The n-grams of one language after the other; the driver holds those of one word."""
+        for first in range(0, len(languages), WORD):
+            own = chosen.filter(F.col("bit").between(first, first + WORD - 1)).toPandas()
+            bit, gram = own["bit"].to_numpy(), own["gram"].to_numpy(np.int64).view(np.uint64)
+            for b in range(first, min(first + WORD, len(languages))):
+                yield gram[bit == b]
+
+    return Filter(languages, members())
 
 
 def predicted(docs: DataFrame, model: Filter) -> DataFrame:

@@ -101,6 +101,19 @@ def test_language_on_held_out_rows_and_odd_texts(table, small):
     assert {r.lang_pred for r in language.predicted(table(ODD), nothing).collect()} == {"und"}
 
 
+def test_more_languages_than_a_word_has_bits(spark):
+    rng = random.Random(8)
+    rows = []
+    for k in range(70):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(30)]
+        # Later languages are rarer.
+        rows += [(1000 * k + i, " ".join(rng.choice(words) for _ in range(60)), f"l{k:02}") for i in range(16 if k < 64 else 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.predicted(docs, language.learn(docs)).join(docs, "doc_id").collect()
+    assert len(got) == len(rows) and all(r.lang_pred == r.lang for r in got)
+    assert len({r.lang for r in got if r.held_out}) > 60 and any(r.held_out and r.lang > "l63" for r in got)
+
+
 def test_filter_has_no_false_negatives_and_corrects_false_positives():
     from gridspark.llm.common import blocks, mix
     import pyarrow as pa
