@@ -10,8 +10,9 @@ A region is then split again in a space onto which the metric contracts: counts
 hash class differ by no more than the sets do. What stays together is joined exactly: the most
 central member is the pivot, its ball (distance up to the threshold) is one component, and further
 pairs are compared only if their components differ and the triangle inequality over the pivots
-allows a link. A region too large for a task first measures all its members against its pivot;
-only the residual outside the ball is compared, in blocks, with the rest.
+allows a link. Regions are counted before they move, and one of too many members to gather is not
+split by counts: its lowest row is the pivot. A region too large for a task first measures all its
+members against its pivot; only the residual outside the ball is compared, in blocks, with the rest.
 """
 
 from __future__ import annotations
@@ -161,20 +162,18 @@ NEAR = "region long, row_no long, rank int, members int, shingles long"
 
 
 def nearer(percent: int):
-    """Split regions where count vectors differ by more than linked sets can; drop lone members."""
+    """Split regions where count vectors differ by more than linked sets can; drop lone members.
+    A region is held as a whole, so only those of a bounded number of members may come here."""
 
     def split(rows: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
         m = len(rows)
         label, apart = np.arange(m), np.zeros(m)
-        if m <= 4 * REGION_ROWS:
-            for i in range(m):
-                gap = np.abs(counts - counts[i]).sum(axis=1)
-                apart[i] = gap.mean()
-                near = np.flatnonzero(gap <= most_apart(sizes, sizes[i], percent))
-                least = label[near].min()
-                label[np.isin(label, label[near])] = least
-        else:
-            label[:] = 0
+        for i in range(m):
+            gap = np.abs(counts - counts[i]).sum(axis=1)
+            apart[i] = gap.mean()
+            near = np.flatnonzero(gap <= most_apart(sizes, sizes[i], percent))
+            least = label[near].min()
+            label[np.isin(label, label[near])] = least
         for one in np.unique(label):
             own = np.flatnonzero(label == one)
             if len(own) > 1:
@@ -339,18 +338,43 @@ def by_region(df: DataFrame, *columns: str) -> DataFrame:
     return df.select("region", *columns).repartition("region").sortWithinPartitions("region")
 
 
-def links(docs: DataFrame, profiles: DataFrame, words: int, percent: int) -> DataFrame:
-    """a, b: rows of different sets whose links span the components."""
+def representatives(profiles: DataFrame) -> DataFrame:
+    """row_no, doc_id, n_shingles and `rep`, the first row of an equal set, for rows with shingles."""
+    same = ["n_shingles", "set_a", "set_b"]
+    # Staged, the aggregate is a plain side of the join, and a set of very many rows can be split.
+    first = staged(profiles.filter("n_shingles > 0").groupBy(same).agg(F.min("row_no").alias("rep")), "first")
+    return staged(profiles.join(first, same).select("row_no", "doc_id", "n_shingles", "rep"), "reps")
+
+
+def regions_of(docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """region, row_no, n_shingles, members, shingles, pivot: seats of regions of two members or more.
+    Of equal sets one stands for all, and of regions with equal members one is kept."""
     marks = numbered(docs).select("row_no", "text").mapInArrow(marker(words, percent), MARKS)
     key = Window.partitionBy("key")
     meet = marks.select("row_no", F.min("row_no").over(key).alias("region"), F.max("row_no").over(key).alias("last"))
     seats = meet.filter("region <> last").select("region", "row_no").distinct()
-    same = ["n_shingles", "set_a", "set_b"]
-    first = profiles.filter("n_shingles > 0").groupBy(same).agg(F.min("row_no").alias("rep"))
-    known = profiles.join(first, same).select("row_no", "rep", "n_shingles", "counts")
-    # Of equal sets, one stands for all.
-    members = seats.join(known, "row_no").select("region", F.col("rep").alias("row_no"), "n_shingles", "counts").dropDuplicates(["region", "row_no"])
-    near = staged(by_region(members, "row_no", "n_shingles", "counts").mapInArrow(nearer(percent), NEAR).distinct(), "near")
+    seats = staged(seats.join(reps.select("row_no", "n_shingles", "rep"), "row_no").select(
+        "region", F.col("rep").alias("row_no"), "n_shingles").distinct(), "seats")
+    sizes = seats.groupBy("region").agg(
+        F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"), F.min("row_no").alias("pivot"),
+        F.bit_xor(F.xxhash64("row_no")).alias("name_a"), F.bit_xor(F.xxhash64("row_no", F.lit(1))).alias("name_b"))
+    equal = ["members", "shingles", "pivot", "name_a", "name_b"]
+    kept = staged(sizes.filter("members > 1").groupBy(equal).agg(F.min("region").alias("region")).drop("name_a", "name_b"), "regions")
+    return seats.join(kept, "region")
+
+
+def links(docs: DataFrame, profiles: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b: rows of different sets whose links span the components."""
+    seats = staged(regions_of(docs, reps, words, percent), "seated")
+    gathered = F.expr(f"members <= {4 * REGION_ROWS}")
+    # A representative's own row has its counts.
+    known = profiles.select("row_no", "counts")
+    members = seats.filter(gathered).select("region", "row_no", "n_shingles").join(known, "row_no")
+    crowds = seats.filter(~gathered).select(
+        F.xxhash64("region", F.lit("crowd")).alias("region"), "row_no", F.expr("int(row_no <> pivot)").alias("rank"),
+        F.col("members").cast("int").alias("members"), "shingles")
+    split = by_region(members, "row_no", "n_shingles", "counts").mapInArrow(nearer(percent), NEAR).distinct()
+    near = staged(split.unionByName(crowds), "near")
     fits = F.expr(f"members <= {REGION_ROWS} AND shingles <= {REGION_SHINGLES}")
     columns = ["row_no", "rank", "hashes", "ball", "residual"]
     small = sets_of(docs, near.filter(fits), words).withColumns({"ball": F.lit(False), "residual": F.lit(True)})
@@ -380,10 +404,9 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     empty table gives no rows; further columns are ignored.
     """
     profiles = staged(numbered(docs).mapInArrow(profiler(words), PROFILE), "profiles")
-    same = ["n_shingles", "set_a", "set_b"]
-    reps = profiles.filter("n_shingles > 0").groupBy(same).agg(F.min("row_no").alias("rep"))
-    roots = components(links(docs, profiles, words, percent)).select(F.col("node").alias("rep"), "component")
-    placed = profiles.filter("n_shingles > 0").join(reps, same).join(roots, "rep", "left").select(
+    reps = representatives(profiles)
+    roots = components(links(docs, profiles, reps, words, percent)).select(F.col("node").alias("rep"), "component")
+    placed = reps.join(roots, "rep", "left").select(
         "row_no", "doc_id", "n_shingles", F.coalesce("component", "rep").alias("root"))
     alone = profiles.filter("n_shingles = 0").select("row_no", "doc_id", "n_shingles", F.col("row_no").alias("root"))
     placed = staged(placed.unionByName(alone), "placed")

@@ -167,6 +167,26 @@ def test_jaccard_join_in_blocks_agrees_with_brute_force(table, stored, monkeypat
     assert got == linked_by_hand(rows, 3, 80)
 
 
+def test_jaccard_join_never_gathers_a_large_region(table, stored, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "REGION_ROWS", 3)
+    whole = jaccard_join.nearer
+
+    def bounded(percent):
+        def near(batches):
+            held = list(batches)
+            assert all(members.num_rows <= 12 for _, members in jaccard_join.runs_of(iter(held)))
+            yield from whole(percent)(iter(held))
+
+        return near
+
+    monkeypatch.setattr(jaccard_join, "nearer", bounded)
+    rng = random.Random(10)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(base[:k] + [f"x{i}"] + base[k + 1:])) for i in range(40) for k in [rng.randrange(110, 120)]] + made_up(6, n=20)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.groups(stored(table(rows)), 3, 80).collect()), key=repr)
+    assert got == linked_by_hand(rows, 3, 80)
+
+
 def test_keep_first_leaves_one_row_of_each_group(table, stored):
     near = [" ".join(f"w{i}" for i in range(100)), " ".join([f"w{i}" for i in range(99)] + ["other"])]
     df = stored(table([(9, near[0]), (4, near[1]), (4, near[1]), (6, "else"), (7, None), (8, "")]))
