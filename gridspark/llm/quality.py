@@ -1,9 +1,10 @@
 """Quality by positive-unlabelled learning with the non-negative unbiased risk.
 
-Trusted positives are labelled good rows outside the held-out fold; unlabelled text is a sample of
-all documents, whatever they are. The share of good text in the latter is estimated from how the
-two score, a linear model minimises the non-negative risk for that share, and its threshold is the
-score that keeps positives and unlabelled text furthest apart.
+Trusted positives are labelled good rows outside the held-out fold; unlabelled text is all
+documents, whatever they are. The share of good text in the latter is estimated from how the two
+score, a linear model minimises the non-negative risk for that share, and its threshold is the
+score that keeps positives and unlabelled text furthest apart. Only the gradient steps take a
+sample of unlabelled text; scaling, share and threshold come from passes over all of it.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridspark.llm.common import Block, blocks, held_out, staged, words_of
 
-# Bounds of the fit: trusted positives and unlabelled texts.
+# Bounds of the fit: trusted positives, and unlabelled texts of the gradient steps.
 POSITIVES = UNLABELLED = 5000
 THRESHOLD = 0.7
+# Cells of the histogram of scores; parts of 1 in which features are summed, exactly in any order.
+CELLS, PARTS = 4096, 1024
 STEPS, RATE, DECAY = 400, 0.05, 1e-4
 
 # Byte classes: letters of either case, digits, blanks, line ends, other scripts, and each ASCII mark by itself.
@@ -71,6 +74,55 @@ def sample_vectors(rows: DataFrame) -> np.ndarray:
     return np.frombuffer(b"".join(r["vector"] for r in found), np.float16).astype(np.float32).reshape(-1, WIDTH)
 
 
+def moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard deviation of each feature over all rows."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, one, two = 0, np.zeros(WIDTH, np.int64), np.zeros(WIDTH, np.int64)
+        for batch in batches:
+            for block in blocks(batch.column(0)):
+                parts = np.rint(vectors(block) * PARTS).astype(np.int64)
+                n, one, two = n + block.rows, one + parts.sum(axis=0), two + (parts * parts).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.arange(WIDTH, dtype=np.int32)), pa.array(np.full(WIDTH, n)), pa.array(one), pa.array(two)], names=["at", "n", "one", "two"])
+
+    found = rows.select("text").mapInArrow(add, "at int, n long, one long, two long").groupBy("at").agg(
+        F.sum("n").alias("n"), F.sum("one").alias("one"), F.sum("two").alias("two")).orderBy("at").collect()
+    n, one, two = (np.array([r[x] for r in found], np.float64) for x in ("n", "one", "two"))
+    mean = one / n
+    return mean / PARTS, np.sqrt(np.maximum(0, two / n - mean * mean)) / PARTS
+
+
+def scaled(x: np.ndarray, centre: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    return np.clip((x - centre) / spread, -8, 8).astype(np.float32)
+
+
+def histogram(rows: DataFrame, centre: np.ndarray, spread: np.ndarray, weights: np.ndarray, offset: float,
+              low: float, high: float) -> tuple[np.ndarray, np.ndarray]:
+    """Middles of cells between two scores and how many of all rows score there; the outermost cells
+    take what lies beyond."""
+    wide = max(high - low, 1e-9) / CELLS
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for block in blocks(batch.column(0)):
+                scores = scaled(vectors(block), centre, spread) @ weights + offset
+                count += np.bincount(np.clip((scores - low) / wide, 0, CELLS - 1).astype(np.int64), minlength=CELLS)
+        some = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(count[some])], names=["cell", "n"])
+
+    found = rows.select("text").mapInArrow(add, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").collect()
+    return low + (np.array([r["cell"] for r in found], np.float64) + 0.5) * wide, np.array([r["n"] for r in found], np.float64)
+
+
+def share_above(scores: np.ndarray, cuts: np.ndarray, count: np.ndarray | None = None) -> np.ndarray:
+    """Share of scores, each counted so many times, that are not below each cut."""
+    order = np.argsort(scores)
+    below = np.concatenate([[0], np.cumsum(np.ones(len(scores)) if count is None else count[order])])
+    return 1 - below[np.searchsorted(scores[order], cuts)] / below[-1]
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -94,14 +146,14 @@ def minimise(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tupl
     return w[:-1], float(w[-1])
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, count: np.ndarray | None = None) -> float:
     """Largest share of the positives' scores that the unlabelled scores leave room for: the least
     ratio of upper tails, each with its sampling error (best-bin estimate)."""
     if not len(positive) or not len(unlabelled):
         return 0.5
     cuts = np.quantile(positive, np.linspace(0, 0.5, 51))
-    up, uu = ((x[None, :] >= cuts[:, None]).mean(axis=1) for x in (positive, unlabelled))
-    error = np.sqrt(np.log(20) / 2 / len(positive)) + np.sqrt(np.log(20) / 2 / len(unlabelled))
+    up, uu = share_above(positive, cuts), share_above(unlabelled, cuts, count)
+    error = np.sqrt(np.log(20) / 2 / len(positive)) + np.sqrt(np.log(20) / 2 / (len(unlabelled) if count is None else count.sum()))
     best = np.argmin((uu + error) / np.maximum(up, 1e-9))
     return float(np.clip(uu[best] / up[best], 0.02, 0.98))
 
@@ -130,30 +182,37 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
     width = np.zeros(WIDTH)
     if not len(positive) or not len(unlabelled):
         return Model(width, width + 1, width, 0.0, 0.5)
-    centre, spread = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 0.05
-    positive, unlabelled = (np.clip((x - centre) / spread, -8, 8).astype(np.float32) for x in (positive, unlabelled))
+    centre, spread = moments(rows)
+    spread = spread + 0.05
+    positive, unlabelled = (scaled(x, centre, spread) for x in (positive, unlabelled))
+
+    def everywhere(weights: np.ndarray, offset: float) -> tuple[np.ndarray, np.ndarray]:
+        seen = np.concatenate([positive, unlabelled]) @ weights + offset
+        return histogram(rows, centre, spread, weights, offset, float(seen.min()), float(seen.max()))
+
     # One half of the positives is learnt from for the estimate, the other half is compared.
     half = len(positive) // 2
     weights, offset = minimise(positive[:max(1, half)], unlabelled, 0.5)
-    prior = estimate_prior(positive[half:] @ weights + offset, unlabelled @ weights + offset)
+    prior = estimate_prior(positive[half:] @ weights + offset, *everywhere(weights, offset))
     weights, offset = minimise(positive, unlabelled, prior)
-    cut = threshold(positive @ weights + offset, unlabelled @ weights + offset)
+    cut = threshold(positive @ weights + offset, *everywhere(weights, offset))
     return Model(centre, spread, weights, offset - cut + float(np.log(THRESHOLD / (1 - THRESHOLD))), prior)
 
 
-def threshold(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+def threshold(positive: np.ndarray, unlabelled: np.ndarray, count: np.ndarray | None = None) -> float:
     """The score that separates best. The share of positives above a cut less that of unlabelled text
     is (1 - prior) times the cut's true less its false positive rate, so its largest value needs no
     labels of bad text; of the cuts within the sampling error of it, the one
     where unlabelled scores are rarest is taken."""
     cuts = np.unique(np.concatenate([positive, unlabelled]))
-    above = [1 - np.searchsorted(np.sort(x), cuts) / len(x) for x in (positive, unlabelled)]
+    above = [share_above(positive, cuts), share_above(unlabelled, cuts, count)]
+    total = len(unlabelled) if count is None else count.sum()
     gain = above[0] - above[1]
-    good = cuts[gain >= gain.max() - 0.5 * np.sqrt(1 / len(positive) + 1 / len(unlabelled))]
+    good = cuts[gain >= gain.max() - 0.5 * np.sqrt(1 / len(positive) + 1 / total)]
     if good[0] == good[-1]:
         return float(good[0])
-    count, edges = np.histogram(unlabelled, bins=np.linspace(good[0], good[-1], 21))
-    bare = int(count.argmin())
+    held, edges = np.histogram(unlabelled, bins=np.linspace(good[0], good[-1], 21), weights=count)
+    bare = int(held.argmin())
     return float((edges[bare] + edges[bare + 1]) / 2)
 
 

@@ -81,6 +81,17 @@ def test_quality_on_held_out_rows_and_odd_texts(table, small):
     assert {r.score for r in quality.scored(table(ODD), blind).collect()} == {0.5}
 
 
+def test_quality_scales_by_all_documents(small, monkeypatch):
+    import pyarrow as pa
+    from gridspark.llm.common import blocks
+
+    monkeypatch.setattr(quality, "UNLABELLED", 50)
+    docs, labels = small
+    every = np.concatenate([quality.vectors(b) for b in blocks(pa.array([r.text or "" for r in docs.select("text").collect()]))])
+    model = quality.fit(docs, labels)
+    assert np.allclose(model.centre, every.mean(axis=0), atol=2e-3) and np.allclose(model.spread, every.std(axis=0) + 0.05, atol=2e-3)
+
+
 def test_prior_and_threshold_of_separable_scores():
     rng = np.random.default_rng(1)
     good, bad = rng.normal(3, 1, 4000), rng.normal(-3, 1, 1000)
