@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import exact_dedup, fingerprints, jaccard_join, language, packing, quality, sentence_pieces, sharding, substring_dedup, toxicity
+from gridspark.llm import exact_dedup, fingerprints, jaccard_join, language, line_rules, packing, quality, sentence_pieces, sharding, substring_dedup, \
+    tokenizer_alignment, toxicity
 from gridspark.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +86,41 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.checked(table(spark, sf_dir))
+
+
+@query(r"""WITH texts AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM texts)),
+windows AS (SELECT doc_id, pos, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o,
+    lead(word, 4) OVER o, lead(word, 5) OVER o, lead(word, 6) OVER o, lead(word, 7) OVER o) AS gram,
+    lead(word, 7) OVER o AS last FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+found AS (SELECT doc_id, pos, last IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, gram, last IS NULL) > 1 AS again FROM windows),
+covered AS (SELECT doc_id, bool_or(again) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS hit FROM found),
+repeats AS (SELECT doc_id, count(*) FILTER (hit) AS n FROM covered GROUP BY doc_id),
+split AS (SELECT doc_id, host, text, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos
+  FROM (SELECT *, string_split(text, chr(10)) AS l FROM texts)),
+lines AS (SELECT doc_id, host, text, line, pos, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+    trim(regexp_replace(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g'),
+      '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+  FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dups AS (SELECT doc_id, count(*) FILTER (k > 1) AS n
+  FROM (SELECT doc_id, row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) AS k FROM lines) GROUP BY doc_id),
+frequent AS (SELECT host, norm FROM lines GROUP BY host, norm HAVING count(DISTINCT text) > 8),
+removed AS (SELECT doc_id, sum(n) AS n FROM lines SEMI JOIN frequent USING (host, norm) GROUP BY doc_id),
+base AS (SELECT doc_id, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n_words,
+    length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols FROM texts),
+joined AS (SELECT b.*, coalesce(d.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+    CAST(coalesce(m.n, 0) AS BIGINT) AS n_removed_words
+  FROM base b LEFT JOIN dups d USING (doc_id) LEFT JOIN repeats r USING (doc_id) LEFT JOIN removed m USING (doc_id)),
+rules AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM joined)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND n_words - n_removed_words >= 20 AND 100 * (n_words - n_removed_words) >= 50 * n_words AS kept, n_removed_words
+FROM rules""")
+def op11_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.report(table(spark, sf_dir))
+
+
+@query()
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenizer_alignment.report(table(spark, sf_dir))
