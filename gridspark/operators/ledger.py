@@ -9,6 +9,8 @@ from gridspark.schemas import TABLES, Table
 from gridspark.session import ensure_checkpoint_dir
 
 PARTITION_COUNTS_LIMIT = 100_000
+# Issues of whole files and archive entries; each stands for one of them, not for a line.
+FILE_ISSUES = ["broken_archive", "broken_entry", "no_header", "no_items", "broken_answer", "not_utf8"]
 
 
 def ledger_entries(attempts: DataFrame, dir_name: Column, day: Column, filename: Column, ok: Column,
@@ -66,18 +68,26 @@ def dense_ids(df: DataFrame, order: list[str], start: int = 1) -> DataFrame:
 
 
 def file_outcomes(files: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Per attempted file its accepted and flagged rows; a file without rows has failed.
+    """Per attempted file its accepted and flagged rows and what of it was `unread`; a file without
+    rows has failed, and one that lost entries loads in part.
 
-    `files` holds `path`; `parsed` holds `path` and `issue` and is counted per task first.
+    `files` holds `path`; `parsed` holds `path` and `issue` and is counted per task first. Issues in
+    FILE_ISSUES stand for a file or an archive's entry, all others for a line.
     """
+    unread = F.coalesce(F.col("issue").isin(FILE_ISSUES), F.lit(False))
     counts = parsed.groupBy("path").agg(
-        F.count_if(F.col("issue").isNull()).alias("rows"), F.count("issue").alias("flagged")
+        F.count_if(F.col("issue").isNull()).alias("rows"), F.count_if(F.col("issue").isNotNull() & ~unread).alias("flagged"),
+        F.count_if(unread).alias("unread"), F.min(F.when(unread, F.col("issue"))).alias("reason"),
     )
     # Entries of an archive count for the archive.
     whole = counts.groupBy(F.substring_index("path", "!", 1).alias("path")).agg(
-        F.sum("rows").alias("rows"), F.sum("flagged").alias("flagged")
+        *[F.sum(name).alias(name) for name in ("rows", "flagged", "unread")], F.min("reason").alias("reason")
     )
     joined = files.select("path").join(whole, "path", "left")
-    rows, flagged = F.coalesce("rows", F.lit(0)), F.coalesce("flagged", F.lit(0))
-    status = F.when(rows > 0, "success").otherwise("failed: no rows")
-    return joined.select("path", status.alias("status"), rows.alias("rows"), flagged.alias("flagged"))
+    rows, flagged, lost = (F.coalesce(name, F.lit(0)).alias(name) for name in ("rows", "flagged", "unread"))
+    status = (
+        F.when(~(F.coalesce("rows", F.lit(0)) > 0), F.concat(F.lit("failed: "), F.coalesce("reason", F.lit("no rows"))))
+        .when(F.col("reason").isNotNull(), F.concat(F.lit("partial: "), F.col("reason")))
+        .otherwise("success")
+    )
+    return joined.select("path", status.alias("status"), rows, flagged, lost)

@@ -13,7 +13,7 @@ from gridspark.operators.coverage import archive_years
 from gridspark.operators.dedup import first_usable, keep_first
 from gridspark.schemas import require_columns
 from gridspark.sources.files import WHOLE_FILE_LIMIT, area_of_path, listing, literal_path, period_of_path
-from gridspark.sources.lines import alias_positions, headed_lines, header_names, nth_line, \
+from gridspark.sources.lines import alias_positions, file_issue, headed_lines, header_names, nth_line, \
     nth_line_heads, spellings_of
 
 HEADER_LINE = 2
@@ -92,11 +92,12 @@ def parse(lines: DataFrame) -> DataFrame:
     names = list(SUPPLY_ALIASES)
     date_at, time_at = (F.get("positions", F.lit(names.index(name))) for name in ("date", "slot"))
     first = names.index(SUPPLY_MEASURES[0])
-    split = lines.filter(F.trim("line") != "").withColumn("cells", cells(fold_digits(F.col("line"))))
+    lines = lines.withColumn("file_issue", file_issue(lines))
+    split = lines.filter((F.trim("line") != "") | F.col("file_issue").isNotNull()).withColumn("cells", cells(fold_digits(F.col("line"))))
     compact = F.col("area_code") == COMPACT_DATE_AREA
     measures = F.slice("positions", first + 1, len(SUPPLY_MEASURES))
     raw = split.select(
-        "area_code", *ORDER, "line", cell(F.col("cells"), date_at).alias("raw_date"),
+        "area_code", *ORDER, "line", "file_issue", cell(F.col("cells"), date_at).alias("raw_date"),
         cell(F.col("cells"), time_at).alias("raw_time"),
         (date_at.isNull() | time_at.isNull()).alias("no_key_column"),
         cells_at(F.col("cells"), measures, clean_number).alias("numbers"),
@@ -105,7 +106,8 @@ def parse(lines: DataFrame) -> DataFrame:
         "dt", F.when(compact, compact_date(F.col("raw_date"))).otherwise(slashed_date(F.col("raw_date")))
     ).withColumn("slot", slot_of_clock(F.when(compact, repair_clock(F.col("raw_time"))).otherwise(F.col("raw_time"))))
     issue = (
-        F.when(F.col("no_key_column"), "missing_required_column")
+        F.when(F.col("file_issue").isNotNull(), F.col("file_issue"))
+        .when(F.col("no_key_column"), "missing_required_column")
         .when(F.upper("raw_time").contains("TIME"), "repeated_header")
         .when(F.col("dt").isNull(), "invalid_date")
         .when(~F.col("slot").between(1, 48), "slot_out_of_range")

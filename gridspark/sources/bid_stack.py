@@ -13,7 +13,7 @@ from gridspark.constants import BID_FEEDS
 from gridspark.functions.numbers import nullable_int
 from gridspark.functions.text import cells, decode_ladder, joined_key, lines_of, settled
 from gridspark.sources.files import WHOLE_FILE_LIMIT, scan_pieces
-from gridspark.sources.lines import decode_lines, has_few_files, scan_large
+from gridspark.sources.lines import decode_lines, file_issue, has_few_files, scan_large
 
 KEY = ["id", "date", "slot", "area_code"]
 ORDER = ["path", "seg", "line_no"]
@@ -24,15 +24,17 @@ SEGMENT_LINES = 4096
 def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
     pieces = scan_pieces(spark, path, limit)
     text = decode_ladder(F.col("content"), F.col("utf8"))
-    small = pieces.select("path", "seg", F.posexplode_outer(lines_of(text)).alias("line_no", "line"))
+    small = pieces.select("path", "seg", F.col("issue").alias("file_issue"), F.posexplode_outer(lines_of(text)).alias("line_no", "line")).withColumn(
+        "line_no", F.coalesce("line_no", F.lit(0)))
     large = scan_large(spark, path, limit)
-    return small.unionByName(decode_lines(large, broadcast=has_few_files(spark, path, limit)))
+    split = decode_lines(large, broadcast=has_few_files(spark, path, limit)).withColumn("file_issue", F.lit(None).cast("string"))
+    return small.unionByName(split)
 
 
 def parse(lines: DataFrame) -> DataFrame:
     """Every line as a price step with `issue`; headers fail the number test like any other text."""
-    cell = cells(F.col("line"))
-    split = lines.filter(F.col("line").isNotNull()).withColumn("cells", cell)
+    lines = lines.withColumn("file_issue", file_issue(lines))
+    split = lines.filter(F.col("line").isNotNull() | F.col("file_issue").isNotNull()).withColumn("cells", cells(F.col("line")))
     steps = split.select(
         *[F.col(name) for name in lines.columns if name != "line"], "line",
         F.size("cells").alias("width"), F.get("cells", F.lit(0)).alias("date"),
@@ -41,12 +43,13 @@ def parse(lines: DataFrame) -> DataFrame:
         nullable_int(F.get("cells", F.lit(5))).alias("area_code"),
     )
     issue = (
-        F.when(F.col("width") < 6, "too_few_cells")
+        F.when(F.col("file_issue").isNotNull(), F.col("file_issue"))
+        .when(F.col("width") < 6, "too_few_cells")
         .when(F.col("slot").isNull(), "invalid_slot")
         .when(F.col("area_code").isNull(), "invalid_area")
     )
     key = joined_key(F.col("date"), F.col("slot").cast("string"), F.col("area_code").cast("string"))
-    return settled(steps.withColumn("id", key).withColumn("issue", issue).drop("width"))
+    return settled(steps.withColumn("id", key).withColumn("issue", issue).drop("width", "file_issue"))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

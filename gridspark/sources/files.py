@@ -1,23 +1,18 @@
 """Landed files as pieces of bytes: whole small files, archive entries, stored payloads.
 
-A *piece* is `(path, seg, head, utf8, content)`. A small file is one piece. An archive
+A *piece* is `(path, seg, head, utf8, content, issue)`. A small file is one piece. An archive
 entry is cut at line ends into pieces of bounded size that share the lines its header is
 resolved from (`head`, found by the reader's own rule wherever it stands) and one verdict
-on its encoding (`utf8`).
+on its encoding (`utf8`). An archive or entry that cannot be read is a piece without content
+that names the `issue`.
 """
 
 from __future__ import annotations
 
-import codecs
-import io
 import re
-import zipfile
-import zlib
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from collections.abc import Callable
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridspark.constants import AREAS
@@ -25,25 +20,16 @@ from gridspark.dims import AREA_CODES, lookup
 from gridspark.functions.text import is_utf8, is_zip
 from gridspark.operators.ledger import next_id, sparse_ids
 from gridspark.schemas import TABLES, enforce
+from gridspark.sources.archives import PIECE_BYTES, HeadRule, content_pieces, entry_pieces
+from gridspark.sources.seek import can_seek, first_bytes
 
 WHOLE_FILE_LIMIT = 32 * 1024 * 1024
 ARCHIVE_LIMIT = 1024 * 1024 * 1024
 ARCHIVE_NAME = ".zip"
 TEXT_NAMES = (".csv", ".json", ".txt")
-PIECE_BYTES = 4 * 1024 * 1024
-PIECES = "path string, seg bigint, head binary, utf8 boolean, content binary"
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-@dataclass(frozen=True)
-class HeadRule:
-    """Where the header stands: the n-th line, or the first line with a given first cell."""
-
-    nth: int | None = None
-    skip_blank: bool = True
-    first_cell: str | None = None
-
-
 def literal_path(path: str) -> str:
     """A path that readers take as it is, although they expand patterns."""
     return re.sub(r"([\[\]{}*?,\\])", r"\\\1", path)
@@ -86,7 +72,7 @@ def whole_pieces(files: DataFrame) -> DataFrame:
     """One piece per file."""
     return files.select(
         "path", F.lit(0).cast("bigint").alias("seg"), F.lit(None).cast("binary").alias("head"),
-        is_utf8(F.col("content")).alias("utf8"), "content",
+        is_utf8(F.col("content")).alias("utf8"), "content", F.lit(None).cast("string").alias("issue"),
     )
 
 
@@ -102,104 +88,47 @@ def has_other_name(name: Column) -> Column:
     return ~has_text_name(name) & ~has_archive_name(name)
 
 
-def _entry_expander(piece_bytes: int, rule: HeadRule | None):
-    """The archive reader, self-contained so that workers need no copy of this package."""
-    nth, skip_blank = (rule.nth, rule.skip_blank) if rule else (None, True)
-    marks = [rule.first_cell.encode(charset) for charset in ("utf-8", "cp932")] if rule and rule.first_cell else []
-
-    def readable(archive: zipfile.ZipFile, name: str) -> bool:
-        try:
-            with archive.open(name) as stream:
-                while stream.read(1 << 20):
-                    pass
-        except (zipfile.BadZipFile, zlib.error, OSError, EOFError, NotImplementedError, RuntimeError):
-            return False
-        return True
-
-    def is_utf8_entry(archive: zipfile.ZipFile, name: str) -> bool:
-        decoder = codecs.getincrementaldecoder("utf-8")()
-        with archive.open(name) as stream:
-            try:
-                while block := stream.read(1 << 20):
-                    decoder.decode(block)
-                decoder.decode(b"", True)
-            except UnicodeDecodeError:
-                return False
-        return True
-
-    def pieces(archive: zipfile.ZipFile, name: str) -> Iterator[tuple]:
-        utf8 = is_utf8_entry(archive, name)
-        head, found, counted = b"", not (nth or marks), 0
-        seg, buffer, size = 0, [], 0
-        with archive.open(name) as stream:
-            for number, line in enumerate(stream):
-                buffer.append(line)
-                size += len(line)
-                ended = False
-                if not found:
-                    bare = line.removeprefix(codecs.BOM_UTF8) if number == 0 else line
-                    if marks:
-                        found = bare.split(b",", 1)[0].replace(b'"', b"").strip() in marks
-                        head = line if found else head
-                    elif not skip_blank or bare.strip():
-                        head, counted = head + line, counted + 1
-                        found = counted == nth
-                    # Lines up to a late header are a piece without one; below it a new piece begins.
-                    ended = found and seg > 0
-                if ended or size >= piece_bytes:
-                    yield seg, head if found and not ended else b"", utf8, b"".join(buffer)
-                    seg, buffer, size = seg + 1, [], 0
-        if buffer:
-            yield seg, head if found else b"", utf8, b"".join(buffer)
-
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["path", "seg", "head", "utf8", "content"]
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                try:
-                    archive = zipfile.ZipFile(io.BytesIO(content))
-                except zipfile.BadZipFile:
-                    continue
-                for name in archive.namelist():
-                    if name.lower().endswith(".csv") and readable(archive, name):
-                        for piece in pieces(archive, name):
-                            yield pd.DataFrame([(f"{path}!{name}", *piece)], columns=columns)
-
-    return expand
+def archive_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES, rule: HeadRule | None = None) -> DataFrame:
+    """CSV entries of archives, or the `issue` of what cannot be read: from `content` where the files
+    have it, else opened by their `path`, entry by entry."""
+    if "content" in files.columns:
+        return content_pieces(files, piece_bytes, rule)
+    total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return entry_pieces(files, total, piece_bytes, rule)
 
 
-def archive_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES, rule: HeadRule | None = None) -> DataFrame:
-    """CSV entries of archives; a broken entry or archive gives no rows."""
-    return files.select("path", "content").mapInPandas(_entry_expander(piece_bytes, rule), PIECES)
+def named_files(spark: SparkSession, path: str | list[str], name: Callable[[Column], Column], over: int = 0) -> DataFrame:
+    """`path` and `length` of the landed files of more than `over` bytes whose name passes."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.filter(name(F.lower("_metadata.file_name")) & (F.col("length") > over)).select("path", "length")
 
 
 def scan_pieces(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT,
                 trust_names: bool = True, rule: HeadRule | None = None) -> DataFrame:
-    """Pieces of every plain file up to `limit` and of every archive.
+    """Pieces of every plain file up to `limit` and of every archive of any size.
 
     A file is an archive by its name or, unless it is named like a text, by its first
     bytes. With `trust_names` off, the first bytes of text-named files count too, at the
     price of reading them twice. Plain files over the limit belong to
-    `gridspark.sources.lines.scan_large`. An archive has to be opened as a whole, so its
-    own limit is higher; the load fails on a larger one instead of leaving it out.
+    `gridspark.sources.lines.scan_large`. Archives are read entry by entry where workers can
+    seek in them; on other file systems they are opened as a whole, up to ARCHIVE_LIMIT,
+    and the load fails on a larger one instead of leaving it out.
     """
-    fail_on(oversize_archives(spark, path))
+    doubtful = has_other_name if trust_names else lambda name: ~has_archive_name(name)
     zipped = is_zip(F.col("content"))
-    named = scan_files(spark, path, ARCHIVE_LIMIT, name=has_archive_name)
+    plain = scan_files(spark, path, limit, name=doubtful).filter(~zipped)
     if trust_names:
-        texts = scan_files(spark, path, limit, name=has_text_name)
-        others = scan_files(spark, path, limit, name=has_other_name)
-        plain = texts.unionByName(others.filter(~zipped))
-    else:
-        others = scan_files(spark, path, limit, name=lambda name: ~has_archive_name(name))
-        plain = others.filter(~zipped)
-    archives = named.unionByName(others.filter(zipped)).unionByName(large_unnamed_archives(spark, path, limit))
-    return whole_pieces(plain).unionByName(archive_pieces(archives, rule=rule))
-
-
-def large_unnamed_archives(spark: SparkSession, path: str | list[str], limit: int) -> DataFrame:
-    """Archives above the limit for plain files whose name says neither archive nor text."""
-    return scan_files(spark, path, ARCHIVE_LIMIT, over=limit, name=has_other_name).filter(is_zip(F.col("content")))
+        plain = scan_files(spark, path, limit, name=has_text_name).unionByName(plain)
+    if can_seek(spark, path):
+        # Only four bytes of a doubtful file are read, however large it is.
+        candidates = named_files(spark, path, doubtful)
+        sniffed = first_bytes(candidates, 4).filter(is_zip(F.col("start"))).select("path")
+        archives = named_files(spark, path, has_archive_name).unionByName(candidates.join(sniffed, "path"))
+        return whole_pieces(plain).unionByName(archive_pieces(archives, rule=rule))
+    fail_on(oversize_archives(spark, path))
+    whole = scan_files(spark, path, ARCHIVE_LIMIT, name=has_archive_name).unionByName(
+        scan_files(spark, path, ARCHIVE_LIMIT, name=doubtful).filter(zipped))
+    return whole_pieces(plain).unionByName(archive_pieces(whole, rule=rule))
 
 
 def fail_on(oversize: DataFrame) -> None:
@@ -210,10 +139,8 @@ def fail_on(oversize: DataFrame) -> None:
 
 
 def oversize_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Archives too large to open, for the reject report; only their names are read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    too_large = files.filter(has_archive_name(F.lower("_metadata.file_name")) & (F.col("length") > ARCHIVE_LIMIT))
-    return too_large.select("path", "length", F.lit("archive_too_large").alias("issue"))
+    """Archives too large to open as a whole, for file systems without seeking; only their names are read."""
+    return named_files(spark, path, has_archive_name, over=ARCHIVE_LIMIT).withColumn("issue", F.lit("archive_too_large"))
 
 
 def store_payloads(files: DataFrame, target: str, dir_name: Column, day: Column) -> None:

@@ -41,6 +41,11 @@ def read(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIM
     return split.select(*[value(name) for name in names])
 
 
+def rejects(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
+    """`path` and `issue` of archives and entries that could not be read."""
+    return scan(spark, path, limit).filter(F.col("file_issue").isNotNull()).select("path", F.col("file_issue").alias("issue"))
+
+
 def copy(spark: SparkSession, path: str | list[str], target: str) -> None:
     """Read and write as UTF-8 CSV; an empty input leaves an empty output."""
     df = read(spark, path)

@@ -1,9 +1,10 @@
 """Lines with their header resolved, from pieces, from large files or from line tables.
 
-All three routes give `(path, seg, line_no, after_head, positions, line)`. `(seg, line_no)`
+All three routes give `(path, seg, line_no, after_head, positions, line, file_issue)`. `(seg, line_no)`
 orders the lines of a file; `positions` holds, for every wanted column, the cell it
 sits in. Small files resolve their header before their lines are exploded, so that
-route is narrow from end to end.
+route is narrow from end to end. What cannot be read at all is a row without a line that
+names the `file_issue`; parsers pass it on as a reject.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gridspark.functions.text import JAPANESE, cells, decode_fixed, decode_ladder, lines_of
-from gridspark.sources.files import WHOLE_FILE_LIMIT, HeadRule, has_archive_name, has_other_name, scan_pieces
+from gridspark.sources.archives import NO_HEADER, HeadRule
+from gridspark.sources.files import WHOLE_FILE_LIMIT, has_archive_name, has_other_name, scan_pieces
 
 HEADS_TO_BROADCAST = 10_000
 HEAD_BYTES = 64 * 1024
@@ -91,17 +93,43 @@ def piece_lines(pieces: DataFrame, find_head: Resolver, resolve: Callable[[Colum
         .withColumn("head_at", find_head(F.col("head_lines")).cast("bigint"))
         .withColumn("positions", resolve(F.col("head_lines"), F.col("head_at")))
         .withColumns(labels)
-        .select("path", "seg", "head_at", "positions", *labels, F.posexplode_outer("lines").alias("pos", "line"))
-        .withColumn("line_no", F.col("pos").cast("bigint"))
+        .withColumn("file_issue", F.col("issue") if "issue" in pieces.columns else F.lit(None).cast("string"))
+        .select("path", "seg", "head_at", "positions", "file_issue", *labels, F.posexplode_outer("lines").alias("pos", "line"))
+        .withColumn("line_no", F.coalesce("pos", F.lit(0)).cast("bigint"))
     )
     after = F.when(F.col("seg") == 0, F.col("line_no") - F.col("head_at"))
+    below = (F.col("seg") > 0) | F.col("head_at").isNull() | (F.col("after_head") > 0)
     return (
         staged.withColumn("after_head", after)
-        .filter((F.col("seg") > 0) | F.col("head_at").isNull() | (F.col("after_head") > 0))
-        .select("path", "seg", "line_no", "after_head", "positions", "line", *labels)
+        .filter(below | F.col("file_issue").isNotNull())
+        .select("path", "seg", "line_no", "after_head", "positions", "line", "file_issue", *labels)
     )
 
 
+def file_issue(lines: DataFrame) -> Column:
+    """Why a row stands for a file or entry that could not be read; null for lines."""
+    return F.col("file_issue") if "file_issue" in lines.columns else F.lit(None).cast("string")
+
+
+def with_headless(lines: DataFrame, heads: DataFrame | None = None) -> DataFrame:
+    """Lines that have their header, and one row per file that has none.
+
+    Archive entries come with their own verdict. `heads` names the files that have a header where
+    they are read in splits; files read whole show it on their first line.
+    """
+    filled = F.col("positions").isNotNull() | F.col("file_issue").isNotNull()
+    if heads is None:
+        first = F.col("positions").isNull() & (F.col("seg") == 0) & (F.col("line_no") == 0) & ~F.col("path").contains("!")
+        bare = lines.filter(filled | first).withColumn("file_issue", F.when(first & F.col("file_issue").isNull(), NO_HEADER).otherwise(F.col("file_issue")))
+        return bare.withColumn("line", F.when(F.col("file_issue").isNull(), F.col("line")))
+    headless = lines.filter(F.col("positions").isNull()).select("path").distinct()
+    empty = {field.name: F.lit(None).cast(field.dataType).alias(field.name) for field in lines.schema}
+    named = empty | {"path": F.col("path"), "seg": F.lit(0).cast("bigint").alias("seg"), "line_no": F.lit(0).cast("bigint").alias("line_no"),
+                     "file_issue": F.lit(NO_HEADER).alias("file_issue")}
+    missing = headless.join(heads.select("path"), "path", "left_anti")
+    return lines.filter(filled).unionByName(missing.select(*named.values()))
+
+
 def scan_large(spark: SparkSession, path: str | list[str], over: int = WHOLE_FILE_LIMIT) -> DataFrame:
     """Undecoded lines of files over a size, read by many tasks per file.
 
@@ -198,11 +226,16 @@ def has_few_files(spark: SparkSession, path: str | list[str], over: int) -> bool
 def headed_lines(spark: SparkSession, path: str | list[str], find_head: Resolver,
                  resolve: Callable[[Column, Column], Column], large_heads: Callable[[DataFrame], DataFrame],
                  large_positions: Column, limit: int = WHOLE_FILE_LIMIT, charset: str | None = None,
-                 labels: dict[str, Column] | None = None) -> DataFrame:
-    """Lines of all landed files: small ones and archives as pieces, large ones as splits."""
+                 labels: dict[str, Column] | None = None, must_have_head: bool = False) -> DataFrame:
+    """Lines of all landed files: small ones and archives as pieces, large ones as splits.
+
+    With `must_have_head`, lines without a header are left out and their file is a reject."""
     small = piece_lines(scan_pieces(spark, path, limit, rule=find_head.rule), find_head, resolve, charset, labels)
     scan = scan_large(spark, path, limit)
     few = has_few_files(spark, path, limit)
     large = decode_lines(scan, charset, broadcast=few)
-    attached = attach_heads(large, large_heads(large), large_positions, broadcast=few)
+    heads = large_heads(large)
+    attached = attach_heads(large, heads, large_positions, broadcast=few).withColumn("file_issue", F.lit(None).cast("string"))
+    if must_have_head:
+        small, attached = with_headless(small), with_headless(attached, heads)
     return small.unionByName(attached.withColumns(labels or {}))

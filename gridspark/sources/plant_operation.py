@@ -13,7 +13,7 @@ from gridspark.functions.dates import slashed_date
 from gridspark.functions.numbers import number_or_null
 from gridspark.functions.text import bound, cell, cells
 from gridspark.sources.files import WHOLE_FILE_LIMIT
-from gridspark.sources.lines import headed_lines, nth_line, nth_line_heads
+from gridspark.sources.lines import file_issue, headed_lines, nth_line, nth_line_heads
 
 ORDER = ["path", "seg", "line_no"]
 
@@ -53,7 +53,8 @@ def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIM
 
 def parse(lines: DataFrame, processed_on: date) -> DataFrame:
     """Known columns by name, energy columns as a map from end label to kWh."""
-    split = lines.filter(F.trim("line") != "").withColumn("cells", cells(F.col("line")))
+    lines = lines.withColumn("file_issue", file_issue(lines))
+    split = lines.filter((F.trim("line") != "") | F.col("file_issue").isNotNull()).withColumn("cells", cells(F.col("line")))
     known = {
         name: cell(F.col("cells"), F.get(F.col("positions.known"), F.lit(i)))
         for i, name in enumerate(PLANT_HEADERS.values())
@@ -66,7 +67,7 @@ def parse(lines: DataFrame, processed_on: date) -> DataFrame:
     return split.select(
         *ORDER, *[column.alias(name) for name, column in known.items() if name != "date"],
         day.alias("date"), energy.alias("kwh"), F.lit(processed_on).alias("processing_date"),
-        F.when(day.isNull(), "invalid_date").alias("issue"),
+        F.when(F.col("file_issue").isNotNull(), F.col("file_issue")).when(day.isNull(), "invalid_date").alias("issue"),
     )
 
 

@@ -14,7 +14,7 @@ from gridspark.functions.text import JAPANESE, bound, cell, cells, cells_at, joi
 from gridspark.functions.wind import bearing_cos, bearing_sin
 from gridspark.schemas import TABLES
 from gridspark.sources.files import WHOLE_FILE_LIMIT
-from gridspark.sources.lines import alias_positions, headed_lines, nth_line, nth_line_heads, spellings_of
+from gridspark.sources.lines import alias_positions, file_issue, headed_lines, nth_line, nth_line_heads, spellings_of
 
 TABLE = TABLES["jma_weather"]
 ORDER = ["path", "seg", "line_no"]
@@ -82,13 +82,14 @@ def station_of_path(path: Column) -> Column:
 
 def parse(lines: DataFrame, interval: str) -> DataFrame:
     """Observations with `issue`. Needs `station_id, path, seg, line_no, after_head, positions, line`."""
-    split = lines.filter(F.col("line").isNotNull()).withColumn("cells", cells(F.col("line")))
+    lines = lines.withColumn("file_issue", file_issue(lines))
+    split = lines.filter(F.col("line").isNotNull() | F.col("file_issue").isNotNull()).withColumn("cells", cells(F.col("line")))
     names = list(WEATHER_ALIASES)
     numeric = [name for name in names if name not in ("weather_description", "wind_direction")]
     place = {name: F.get("positions", F.lit(i)) for i, name in enumerate(names)}
     read = cells_at(F.col("cells"), F.array(*[place[name] for name in numeric]), number_or_null)
     typed = split.select(
-        "station_id", *ORDER, "after_head", "line", F.trim(F.get("cells", F.lit(0))).alias("first_cell"),
+        "station_id", *ORDER, "after_head", "line", "file_issue", F.trim(F.get("cells", F.lit(0))).alias("first_cell"),
         cell(F.col("cells"), place["weather_description"]).alias("weather_description"),
         cell(F.col("cells"), place["wind_direction"]).alias("bearing"),
         place["wind_direction"].isNotNull().alias("has_bearing"), read.alias("numbers"),
@@ -96,7 +97,7 @@ def parse(lines: DataFrame, interval: str) -> DataFrame:
         {name: F.get("numbers", F.lit(i)) for i, name in enumerate(numeric)}
     )
     quality = (F.col("after_head") == 1) & ((F.col("first_cell") == "") | _holds(F.col("first_cell"), QUALITY_MARKS))
-    issue = F.when(quality, "quality_row").when(F.col("observed").isNull(), "invalid_datetime")
+    issue = F.when(F.col("file_issue").isNotNull(), F.col("file_issue")).when(quality, "quality_row").when(F.col("observed").isNull(), "invalid_datetime")
     speed = F.col("wind_speed")
     clock = F.date_format("observed", "HH:mm") if interval == "hourly" else F.lit("00:00")
     return settled(typed.select(

@@ -9,7 +9,7 @@ from gridspark.functions.text import blank_na_text, bound, cells, cells_at, na_t
 from gridspark.operators.dedup import keep_first
 from gridspark.schemas import TABLES
 from gridspark.sources.files import WHOLE_FILE_LIMIT
-from gridspark.sources.lines import alias_positions, headed_lines, nth_line, nth_line_heads, spellings_of
+from gridspark.sources.lines import alias_positions, file_issue, headed_lines, nth_line, nth_line_heads, spellings_of
 
 TABLE = TABLES["jma_weather"]
 ORDER = ["path", "seg", "line_no"]
@@ -33,10 +33,11 @@ def scan(spark: SparkSession, directory: str | list[str], limit: int = WHOLE_FIL
 
 def parse(lines: DataFrame) -> DataFrame:
     """Declared columns by name, missing ones null, plus `bad_number` for text in a number column."""
-    split = lines.filter(F.trim("line") != "").withColumn("cells", cells(F.col("line")))
+    lines = lines.withColumn("file_issue", file_issue(lines))
+    split = lines.filter((F.trim("line") != "") | F.col("file_issue").isNotNull()).withColumn("cells", cells(F.col("line")))
     numbers = [field.name for field in TABLE.schema if field.dataType == T.DoubleType()]
     texts = cells_at(F.col("cells"), F.col("positions"), na_to_null)
-    raw = split.select(*ORDER, "line", texts.alias("texts"))
+    raw = split.select(*ORDER, "line", "file_issue", texts.alias("texts"))
     place = {name: F.get("texts", F.lit(i)) for i, name in enumerate(TABLE.columns)}
     figures = F.array(*[place[name] for name in numbers])
     typed = raw.withColumn("figures", F.transform(figures, number_or_null))
@@ -50,7 +51,7 @@ def parse(lines: DataFrame) -> DataFrame:
         return blank_na_text(place[name]) if name == "weather_description" else place[name]
 
     return settled(typed.select(
-        *ORDER, "line", bad.alias("bad_number"), *[value(name).alias(name) for name in TABLE.columns]
+        *ORDER, "line", "file_issue", F.coalesce(bad, F.lit(False)).alias("bad_number"), *[value(name).alias(name) for name in TABLE.columns]
     ))
 
 
@@ -64,8 +65,8 @@ def without_bad_files(parsed: DataFrame) -> DataFrame:
 def flagged(parsed: DataFrame) -> DataFrame:
     """Every row with `issue`, null where it loads, for a load that keeps account of files and rejects."""
     bad = parsed.filter("bad_number").select("path").distinct().withColumn("bad_file", F.lit(True))
-    issue = F.when(F.col("bad_file"), "text_in_number_column").when(F.col("primary_key").isNull(), "missing_key")
-    return parsed.join(bad, "path", "left").withColumn("issue", issue).drop("bad_file", "bad_number")
+    issue = F.when(F.col("file_issue").isNotNull(), F.col("file_issue")).when(F.col("bad_file"), "text_in_number_column").when(F.col("primary_key").isNull(), "missing_key")
+    return parsed.join(bad, "path", "left").withColumn("issue", issue).drop("bad_file", "bad_number", "file_issue")
 
 
 def combine(parsed: DataFrame) -> DataFrame:
@@ -74,5 +75,12 @@ def combine(parsed: DataFrame) -> DataFrame:
     return keep_first(keyed, list(TABLE.key), ORDER).select(*TABLE.columns)
 
 
+def rejects(parsed: DataFrame) -> DataFrame:
+    """What a load leaves out, with its reason: unreadable files, every line of a file with text in
+    a number column, lines without a key."""
+    return flagged(parsed).filter(F.col("issue").isNotNull()).select(*ORDER, "line", "issue")
+
+
 def load(spark: SparkSession, directory: str, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
+    """The rows that load; `rejects` of the same parsed lines tells the rest."""
     return combine(without_bad_files(parse(scan(spark, directory, limit))))

@@ -49,13 +49,17 @@ def test_unnamed_archive_above_the_limit_for_plain_files(spark, tmp_path, rows,
 
 
 def test_oversize_files_stop_the_load(spark, tmp_path, monkeypatch):
+    # Where workers cannot seek, an archive is opened as a whole.
     land(tmp_path / "a", "tepco/big_2024.zip", archive(a__csv=f"t\n{SUPPLY_HEADER}\n"))
     monkeypatch.setattr(files, "ARCHIVE_LIMIT", 20)
+    monkeypatch.setattr(files, "can_seek", lambda *_: False)
     with pytest.raises(ValueError, match="archive_too_large.*big_2024.zip"):
         area_supply.scan(spark, str(tmp_path / "a"))
     land(tmp_path / "b", "answer.json", '{"data":{"items":[]}}')
+    monkeypatch.setattr(unit_generation, "ANSWER_LIMIT", 5)
+    monkeypatch.setattr(unit_generation, "can_seek", lambda *_: False)
     with pytest.raises(ValueError, match="answer_too_large.*answer.json"):
-        unit_generation.scan(spark, str(tmp_path / "b"), limit=5)
+        unit_generation.scan(spark, str(tmp_path / "b"))
 
 
 WEATHER = "primary_key string, date string, temperature double, n int"

@@ -169,7 +169,7 @@ def test_spot_price(spark, tmp_path, rows):
     land(tmp_path, "spot.csv", text, "cp932")
     land(tmp_path, "other.csv", "no header here\n1,2\n")
     parsed = spot_price.parse(spot_price.scan(spark, str(tmp_path)))
-    assert rows(parsed.filter("issue is not null"), "issue") == [("invalid_date",), ("invalid_slot",)]
+    assert rows(parsed.filter("issue is not null"), "issue") == [("invalid_date",), ("invalid_slot",), ("no_header",)]
     first = parsed.filter("slot = 1 and sell_bid_qty_kwh = 12").first()
     assert (first.ap0_system, first.ap1_hokkaido, first.fip_ref_price_kyushu) == (Decimal("10.50"), None, Decimal("3.46"))
     latest = keep_last(spot_price.accepted(parsed), ["date", "slot"], spot_price.ORDER)
@@ -233,7 +233,7 @@ def test_unit_generation(spark, tmp_path, rows):
     land(tmp_path, "b.json", json.dumps({"data": {}}))
     land(tmp_path, "c.json", "not json")
     result = unit_generation.transform(unit_generation.items(unit_generation.scan(spark, str(tmp_path))))
-    assert result.filter("issue is not null").count() == 1
+    assert rows(result.filter("issue is not null"), "issue") == [("broken_answer",), ("invalid_date",), ("no_items",)]
     good = unit_generation.accepted(result)
     assert good.columns[:-1] == unit_generation.TABLE.columns
     assert rows(good, "master_key", "area_code", "gen_method", "slot1", "slot2", "slot48", "total") == [
