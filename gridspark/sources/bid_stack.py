@@ -22,15 +22,19 @@ SEGMENT_LINES = 4096
 
 
 def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    pieces = scan_pieces(spark, path, limit)
-    text = decode_ladder(F.col("content"), F.col("utf8"))
-    small = pieces.select("path", "seg", F.col("issue").alias("file_issue"), F.posexplode_outer(lines_of(text)).alias("line_no", "line")).withColumn(
-        "line_no", F.coalesce("line_no", F.lit(0)))
+    small = piece_steps(scan_pieces(spark, path, limit))
     large = scan_large(spark, path, limit)
     split = decode_lines(large, broadcast=has_few_files(spark, path, limit)).withColumn("file_issue", F.lit(None).cast("string"))
     return small.unionByName(split)
 
 
+def piece_steps(pieces: DataFrame) -> DataFrame:
+    """Lines of pieces; these files have no header to resolve."""
+    text = decode_ladder(F.col("content"), F.col("utf8"))
+    lines = pieces.select("path", "seg", F.col("issue").alias("file_issue"), F.posexplode_outer(lines_of(text)).alias("line_no", "line"))
+    return lines.withColumn("line_no", F.coalesce("line_no", F.lit(0)))
+
+
 def parse(lines: DataFrame) -> DataFrame:
     """Every line as a price step with `issue`; headers fail the number test like any other text."""
     lines = lines.withColumn("file_issue", file_issue(lines))

@@ -26,7 +26,8 @@ def no_automatic_broadcast(spark):
 @pytest.mark.parametrize("name", sorted(PLANS))
 def test_no_pairing_no_python_no_single_task_window(spark, name, no_automatic_broadcast):
     plan = physical_plan(PLANS[name](spark, SF_DIR))
-    assert not [word for word in FORBIDDEN if word in plan]
+    # ZIP archives are the one thing that Python reads.
+    assert not [word for word in FORBIDDEN if word in plan and not (word == "MapInPandas" and "archive" in name)]
     # A single partition is fine for one-row aggregates, and for ids over partition counts.
     windows = [line for line in plan.splitlines() if re.search(r"\bWindow \[", line)]
     if name != "surrogate_id":
