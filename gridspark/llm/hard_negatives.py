@@ -89,21 +89,24 @@ def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 BLOCKS = "block long, n int, ids binary, labels binary, vectors binary, dimensions int, low binary, high binary, kinds array<long>"
 
 
-def blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows of a partition as blocks with their zone maps."""
-    block = TaskContext.get().partitionId() << 33
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(x.num_rows for x in held) >= BLOCK:
-            table = pa.Table.from_batches(held).combine_chunks()
-            whole = table.num_rows // BLOCK * BLOCK
-            for begin in range(0, whole, BLOCK):
-                yield block_of(block, table.slice(begin, BLOCK))
-                block += 1
-            held = table.slice(whole).to_batches() if whole < table.num_rows else []
-    if held:
-        yield block_of(block, pa.Table.from_batches(held))
+def blocked(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted rows of a partition as blocks with their zone maps."""
+        block = TaskContext.get().partitionId() << 33
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(x.num_rows for x in held) >= size:
+                table = pa.Table.from_batches(held).combine_chunks()
+                whole = table.num_rows // size * size
+                for begin in range(0, whole, size):
+                    yield block_of(block, table.slice(begin, size))
+                    block += 1
+                held = table.slice(whole).to_batches() if whole < table.num_rows else []
+        if held:
+            yield block_of(block, pa.Table.from_batches(held))
+
+    return run
 
 
 def block_of(block: int, table: pa.Table) -> pa.RecordBatch:
@@ -125,7 +128,7 @@ def record(schema: str, rows: list[tuple]) -> pa.RecordBatch:
 ANCHORS = "anchor_no long, pack long, anchor_id long, label long, block long, place long, vector binary"
 
 
-def anchors_of(every: int):
+def anchors_of(every: int, pack: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The anchors among a task's blocks, numbered and dealt into packs of neighbours."""
         number = TaskContext.get().partitionId() << 33
@@ -135,7 +138,7 @@ def anchors_of(every: int):
                 ids, labels = (np.frombuffer(x[name], np.int64) for name in ("ids", "labels"))
                 matrix = unpacked(x["vectors"], x["n"], x["dimensions"])
                 for place in np.flatnonzero(ids % every == 0).tolist():
-                    rows.append((number, number // PACK, int(ids[place]), int(labels[place]), x["block"], place, matrix[place].tobytes()))
+                    rows.append((number, number // pack, int(ids[place]), int(labels[place]), x["block"], place, matrix[place].tobytes()))
                     number += 1
             if rows:
                 yield record(ANCHORS, rows)
@@ -234,18 +237,17 @@ def reader(same: bool, wanted: int):
 class Candidates:
     """The stored blocks, their zone maps in pages, and the anchors among them."""
 
-    def __init__(self, vectors: DataFrame, every: int) -> None:
+    def __init__(self, vectors: DataFrame, every: int, block: int = BLOCK, pack: int = PACK, page: int = PAGE) -> None:
         ship(vectors.sparkSession)
         keys = vectors.select("vec_id", F.col("label").cast("long").alias("label"), "vector").mapInArrow(
             keyed, "vec_id long, label long, vector array<long>, curve long")
         ordered = keys.repartitionByRange("curve", "vec_id").sortWithinPartitions("curve", "vec_id").drop("curve")
-        self.blocks = staged(ordered.mapInArrow(blocked, BLOCKS), "blocks")
-        pages = -(-self.blocks.count() // PAGE)
-        self.page_count = max(pages, 1)
-        page = F.pmod(F.xxhash64("block"), F.lit(self.page_count).cast("long"))
-        zones = self.blocks.select(page.alias("page"), F.struct("block", "low", "high", "kinds").alias("zone"))
+        self.blocks = staged(ordered.mapInArrow(blocked(block), BLOCKS), "blocks")
+        self.page_count = max(-(-self.blocks.count() // page), 1)
+        place = F.pmod(F.xxhash64("block"), F.lit(self.page_count).cast("long"))
+        zones = self.blocks.select(place.alias("page"), F.struct("block", "low", "high", "kinds").alias("zone"))
         self.pages = staged(zones.groupBy("page").agg(F.collect_list("zone").alias("zones")), "zones")
-        self.anchors = staged(self.blocks.select("block", "n", "ids", "labels", "vectors", "dimensions").mapInArrow(anchors_of(every), ANCHORS), "anchors")
+        self.anchors = staged(self.blocks.select("block", "n", "ids", "labels", "vectors", "dimensions").mapInArrow(anchors_of(every, pack), ANCHORS), "anchors")
 
     def requests(self, asked: DataFrame, same: bool, seeds: int | None) -> DataFrame:
         packs = asked.groupBy("pack").agg(F.collect_list(F.struct(
@@ -286,7 +288,8 @@ def quantised(embeddings: DataFrame, scale: int = 256, vector: str = "embedding"
                        F.transform(x, lambda v: F.floor(v * scale)).alias("vector"))
 
 
-def mine(vectors: DataFrame, every: int = 100, positives: int = POSITIVES, negatives: int = NEGATIVES, low: int = LOW, high: int = HIGH) -> DataFrame:
+def mine(vectors: DataFrame, every: int = 100, positives: int = POSITIVES, negatives: int = NEGATIVES, low: int = LOW, high: int = HIGH,
+         block: int = BLOCK, pack: int = PACK, page: int = PAGE) -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score.
 
     `vectors` has vec_id, label and vector (whole numbers). Anchors are the rows whose vec_id is
@@ -297,7 +300,7 @@ def mine(vectors: DataFrame, every: int = 100, positives: int = POSITIVES, negat
     one ended in zeros; components beyond 2**31 / sqrt(length) are taken as that bound, which keeps
     scores within 64 bits. An empty table gives no rows; further columns are ignored.
     """
-    stored = Candidates(vectors, every)
+    stored = Candidates(vectors, every, block, pack, page)
     whole = stored.anchors.withColumns({"lows": F.array(F.lit(-FAR)), "highs": F.array(F.lit(FAR))})
     found = staged(stored.search(whole, True, positives), "positives")
     score = F.col("score").cast("decimal(38,0)")

@@ -24,7 +24,7 @@ LEAST_WORDS = 20
 REPEATED_PERCENT = 30
 # A line in more distinct documents of one host than this goes.
 DOCUMENTS = 8
-# A document that keeps less than this share of its words, or fewer than LEAST_WORDS, is depleted.
+# A document that keeps less than this share of its words is depleted.
 KEPT_PERCENT = 50
 
 SYMBOL = np.zeros(256, dtype=bool)
@@ -132,14 +132,14 @@ def occurrences(rows: DataFrame, frequent: DataFrame) -> DataFrame:
     return lines.join(frequent.select("host", "line"), ["host", "line"], "left_semi")
 
 
-def judged(rows: DataFrame, frequent: DataFrame, percent: int = KEPT_PERCENT, least: int = LEAST_WORDS) -> DataFrame:
+def judged(rows: DataFrame, frequent: DataFrame, percent: int = KEPT_PERCENT) -> DataFrame:
     """Rows of `measured` with n_removed_words, base_failed and kept."""
     removed = occurrences(rows, frequent).groupBy("row_no").agg(F.sum("words").alias("n_removed_words"))
     joined = rows.drop("digest", "lines", "line_words").join(removed, "row_no", "left").withColumn(
         "n_removed_words", F.coalesce("n_removed_words", F.lit(0)))
     left = F.col("n_words") - F.col("n_removed_words")
-    failed = (F.col("n_words") < least) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
-    depleted = (left < least) | (100 * left < percent * F.col("n_words"))
+    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
+    depleted = 100 * left < percent * F.col("n_words")
     return joined.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
 
 

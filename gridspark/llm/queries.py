@@ -115,7 +115,7 @@ joined AS (SELECT b.*, coalesce(d.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_re
   FROM base b LEFT JOIN dups d USING (doc_id) LEFT JOIN repeats r USING (doc_id) LEFT JOIN removed m USING (doc_id)),
 rules AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM joined)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND n_words - n_removed_words >= 20 AND 100 * (n_words - n_removed_words) >= 50 * n_words AS kept, n_removed_words
+  NOT base_failed AND 100 * (n_words - n_removed_words) >= 50 * n_words AS kept, n_removed_words
 FROM rules""")
 def op11_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.report(table(spark, sf_dir))

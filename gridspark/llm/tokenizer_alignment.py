@@ -76,7 +76,8 @@ class Pair:
         rest = [x for x in chunks if not (x.isascii() or max(x) < chr(0x250))]
         # The faster library knows letters by another version of Unicode, which Latin ones do not feel.
         ids_a = [self.fast.encode_ordinary(x) for x in latin] + [x.ids for x in self.slow.encode_batch(rest, add_special_tokens=False)]
-        ids_b = self.model.encode([x[1:] for x in latin + rest], num_threads=1)
+        # The library gives an empty text no ids, not even its own blank.
+        ids_b = [ids or [self.model.piece_to_id(BLANK)] for ids in self.model.encode([x[1:] for x in latin + rest], num_threads=1)]
         for chunk, a, b in zip(latin + rest, ids_a, ids_b):
             raw = chunk.encode("utf-8", "surrogatepass")
             spelled = b"".join([self.raw_a[i] for i in a]) == raw == b"".join([self.raw_b[i] for i in b])

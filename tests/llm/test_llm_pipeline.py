@@ -31,5 +31,5 @@ def test_stages_take_odd_rows_and_empty_tables(spark, table, stored):
 
 def test_all_queries_are_registered():
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
     assert set(__spark_entry__.oracle_sql()) <= names
