@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gridspark.operators.merge import append_into, read_table
 from gridspark.schemas import TABLES, Table
-from gridspark.session import ensure_checkpoint_dir
+from gridspark.session import ensure_checkpoint_dir, observed
 
 PARTITION_COUNTS_LIMIT = 100_000
 # Issues of whole files and archive entries; each stands for one of them, not for a line.
@@ -67,6 +70,37 @@ def dense_ids(df: DataFrame, order: list[str], start: int = 1) -> DataFrame:
     return numbered.select("id", *df.columns)
 
 
+@dataclass(frozen=True)
+class Account:
+    """Where the rows of one evaluation went; `sent` is the sum of the three counts."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+    unread: DataFrame
+    counts: dict[str, int]
+
+    @property
+    def sent(self) -> int:
+        return sum(self.counts.values())
+
+
+def account(parsed: DataFrame, folder: str, kept_issues: tuple[str, ...] = ()) -> Account:
+    """Evaluate parsed rows once: one write splits them into rows that load, rejected lines and files
+    or entries that could not be read, and counts each kind while it passes."""
+    issue = F.col("issue")
+    kind = (
+        F.when(issue.isNull() | issue.isin(list(kept_issues)), "accepted")
+        .when(issue.isin(FILE_ISSUES), "unread").otherwise("rejected")
+    )
+    seen, kinds = Observation(), ("accepted", "rejected", "unread")
+    marked = parsed.withColumn("__kind", kind).observe(seen, *[F.count_if(F.col("__kind") == name).alias(name) for name in kinds])
+    marked.write.partitionBy("__kind").parquet(folder)
+    schema = StructType([*parsed.schema.fields, StructField("__kind", StringType())])
+    stored = parsed.sparkSession.read.schema(schema).parquet(folder)
+    parts = [stored.filter(F.col("__kind") == name).drop("__kind") for name in kinds]
+    return Account(*parts, observed(seen, *kinds))
+
+
 def file_outcomes(files: DataFrame, parsed: DataFrame) -> DataFrame:
     """Per attempted file its accepted and flagged rows and what of it was `unread`; a file without
     rows has failed, and one that lost entries loads in part.

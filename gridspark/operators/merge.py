@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 
 from gridspark.operators.dedup import keep_first, keep_last
 from gridspark.schemas import MONTH, Table, missing_columns, require_columns
+from gridspark.session import evaluated_once
 
 PARTITIONS_TO_PRUNE = 1000
 Order = list[str | Column]
@@ -169,11 +170,11 @@ def append_into(batch: DataFrame, path: str, table: Table) -> None:
 
 
 def insert_into(spark: SparkSession, batch: DataFrame, path: str, table: Table, order: list[str]) -> None:
-    """Append the rows with unknown keys. Running it again adds nothing."""
-    rows = stored_form(batch, table, order)
-    target = touched(read_table(spark, path, table), rows, table.partitions)
-    added = new_rows(target, rows, list(table.key), order)
-    _write(added.select(*table.stored_schema.names), path, table, "append")
+    """Append the rows with unknown keys. Running it again adds nothing. The batch is evaluated once."""
+    with evaluated_once(stored_form(batch, table, order)) as rows:
+        target = touched(read_table(spark, path, table), rows, table.partitions)
+        added = new_rows(target, rows, list(table.key), order)
+        _write(added.select(*table.stored_schema.names), path, table, "append")
 
 
 def upsert_into(spark: SparkSession, batch: DataFrame, path: str, table: Table, order: list[str],
@@ -181,16 +182,17 @@ def upsert_into(spark: SparkSession, batch: DataFrame, path: str, table: Table,
     """Rewrite the touched partitions with the batch merged in, whole rows or some columns.
 
     Partitions must follow from the key, so that a key never changes its partition.
-    Files are swapped when the job commits; a lost task is simply run again.
+    Files are swapped when the job commits; a lost task is simply run again. The batch is
+    evaluated once. For one commit over all partitions see `gridspark.operators.snapshots`.
     """
     if not table.partitions:
         raise ValueError(f"{table.name} has no partitions to rewrite")
-    rows = stored_form(batch, table, order)
-    target = touched(read_table(spark, path, table), rows, table.partitions)
-    # The key decides the partition, so only the key is compared; a null month has its own folder.
-    keys = list(table.key)
-    if columns:
-        merged = upsert_columns(target, rows, keys, columns, order)
-    else:
-        merged = upsert(target, rows, keys, order)
-    _write(merged.select(*table.stored_schema.names), path, table, "overwrite")
+    with evaluated_once(stored_form(batch, table, order)) as rows:
+        target = touched(read_table(spark, path, table), rows, table.partitions)
+        # The key decides the partition, so only the key is compared; a null month has its own folder.
+        keys = list(table.key)
+        if columns:
+            merged = upsert_columns(target, rows, keys, columns, order)
+        else:
+            merged = upsert(target, rows, keys, order)
+        _write(merged.select(*table.stored_schema.names), path, table, "overwrite")

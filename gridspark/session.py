@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Legacy charsets are needed for windows-31j; the error action makes a damaged
 # byte decode to the replacement character instead of failing the job.
@@ -61,3 +65,59 @@ def shared_folder(spark: SparkSession) -> str:
 def remove_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder that goes when the application ends."""
+    place = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return place
+
+
+@contextmanager
+def evaluated_once(df: DataFrame) -> Iterator[DataFrame]:
+    """The rows written to the shared folder and read back, for work that needs them more than once."""
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/batch-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(folder)
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        remove_folder(spark, folder)
+
+
+def observed(seen: Observation, *names: str) -> dict[str, int]:
+    """Counts that an observation took. A plan that turns out to be empty loses its counters; then all are 0."""
+    try:
+        found = seen.get
+    except Py4JJavaError:
+        found = {}
+    return {name: int(found.get(name) or 0) for name in names}
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none where it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(path)] if system.exists(path) else []
+
+
+def create_exclusively(spark: SparkSession, place: str, text: str) -> bool:
+    """Write a small file whole under a name that must be new; false if the name is taken."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(place)
+    hidden = jvm.org.apache.hadoop.fs.Path(path.getParent(), f".{path.getName()}-{uuid.uuid4().hex}")
+    system = path.getFileSystem(conf)
+    out = system.create(hidden)
+    out.write(bytearray(text.encode()))
+    out.close()
+    none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), conf).rename(hidden, path, none)
+    except Py4JJavaError as error:
+        system.delete(hidden, False)
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+    return True

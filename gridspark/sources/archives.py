@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from gridspark.sources.seek import dealt, opener
 
 PIECE_BYTES = 4 * 1024 * 1024
-PIECES = "path string, seg bigint, head binary, utf8 boolean, content binary, issue string"
+PIECES = "path string, seg bigint, first_line bigint, head binary, utf8 boolean, content binary, issue string"
 DIRECTORY = "path string, entry string, place int, bytes bigint, issue string"
 BROKEN_ARCHIVE, BROKEN_ENTRY, NO_HEADER = "broken_archive", "broken_entry", "no_header"
 
@@ -35,6 +35,9 @@ def archive_reader(piece_bytes: int, rule: HeadRule | None):
     marks = [rule.first_cell.encode(charset) for charset in ("utf-8", "cp932")] if rule and rule.first_cell else []
     bom, block = b"\xef\xbb\xbf", 1 << 20
 
+    def lines_in(content):
+        return content.count(b"\n") + content.count(b"\r") - content.count(b"\r\n")
+
     def entries(archive):
         return [(place, info) for place, info in enumerate(archive.infolist()) if info.filename.lower().endswith(".csv")]
 
@@ -62,10 +65,10 @@ def archive_reader(piece_bytes: int, rule: HeadRule | None):
     def pieces(archive, info):
         utf8 = verdict(archive, info)
         if utf8 is None:
-            yield 0, None, None, None, BROKEN_ENTRY
+            yield 0, 0, None, None, None, BROKEN_ENTRY
             return
         head, found, counted = b"", not (nth or marks), 0
-        seg, buffer, size = 0, [], 0
+        seg, buffer, size, first = 0, [], 0, 0
         with archive.open(info) as stream:
             for number, line in enumerate(stream):
                 buffer.append(line)
@@ -82,12 +85,13 @@ def archive_reader(piece_bytes: int, rule: HeadRule | None):
                     # Lines up to a late header are a piece without one; below it a new piece begins.
                     ended = found and seg > 0
                 if ended or size >= piece_bytes:
-                    yield seg, head if found and not ended else b"", utf8, b"".join(buffer), None
-                    seg, buffer, size = seg + 1, [], 0
+                    content = b"".join(buffer)
+                    yield seg, first, head if found and not ended else b"", utf8, content, None
+                    seg, buffer, size, first = seg + 1, [], 0, first + lines_in(content)
         if buffer:
-            yield seg, head if found else b"", utf8, b"".join(buffer), None
+            yield seg, first, head if found else b"", utf8, b"".join(buffer), None
         if marks and not found:
-            yield seg + 1, None, None, None, NO_HEADER
+            yield seg + 1, 0, None, None, None, NO_HEADER
 
     return entries, pieces
 
@@ -136,7 +140,7 @@ def entry_pieces(files: DataFrame, total_bytes: int, piece_bytes: int = PIECE_BY
             for batch in batches:
                 for path, entry, place, issue in zip(batch["path"], batch["entry"], batch["place"], batch["issue"]):
                     if issue:
-                        yield pd.DataFrame([(path, 0, None, None, None, issue)], columns=names)
+                        yield pd.DataFrame([(path, 0, 0, None, None, None, issue)], columns=names)
                         continue
                     if path != at:
                         stack.close()
@@ -165,7 +169,7 @@ def content_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES, rule: HeadR
                 try:
                     archive = zipfile.ZipFile(io.BytesIO(content))
                 except (zipfile.BadZipFile, OSError, ValueError, NotImplementedError):
-                    yield pd.DataFrame([(path, 0, None, None, None, BROKEN_ARCHIVE)], columns=names)
+                    yield pd.DataFrame([(path, 0, 0, None, None, None, BROKEN_ARCHIVE)], columns=names)
                     continue
                 for _, info in entries(archive):
                     for piece in pieces(archive, info):

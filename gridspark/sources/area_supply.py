@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridspark.constants import ARCHIVE_ALIASES, ARCHIVE_AREA, COMPACT_DATE_AREA, SUPPLY_ALIASES, SUPPLY_MEASURES
@@ -12,7 +14,7 @@ from gridspark.functions.text import bound, cell, cells, cells_at, joined_key, s
 from gridspark.operators.coverage import archive_years
 from gridspark.operators.dedup import first_usable, keep_first
 from gridspark.schemas import require_columns
-from gridspark.sources.files import WHOLE_FILE_LIMIT, area_of_path, listing, literal_path, period_of_path
+from gridspark.sources.files import WHOLE_FILE_LIMIT, Skipped, area_of_path, listing, period_of_path
 from gridspark.sources.lines import alias_positions, file_issue, headed_lines, header_names, nth_line, \
     nth_line_heads, spellings_of
 
@@ -29,23 +31,24 @@ def positions(header: Column, area_code: Column) -> Column:
 
 
 def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT,
-         current_year: int | None = None) -> DataFrame:
+         current_year: int | None = None, every_version: bool = False) -> DataFrame:
     """Lines of landed files; the area id is part of the path.
 
-    With `current_year`, of several versions of one area and month only the one to use is
-    read (`choose_versions`), decided from the listing; files outside that scheme are read too.
+    Of several versions of one area and month only the one to use is read (`choose_versions`),
+    decided from the listing; files outside that scheme are read too. `current_year` is this
+    year's unless given; `every_version` reads all.
     """
-    if current_year is not None:
-        chosen = [literal_path(row.path) for row in chosen_files(listing(spark, path), current_year).collect()]
-        if not chosen:
-            return scan(spark, path, limit).limit(0)
-        return scan(spark, chosen, limit)
+    skipped = None
+    if not every_version:
+        files = listing(spark, path)
+        chosen = chosen_files(files, current_year or date.today().year)
+        skipped = Skipped(files.join(chosen, "path", "left_anti"))
     area = area_of_path(F.col("path"))
     return headed_lines(
         spark, path, nth_line(HEADER_LINE),
         lambda head, at: positions(F.get(head, at.cast("int")), area),
         lambda large: nth_line_heads(large, HEADER_LINE), positions(F.col("header"), area), limit,
-        labels={"area_code": area},
+        labels={"area_code": area}, skipped=skipped,
     )
 
 
@@ -67,6 +70,19 @@ def choose_versions(files: DataFrame, current_year: int) -> DataFrame:
     return best.select("area_code", "period", "path").unionByName(yearly.select("area_code", "period", "path"))
 
 
+def file_units(files: DataFrame) -> DataFrame:
+    """Files with their `area_code`, `period`, `version` and `unit`: the area and month that versions
+    of a monthly file compete for, or the file itself where nothing competes."""
+    path = F.col("path")
+    area, period = area_of_path(path), period_of_path(path)
+    monthly = area.isNotNull() & (F.length(period) == 6)
+    return files.select(
+        "path", area.alias("area_code"), period.alias("period"),
+        F.coalesce(F.regexp_extract(path, r"_(\d{2})\.csv$", 1).try_cast("int"), F.lit(0)).alias("version"),
+        F.coalesce(monthly, F.lit(False)).alias("monthly"), F.when(monthly, F.concat_ws("/", area, period)).otherwise(path).alias("unit"),
+    )
+
+
 def chosen_files(files: DataFrame, current_year: int) -> DataFrame:
     """`path` of every landed file to read: the chosen versions, and files that name no area or period."""
     path = F.col("path")
@@ -141,8 +157,8 @@ def canonical(parsed: DataFrame) -> DataFrame:
 
 
 def load(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT,
-         current_year: int | None = None) -> DataFrame:
-    return canonical(parse(scan(spark, path, limit, current_year)))
+         current_year: int | None = None, every_version: bool = False) -> DataFrame:
+    return canonical(parse(scan(spark, path, limit, current_year, every_version)))
 
 
 def clean_batch(batch: DataFrame, year: int) -> DataFrame:

@@ -31,8 +31,8 @@ def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIM
 def piece_steps(pieces: DataFrame) -> DataFrame:
     """Lines of pieces; these files have no header to resolve."""
     text = decode_ladder(F.col("content"), F.col("utf8"))
-    lines = pieces.select("path", "seg", F.col("issue").alias("file_issue"), F.posexplode_outer(lines_of(text)).alias("line_no", "line"))
-    return lines.withColumn("line_no", F.coalesce("line_no", F.lit(0)))
+    lines = pieces.select("path", "seg", "first_line", F.col("issue").alias("file_issue"), F.posexplode_outer(lines_of(text)).alias("pos", "line"))
+    return lines.select("path", "seg", (F.coalesce("first_line", F.lit(0)) + F.coalesce("pos", F.lit(0))).alias("line_no"), "line", "file_issue")
 
 
 def parse(lines: DataFrame) -> DataFrame:

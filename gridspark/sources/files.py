@@ -1,6 +1,6 @@
 """Landed files as pieces of bytes: whole small files, archive entries, stored payloads.
 
-A *piece* is `(path, seg, head, utf8, content, issue)`. A small file is one piece. An archive
+A *piece* is `(path, seg, first_line, head, utf8, content, issue)`. A small file is one piece. An archive
 entry is cut at line ends into pieces of bounded size that share the lines its header is
 resolved from (`head`, found by the reader's own rule wherever it stands) and one verdict
 on its encoding (`utf8`). An archive or entry that cannot be read is a piece without content
@@ -25,6 +25,7 @@ from gridspark.sources.seek import can_seek, first_bytes
 
 WHOLE_FILE_LIMIT = 32 * 1024 * 1024
 ARCHIVE_LIMIT = 1024 * 1024 * 1024
+SKIPPED_BY_NAME = 1000
 ARCHIVE_NAME = ".zip"
 TEXT_NAMES = (".csv", ".json", ".txt")
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -35,13 +36,30 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\[\]{}*?,\\])", r"\\\1", path)
 
 
+class Skipped:
+    """Landed files that a scan leaves out. A few are left out by name, which prunes the listing, so
+    that their bytes are not read; many are joined away, and the engine decides how."""
+
+    def __init__(self, files: DataFrame) -> None:
+        self.files = files.select("uri")
+        self.names = [row.uri for row in self.files.limit(SKIPPED_BY_NAME + 1).collect()]
+
+    def leave_out(self, scan: DataFrame, columns: list) -> DataFrame:
+        """The columns of a file scan, of the files that count."""
+        uri = F.col("_metadata.file_path")
+        if len(self.names) <= SKIPPED_BY_NAME:
+            return (scan.filter(~uri.isin(self.names)) if self.names else scan).select(*columns)
+        return scan.select(*columns, uri.alias("uri")).join(self.files, "uri", "left_anti").drop("uri")
+
+
 def listing(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """`path` and `length` of landed files; no bytes are read."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    """`path`, `length` and `uri` (the path as scans name it) of landed files; no bytes are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", "length", F.col("_metadata.file_path").alias("uri"))
 
 
 def scan_files(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT, over: int = 0,
-               name: Callable[[Column], Column] | None = None) -> DataFrame:
+               name: Callable[[Column], Column] | None = None, skipped: Skipped | None = None) -> DataFrame:
     """Files of more than `over` and at most `limit` bytes, with names that pass `name`.
 
     Both tests are applied to the listing or the scan: the bytes of other files are not read.
@@ -49,7 +67,8 @@ def scan_files(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FI
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     if name is not None:
         files = files.filter(name(F.lower("_metadata.file_name")))
-    return files.filter((F.col("length") > over) & (F.col("length") <= limit))
+    sized = files.filter((F.col("length") > over) & (F.col("length") <= limit))
+    return skipped.leave_out(sized, files.columns) if skipped else sized
 
 
 def area_of_path(path: Column) -> Column:
@@ -71,7 +90,7 @@ def period_of_path(path: Column) -> Column:
 def whole_pieces(files: DataFrame) -> DataFrame:
     """One piece per file."""
     return files.select(
-        "path", F.lit(0).cast("bigint").alias("seg"), F.lit(None).cast("binary").alias("head"),
+        "path", F.lit(0).cast("bigint").alias("seg"), F.lit(0).cast("bigint").alias("first_line"), F.lit(None).cast("binary").alias("head"),
         is_utf8(F.col("content")).alias("utf8"), "content", F.lit(None).cast("string").alias("issue"),
     )
 
@@ -97,14 +116,16 @@ def archive_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES, rule: HeadR
     return entry_pieces(files, total, piece_bytes, rule)
 
 
-def named_files(spark: SparkSession, path: str | list[str], name: Callable[[Column], Column], over: int = 0) -> DataFrame:
+def named_files(spark: SparkSession, path: str | list[str], name: Callable[[Column], Column], over: int = 0,
+                skipped: Skipped | None = None) -> DataFrame:
     """`path` and `length` of the landed files of more than `over` bytes whose name passes."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.filter(name(F.lower("_metadata.file_name")) & (F.col("length") > over)).select("path", "length")
+    named = files.filter(name(F.lower("_metadata.file_name")) & (F.col("length") > over))
+    return skipped.leave_out(named, ["path", "length"]) if skipped else named.select("path", "length")
 
 
 def scan_pieces(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT,
-                trust_names: bool = True, rule: HeadRule | None = None) -> DataFrame:
+                trust_names: bool = True, rule: HeadRule | None = None, skipped: Skipped | None = None) -> DataFrame:
     """Pieces of every plain file up to `limit` and of every archive of any size.
 
     A file is an archive by its name or, unless it is named like a text, by its first
@@ -116,18 +137,18 @@ def scan_pieces(spark: SparkSession, path: str | list[str], limit: int = WHOLE_F
     """
     doubtful = has_other_name if trust_names else lambda name: ~has_archive_name(name)
     zipped = is_zip(F.col("content"))
-    plain = scan_files(spark, path, limit, name=doubtful).filter(~zipped)
+    plain = scan_files(spark, path, limit, name=doubtful, skipped=skipped).filter(~zipped)
     if trust_names:
-        plain = scan_files(spark, path, limit, name=has_text_name).unionByName(plain)
+        plain = scan_files(spark, path, limit, name=has_text_name, skipped=skipped).unionByName(plain)
     if can_seek(spark, path):
         # Only four bytes of a doubtful file are read, however large it is.
-        candidates = named_files(spark, path, doubtful)
+        candidates = named_files(spark, path, doubtful, skipped=skipped)
         sniffed = first_bytes(candidates, 4).filter(is_zip(F.col("start"))).select("path")
-        archives = named_files(spark, path, has_archive_name).unionByName(candidates.join(sniffed, "path"))
+        archives = named_files(spark, path, has_archive_name, skipped=skipped).unionByName(candidates.join(sniffed, "path"))
         return whole_pieces(plain).unionByName(archive_pieces(archives, rule=rule))
     fail_on(oversize_archives(spark, path))
-    whole = scan_files(spark, path, ARCHIVE_LIMIT, name=has_archive_name).unionByName(
-        scan_files(spark, path, ARCHIVE_LIMIT, name=doubtful).filter(zipped))
+    whole = scan_files(spark, path, ARCHIVE_LIMIT, name=has_archive_name, skipped=skipped).unionByName(
+        scan_files(spark, path, ARCHIVE_LIMIT, name=doubtful, skipped=skipped).filter(zipped))
     return whole_pieces(plain).unionByName(archive_pieces(whole, rule=rule))
 
 

@@ -1,7 +1,7 @@
 """Lines with their header resolved, from pieces, from large files or from line tables.
 
-All three routes give `(path, seg, line_no, after_head, positions, line, file_issue)`. `(seg, line_no)`
-orders the lines of a file; `positions` holds, for every wanted column, the cell it
+All three routes give `(path, seg, line_no, after_head, positions, line, file_issue)`. `line_no` is the
+line's index in its file or archive entry, from 0; `positions` holds, for every wanted column, the cell it
 sits in. Small files resolve their header before their lines are exploded, so that
 route is narrow from end to end. What cannot be read at all is a row without a line that
 names the `file_issue`; parsers pass it on as a reject.
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gridspark.functions.text import JAPANESE, cells, decode_fixed, decode_ladder, lines_of
 from gridspark.sources.archives import NO_HEADER, HeadRule
-from gridspark.sources.files import WHOLE_FILE_LIMIT, has_archive_name, has_other_name, scan_pieces
+from gridspark.sources.files import WHOLE_FILE_LIMIT, Skipped, has_archive_name, has_other_name, scan_pieces
 
 HEADS_TO_BROADCAST = 10_000
 HEAD_BYTES = 64 * 1024
@@ -94,8 +94,9 @@ def piece_lines(pieces: DataFrame, find_head: Resolver, resolve: Callable[[Colum
         .withColumn("positions", resolve(F.col("head_lines"), F.col("head_at")))
         .withColumns(labels)
         .withColumn("file_issue", F.col("issue") if "issue" in pieces.columns else F.lit(None).cast("string"))
-        .select("path", "seg", "head_at", "positions", "file_issue", *labels, F.posexplode_outer("lines").alias("pos", "line"))
-        .withColumn("line_no", F.coalesce("pos", F.lit(0)).cast("bigint"))
+        .withColumn("first_line", F.col("first_line") if "first_line" in pieces.columns else F.lit(0).cast("bigint"))
+        .select("path", "seg", "head_at", "positions", "file_issue", "first_line", *labels, F.posexplode_outer("lines").alias("pos", "line"))
+        .withColumn("line_no", F.coalesce("first_line", F.lit(0)) + F.coalesce("pos", F.lit(0)))
     )
     after = F.when(F.col("seg") == 0, F.col("line_no") - F.col("head_at"))
     below = (F.col("seg") > 0) | F.col("head_at").isNull() | (F.col("after_head") > 0)
@@ -130,10 +131,11 @@ def with_headless(lines: DataFrame, heads: DataFrame | None = None) -> DataFrame
     return lines.filter(filled).unionByName(missing.select(*named.values()))
 
 
-def scan_large(spark: SparkSession, path: str | list[str], over: int = WHOLE_FILE_LIMIT) -> DataFrame:
+def scan_large(spark: SparkSession, path: str | list[str], over: int = WHOLE_FILE_LIMIT, skipped: Skipped | None = None) -> DataFrame:
     """Undecoded lines of files over a size, read by many tasks per file.
 
-    `seg` is the byte at which a split starts. The size test prunes whole files.
+    `seg` is the byte at which a split starts, and `line_id` grows with the lines of a split one by
+    one; `decode_lines` makes line numbers of both. The size test prunes whole files.
     No line end can be part of a character in UTF-8 or the Japanese code page, so
     cutting lines before decoding is safe. Archives go by name, and where the name says
     nothing by their first bytes; `scan_pieces` opens both.
@@ -143,25 +145,32 @@ def scan_large(spark: SparkSession, path: str | list[str], over: int = WHOLE_FIL
     large = scan.filter((F.col("_metadata.file_size") > over) & ~has_archive_name(name))
     starts = large.filter(has_other_name(name) & (F.col("_metadata.file_block_start") == 0))
     archives = starts.filter(F.col("value").startswith(ARCHIVE_MARK)).select(place).distinct()
-    return large.select(
+    columns = [
         place,
         F.col("_metadata.file_block_start").alias("seg"),
-        F.monotonically_increasing_id().alias("line_no"),
+        F.monotonically_increasing_id().alias("line_id"),
         F.col("value").cast("binary").alias("raw"),
-    ).join(archives, "path", "left_anti")
+    ]
+    return (skipped.leave_out(large, columns) if skipped else large.select(*columns)).join(archives, "path", "left_anti")
 
 
 def decode_lines(raw: DataFrame, charset: str | None = None, broadcast: bool = False) -> DataFrame:
-    """Decode lines by a verdict reached per file; the verdict is a map-side aggregate.
+    """Number lines by what the splits before hold, and decode them by a verdict reached per file.
 
-    `broadcast` as for `attach_heads`: with few files the lines themselves never move.
+    Both come from one aggregate per split, combined before it moves; sums over a file's splits
+    then tell where each one's numbers begin. `broadcast` as for `attach_heads`: with few splits
+    the lines themselves never move.
     """
-    if charset:
-        return raw.withColumn("line", decode_fixed(F.col("raw"), charset)).drop("raw")
-    verdicts = raw.groupBy("path").agg(F.bool_and(F.is_valid_utf8(F.col("raw").cast("string"))).alias("utf8"))
-    text = F.when(F.col("utf8"), F.col("raw").cast("string")).otherwise(F.decode("raw", JAPANESE))
-    joined = raw.join(F.broadcast(verdicts) if broadcast else verdicts, "path")
-    return joined.withColumn("line", text).drop("raw", "utf8")
+    valid = F.lit(True) if charset else F.is_valid_utf8(F.col("raw").cast("string"))
+    counted = raw.groupBy("path", "seg").agg(
+        F.count(F.lit(1)).alias("lines"), F.min("line_id").alias("first_id"), F.bool_and(valid).alias("valid"))
+    before = Window.partitionBy("path").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
+    splits = counted.select(
+        "path", "seg", "first_id", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before"),
+        F.bool_and("valid").over(Window.partitionBy("path")).alias("utf8"))
+    joined = raw.join(F.broadcast(splits) if broadcast else splits, ["path", "seg"])
+    text = decode_fixed(F.col("raw"), charset) if charset else F.when(F.col("utf8"), F.col("raw").cast("string")).otherwise(F.decode("raw", JAPANESE))
+    return joined.select("path", "seg", (F.col("before") + F.col("line_id") - F.col("first_id")).alias("line_no"), text.alias("line"))
 
 
 def nth_line_heads(lines: DataFrame, n: int, skip_blank: bool = True) -> DataFrame:
@@ -217,21 +226,26 @@ def attach_heads(lines: DataFrame, heads: DataFrame, positions: Column, broadcas
 
 
 def has_few_files(spark: SparkSession, path: str | list[str], over: int) -> bool:
-    """Whether one row per large file is small enough to broadcast: their number, counted up to
-    that bound from the listing alone."""
+    """Whether one row per large file, and per split of one, is small enough to broadcast: their
+    number, from the listing alone."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.filter(F.col("length") > over).select("path").limit(HEADS_TO_BROADCAST + 1).count() <= HEADS_TO_BROADCAST
+    # Splits are at least as long as the cost of opening a file.
+    least = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.openCostInBytes").removesuffix("b") + "b")
+    splits = files.filter(F.col("length") > over).agg(F.sum(F.ceil(F.col("length") / max(1, least)) + 1)).first()[0]
+    return (splits or 0) <= HEADS_TO_BROADCAST
 
 
 def headed_lines(spark: SparkSession, path: str | list[str], find_head: Resolver,
                  resolve: Callable[[Column, Column], Column], large_heads: Callable[[DataFrame], DataFrame],
                  large_positions: Column, limit: int = WHOLE_FILE_LIMIT, charset: str | None = None,
-                 labels: dict[str, Column] | None = None, must_have_head: bool = False) -> DataFrame:
+                 labels: dict[str, Column] | None = None, must_have_head: bool = False,
+                 skipped: Skipped | None = None) -> DataFrame:
     """Lines of all landed files: small ones and archives as pieces, large ones as splits.
 
     With `must_have_head`, lines without a header are left out and their file is a reject."""
-    small = piece_lines(scan_pieces(spark, path, limit, rule=find_head.rule), find_head, resolve, charset, labels)
-    scan = scan_large(spark, path, limit)
+    small = piece_lines(scan_pieces(spark, path, limit, rule=find_head.rule, skipped=skipped), find_head, resolve, charset, labels)
+    scan = scan_large(spark, path, limit, skipped)
     few = has_few_files(spark, path, limit)
     large = decode_lines(scan, charset, broadcast=few)
     heads = large_heads(large)

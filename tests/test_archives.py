@@ -91,7 +91,7 @@ def test_a_large_entry_is_inflated_as_a_stream(tmp_path):
     entries, pieces = archives.archive_reader(4 << 20, HeadRule(nth=1))
     before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
     with zipfile.ZipFile(tmp_path / "big.zip") as opened:
-        size = sum(len(piece[3]) for _, info in entries(opened) for piece in pieces(opened, info))
+        size = sum(len(piece[4]) for _, info in entries(opened) for piece in pieces(opened, info))
     assert size == 300 * 1024 * len(line)
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 60 * 1024
 
@@ -153,3 +153,24 @@ def test_outcomes_count_every_row_once(spark):
     files_ = spark.createDataFrame([("a",), ("b",), ("c",)], "path string")
     assert sorted(map(tuple, file_outcomes(files_, parsed).collect())) == [
         ("a", "success", 1, 1, 0), ("b", "partial: broken_entry", 1, 0, 1), ("c", "failed: no rows", 0, 0, 0)]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_line_numbers_are_the_lines_of_the_file_on_every_route(spark, tmp_path, small_splits, end):
+    days = [f"2024/04/{n % 28 + 1:02d},{n % 24}:00,{n},,," for n in range(300)]
+    text = end.join(["表題", "", SUPPLY_HEADER, *days]) + end
+    land(tmp_path, "tepco/plain_202404.csv", text, "cp932")
+    land(tmp_path, "chubu/packed_2024.zip", archive(a__csv=text.encode("cp932")))
+    for limit, piece_bytes in ((1 << 20, 500), (10, 1 << 20)):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(files, "archive_pieces", lambda found, rule=None: archives.entry_pieces(found, 1, piece_bytes, rule))
+            parsed = area_supply.parse(area_supply.scan(spark, str(tmp_path), limit)).collect()
+        assert sorted((r.area_code, r.line_no, r.area_demand) for r in parsed) == [(a, 3 + n, float(n)) for a in (3, 4) for n in range(300)]
+
+
+def test_line_numbers_of_bid_files(spark, tmp_path, small_splits):
+    lines = ["date,slot,price,sell,buy,area"] + [f"20240401,{n % 48 + 1},{n},1,1,1" for n in range(200)]
+    land(tmp_path, "spot_bid_curves_1.csv", "\n".join(lines))
+    for limit in (10, 1 << 20):
+        steps = bid_stack.accepted(bid_stack.parse(bid_stack.scan(spark, str(tmp_path), limit))).collect()
+        assert sorted((r.line_no, r.price) for r in steps) == [(n + 1, str(n)) for n in range(200)]

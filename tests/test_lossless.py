@@ -108,7 +108,7 @@ def test_stream_takes_names_with_pattern_characters(spark, tmp_path, rows):
     for name in ("a[1]_202404", "b{x,y}_202404", "c*d_202404"):
         land(tmp_path / "landing", f"tepco/{name}.csv", f"t\n{SUPPLY_HEADER}\n2024/04/01,{ord(name[0]) - 97}:00,1,,,\n")
     query = ingest_new_files(
-        spark, str(tmp_path / "landing"), lambda s, paths: area_supply.parse(area_supply.scan(s, paths)),
+        spark, str(tmp_path / "landing"), lambda s, paths: area_supply.parse(area_supply.scan(s, paths, every_version=True)),
         TABLES["tso_area_data"], str(tmp_path / "table"), str(tmp_path / "ledger"), str(tmp_path / "checkpoint"))
     query.awaitTermination()
     assert query.exception() is None
