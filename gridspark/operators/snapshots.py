@@ -110,6 +110,25 @@ class SnapshotTable:
 
         return self.change("upsert", batch, order, decide)
 
+    def replace_groups(self, batch: DataFrame, group: list[str], newer: str) -> Commit:
+        """Replace all stored rows of the groups that the batch names with the batch's own.
+
+        A group stays as it is if its stored rows have a greater `newer` than the batch's, of which
+        only those with its greatest count. Partitions must follow from the group. Rows of a group
+        are never brought together, so a group may be of any size.
+        """
+
+        def decide(staged: DataFrame, touched: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+            target = self.rows_of(files.join(touched, "folder", "left_semi"))
+            sent = staged.groupBy(*group).agg(F.max(newer).alias("__sent"))
+            known = target.join(sent, group).groupBy(*group).agg(F.max(newer).alias("__known"))
+            current = sent.join(known, group, "left").filter(F.col("__known").isNull() | (F.col("__sent") >= F.col("__known")))
+            fresh = staged.join(current, group).filter(F.col(newer).eqNullSafe(F.col("__sent"))).select(*staged.columns)
+            kept = target.join(current, group, "left_anti").select(*target.columns)
+            return kept.unionByName(fresh.select(*target.columns)), touched
+
+        return self.change("replace_groups", batch, [], decide)
+
     def replace(self, batch: DataFrame, partitions: DataFrame) -> Commit:
         """Put the batch in the place of whole partitions, also where it has no rows for one of them.
 

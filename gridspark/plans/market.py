@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gridspark.constants import PRICE_CELLS, PRICE_HEADER_CELL
+from gridspark.constants import BID_FEEDS, PRICE_CELLS, PRICE_HEADER_CELL
 from gridspark.functions.text import fixed_or_na, settled, thousands_or_na
 from gridspark.operators.dedup import keep_last
 from gridspark.operators.reports import in_range, preview
+from gridspark.operators.snapshots import SnapshotTable
 from gridspark.plans.registry import EXACT, plan, table
+from gridspark.schemas import TABLES
+from gridspark.session import scratch_folder
 from gridspark.sources import bid_stack as bids, spot_price
 from gridspark.sources.lines import attach_heads, first_cell_heads
 
@@ -163,6 +166,25 @@ def bid_stack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bids.first_and_size_of_steps(bid_steps(spark, sf_dir), ["seg", "line_no"])
 
 
+@plan("""WITH l AS (SELECT strftime(l_shipdate, '%Y%m%d') || '_' || (l_orderkey % 48 + 1) || '_' || (l_suppkey % 9 + 1) AS id,
+  l_returnflag = 'R' AS later, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS price, l_orderkey * 8 + l_linenumber AS place FROM lineitem),
+m AS (SELECT *, bool_or(later) OVER (PARTITION BY id) AS replaced FROM l),
+n AS (SELECT id, price, place, row_number() OVER (PARTITION BY id, place ORDER BY price) AS k FROM m WHERE later OR NOT replaced)
+SELECT id, first(price ORDER BY place, price) AS first_price, count(*) AS points FROM n GROUP BY id""")
+def bid_segment_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as two feeds stored one after the other: an id of the later feed replaces the whole
+    stack of the earlier one. Stacks are stored in segments and never as one row."""
+    item = table(spark, sf_dir, "lineitem")
+    text = item.select(
+        F.concat_ws(",", F.date_format("l_shipdate", "yyyyMMdd"), (F.col("l_orderkey") % 48 + 1).cast("string"), exact_text("l_extendedprice"),
+                    exact_text("l_quantity"), exact_text("l_discount"), (F.col("l_suppkey") % 9 + 1).cast("string")).alias("line"),
+        F.lit(0).cast("bigint").alias("seg"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_no"), "l_returnflag")
+    stored = SnapshotTable(spark, scratch_folder(spark, "bid-segments"), TABLES["jepx_bid_segments"], use_filters=False)
+    for feed, rows in ((BID_FEEDS[0], text), (BID_FEEDS[1], text.filter("l_returnflag = 'R'"))):
+        bids.store_segments(stored, bids.parse(rows.drop("l_returnflag").withColumn("path", F.lit(f"landed/{feed}.csv"))))
+    return bids.first_and_size_of_segments(stored.read()).select("id", "first_price", "points")
+
+
 @plan(f"""WITH {BIDS_SQL}, s AS (SELECT id, first(price ORDER BY k1, k2, price, sell_qty, buy_qty) AS price,
   first(sell_qty ORDER BY k1, k2, price, sell_qty, buy_qty) AS sell_qty,
   first(buy_qty ORDER BY k1, k2, price, sell_qty, buy_qty) AS buy_qty,

@@ -10,7 +10,10 @@ from gridspark.operators import merge
 from gridspark.operators.dedup import duplicate_groups, duplicate_rows, duplicate_summary, first_usable, keep_first
 from gridspark.operators.ledger import dense_ids, ledger_entries
 from gridspark.operators.routing import table_name, with_area
+from gridspark.operators.snapshots import SnapshotTable
 from gridspark.plans.registry import EVENTS_SQL, plan, slot_events, table
+from gridspark.schemas import TABLES
+from gridspark.session import scratch_folder
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
@@ -60,6 +63,49 @@ def update_insert_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- stored tables that change by commits -----------------------------------------------------------
+
+
+def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as price rows: many share a day and slot."""
+    return table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), (F.col("o_custkey") % 4 + 1).cast("int").alias("slot"),
+        F.col("o_orderkey").alias("sell_bid_qty_kwh"), F.col("o_custkey").cast("bigint").alias("buy_bid_qty_kwh"))
+
+
+def odd_then_even(spark: SparkSession, sf_dir: str) -> tuple[SnapshotTable, DataFrame]:
+    """A stored table of the odd orders, and the even ones as the next batch."""
+    rows, odd = price_rows(spark, sf_dir), F.col("sell_bid_qty_kwh") % 2 == 1
+    stored = SnapshotTable(spark, scratch_folder(spark, "prices"), TABLES["jepx_da_price"])
+    stored.insert(rows.filter(odd), ["sell_bid_qty_kwh"])
+    return stored, rows.filter(~odd)
+
+
+PRICE_ROWS_SQL = """p AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, CAST(o_custkey % 4 + 1 AS INTEGER) AS slot, o_orderkey AS sell_bid_qty_kwh,
+  CAST(o_custkey AS BIGINT) AS buy_bid_qty_kwh, o_orderkey % 2 AS odd FROM orders)"""
+
+
+@plan(f"""WITH {PRICE_ROWS_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY date, slot ORDER BY odd DESC, sell_bid_qty_kwh) AS n FROM p)
+SELECT date, slot, sell_bid_qty_kwh, buy_bid_qty_kwh FROM n WHERE n = 1""")
+def snapshot_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two commits that add only unknown keys, the second past the key filters of the first."""
+    stored, batch = odd_then_even(spark, sf_dir)
+    stored.insert(batch, ["sell_bid_qty_kwh"])
+    return stored.read().select("date", "slot", "sell_bid_qty_kwh", "buy_bid_qty_kwh")
+
+
+@plan(f"""WITH {PRICE_ROWS_SQL}, o AS (SELECT *, row_number() OVER (PARTITION BY date, slot ORDER BY sell_bid_qty_kwh) AS n FROM p WHERE odd = 1),
+e AS (SELECT *, row_number() OVER (PARTITION BY date, slot ORDER BY sell_bid_qty_kwh DESC) AS n FROM p WHERE odd = 0),
+t AS (SELECT * FROM o WHERE n = 1), b AS (SELECT * FROM e WHERE n = 1)
+SELECT coalesce(t.date, b.date) AS date, coalesce(t.slot, b.slot) AS slot, coalesce(b.sell_bid_qty_kwh, t.sell_bid_qty_kwh) AS sell_bid_qty_kwh,
+  coalesce(t.buy_bid_qty_kwh, b.buy_bid_qty_kwh) AS buy_bid_qty_kwh FROM t FULL JOIN b ON t.date = b.date AND t.slot = b.slot""")
+def snapshot_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A commit that replaces known keys in one column and adds unknown ones, on top of an insert."""
+    stored, batch = odd_then_even(spark, sf_dir)
+    stored.upsert(batch, ["sell_bid_qty_kwh"], ["sell_bid_qty_kwh"])
+    return stored.read().select("date", "slot", "sell_bid_qty_kwh", "buy_bid_qty_kwh")
+
+
 @plan("""WITH g AS (SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY ALL)
 SELECT count(*) FILTER (copies > 1) AS repeated_keys, CAST(sum(copies) FILTER (copies > 1) AS BIGINT) AS rows_in_groups,
        CAST(sum(copies - 1) FILTER (copies > 1) AS BIGINT) AS rows_removed FROM g""")

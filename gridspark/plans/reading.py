@@ -84,6 +84,28 @@ def batch_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.profile(table(spark, sf_dir, "lineitem"), PROFILED)
 
 
+ALL_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+               "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def _sketch_sql(name: str) -> str:
+    return f"""SELECT '{name}' AS "column", count(*) AS rows, count(*) - count({name}) AS nulls, count(DISTINCT {name}) AS distinct_values, TRUE AS close,
+  CASE WHEN count(DISTINCT {name}) < 10 THEN (SELECT coalesce(string_agg(v, ',' ORDER BY v), '')
+    FROM (SELECT DISTINCT CAST({name} AS VARCHAR) AS v FROM lineitem)) END AS "values" FROM lineitem"""
+
+
+@plan(" UNION ALL ".join(_sketch_sql(name) for name in ALL_COLUMNS))
+def profile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns from the sketches of each ship month, beside the exact number of distinct values
+    and whether the estimate is within two percent of it."""
+    items = table(spark, sf_dir, "lineitem").select(*ALL_COLUMNS, F.date_format("l_shipdate", "yyyyMM").alias("month"))
+    merged = reports.profile_of_sketches(reports.sketches(items, ALL_COLUMNS, ["month"]))
+    exact = reports.profile(items, ALL_COLUMNS).select("column", F.col("distinct_values").alias("exact"))
+    off = F.abs(F.col("distinct_values") - F.col("exact"))
+    return merged.join(exact, "column").select("column", "rows", "nulls", F.col("exact").alias("distinct_values"),
+                                               (100 * off <= 2 * F.col("exact")).alias("close"), "values")
+
+
 @plan("""WITH f AS (SELECT props AS raw FROM events WHERE props IS NOT NULL)
 SELECT (SELECT CAST(to_json(list(raw ORDER BY raw)) AS VARCHAR) FROM (SELECT raw FROM f ORDER BY raw LIMIT 5)) AS examples,
        (SELECT count(*) FROM f) AS failed""")

@@ -64,6 +64,10 @@ TABLES = {
         Table("jepx_bid_data",
               _schema(("id", TEXT), ("date", TEXT), ("slot", INT), ("area_code", INT),
                       ("bid", T.ArrayType(BID_POINT))), ("id",), (MONTH,)),
+        # The same stacks in bounded pieces: a key's steps in the order of path, seg and part.
+        Table("jepx_bid_segments",
+              _schema(("id", TEXT), ("date", TEXT), ("slot", INT), ("area_code", INT), ("feed", INT), ("path", TEXT),
+                      ("seg", LONG), ("part", LONG), ("bid", T.ArrayType(BID_POINT))), ("id", "path", "seg", "part"), (MONTH,)),
         Table("downloaded_files",
               _schema(("id", LONG), ("dir_name", TEXT), ("date", DATE), ("filename", TEXT),
                       ("status", TEXT), ("downloaded_at", STAMP)), ("id",)),

@@ -152,6 +152,36 @@ def entry_pieces(files: DataFrame, total_bytes: int, piece_bytes: int = PIECE_BY
     return rows.mapInPandas(read, schema)
 
 
+def entry_heads(files: DataFrame, count: int = 1) -> DataFrame:
+    """`path` and the first lines of every CSV entry of the archives in `path`; entries that do not
+    begin to inflate have none."""
+    opened, (entries, _) = opener(), archive_reader(0, None)
+
+    def read(batches):
+        import zipfile
+        import zlib
+
+        import pandas as pd
+
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                with opened(path) as file:
+                    try:
+                        archive = zipfile.ZipFile(file)
+                    except (zipfile.BadZipFile, OSError, ValueError, NotImplementedError):
+                        continue
+                    for _, info in entries(archive):
+                        try:
+                            with archive.open(info) as stream:
+                                rows.append((f"{path}!{info.filename}", b"".join(stream.readline() for _ in range(count))))
+                        except (zipfile.BadZipFile, zlib.error, OSError, EOFError, NotImplementedError, RuntimeError, ValueError):
+                            continue
+            yield pd.DataFrame(rows, columns=["path", "head"])
+
+    return files.select("path").mapInPandas(read, "path string, head binary")
+
+
 def content_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES, rule: HeadRule | None = None) -> DataFrame:
     """The same from archives whose bytes are at hand as `content`."""
     entries, pieces = archive_reader(piece_bytes, rule)

@@ -2,7 +2,9 @@
 
 The nested row is the published shape, but its array grows with the number of price
 steps of one key. `segments` therefore keeps the steps in arrays of bounded length;
-`stacks` joins a key's segments in order, and the reports work on steps directly.
+`stacks` joins a key's segments in order, and the reports work on steps directly. The
+segment table stores them as they are: a key of any number of steps is loaded, replaced
+and read without ever being one row.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from gridspark.constants import BID_FEEDS
 from gridspark.functions.numbers import nullable_int
 from gridspark.functions.text import cells, decode_ladder, joined_key, lines_of, settled
+from gridspark.operators.snapshots import Commit, SnapshotTable
 from gridspark.sources.files import WHOLE_FILE_LIMIT, scan_pieces
 from gridspark.sources.lines import decode_lines, file_issue, has_few_files, scan_large
 
@@ -113,6 +116,39 @@ def table_rows(parsed: DataFrame) -> DataFrame:
     return stacks(segments(current, ORDER, [F.col("path"), F.col("seg"), file_segment()]), ["feed"], last)
 
 
+def segment_rows(parsed: DataFrame) -> DataFrame:
+    """Rows of the segment table: bounded arrays of a key's steps, with the feed they come from."""
+    steps = accepted(parsed).withColumn("feed", feed_of(F.col("path"))).withColumn("part", file_segment())
+    gathered = steps.groupBy(*KEY, "feed", "path", "seg", "part").agg(
+        F.sort_array(F.collect_list(F.struct("line_no", *POINT))).alias("rows"))
+    points = F.transform("rows", lambda row: F.struct(*[row[name].alias(name) for name in POINT]))
+    return gathered.select(*KEY, "feed", "path", "seg", "part", points.alias("bid"))
+
+
+def store_segments(table: SnapshotTable, parsed: DataFrame) -> Commit:
+    """Put files into a table of segments: an id of a later or the same feed replaces the stored one
+    whole, in one commit, however many segments it has."""
+    return table.replace_groups(segment_rows(parsed), ["id"], "feed")
+
+
+def stored_steps(stored: DataFrame) -> DataFrame:
+    """Every stored step with its place in its key's stack: `seg`, `part` and `at`."""
+    return stored.select(*KEY, "path", "seg", "part", F.posexplode("bid").alias("at", "point")).select(
+        *KEY, "path", "seg", "part", "at", *[F.col(f"point.{name}").alias(name) for name in POINT])
+
+
+def in_order(stored: DataFrame, id: str) -> DataFrame:
+    """The steps of one stack in their order, by a range sort of its segments: no array holds them all."""
+    return stored_steps(stored.filter(F.col("id") == id)).orderBy("path", "seg", "part", "at")
+
+
+def first_and_size_of_segments(stored: DataFrame) -> DataFrame:
+    """First step and number of steps of every stored stack, by partial aggregation of segments."""
+    first = F.min_by(F.get("bid", F.lit(0)), F.struct("path", "seg", "part"))
+    return stored.groupBy(*KEY).agg(first.alias("f"), F.sum(F.size("bid")).alias("points")).select(
+        *KEY, *[F.col(f"f.{name}").alias(f"first_{name}") for name in POINT], "points")
+
+
 def bid_json(bid: Column) -> Column:
     return F.to_json(bid, {"ignoreNullFields": "false"})
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gridspark.functions.text import BOM, JAPANESE, cells
-from gridspark.sources.files import WHOLE_FILE_LIMIT
+from gridspark.functions.text import BOM, JAPANESE, cells, decode_fixed, is_zip, lines_of
+from gridspark.sources.archives import entry_heads
+from gridspark.sources.files import WHOLE_FILE_LIMIT, has_archive_name, named_files
 from gridspark.sources.lines import headed_lines, nth_line, nth_line_heads
+from gridspark.sources.seek import can_seek, first_bytes, first_lines
 
 
 def names_of(header: Column) -> Column:
@@ -21,17 +23,34 @@ def scan(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIM
     )
 
 
+def layouts(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> list[list[str]]:
+    """The different lists of column names, in the order in which sorted files first have them.
+
+    Where workers can seek, only the first line of each file and entry is read; elsewhere all
+    lines are.
+    """
+    if can_seek(spark, path):
+        plain = named_files(spark, path, lambda name: ~has_archive_name(name))
+        zipped = first_bytes(plain, 4).filter(is_zip(F.col("start"))).select("path")
+        archives = named_files(spark, path, has_archive_name).select("path").unionByName(zipped)
+        heads = first_lines(plain.join(zipped, "path", "left_anti")).unionByName(entry_heads(archives))
+        text = F.get(lines_of(decode_fixed(F.col("head"), JAPANESE)), F.lit(0))
+        named = heads.filter(F.length("head") > 0).select("path", names_of(text).alias("positions"))
+    else:
+        named = scan(spark, path, limit).filter(F.col("positions").isNotNull())
+    first = named.groupBy("positions").agg(F.min("path").alias("first"))
+    return [row.positions for row in sorted(first.collect(), key=lambda row: row["first"])]
+
+
 def read(spark: SparkSession, path: str | list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
     """All files by column name, whatever order each has them in; every value stays text.
 
     A file without a column leaves it null, and a repeated name counts at its first cell.
     Columns come in the order in which sorted files first name them; the names, a few per
-    layout, are the only thing gathered.
+    layout, are the only thing gathered. Data lines are read once.
     """
     lines = scan(spark, path, limit).filter(F.trim("line") != "")
-    named = lines.filter(F.col("positions").isNotNull()).groupBy("positions").agg(F.min("path").alias("first"))
-    layouts = sorted(named.collect(), key=lambda row: row["first"])
-    names = list(dict.fromkeys(name for row in layouts for name in row.positions if name))
+    names = list(dict.fromkeys(name for layout in layouts(spark, path, limit) for name in layout if name))
     split = lines.select("positions", cells(F.col("line")).alias("cells"))
 
     def value(name: str) -> Column:

@@ -46,6 +46,23 @@ def dealt(rows: DataFrame, total_bytes: int, *columns: str) -> DataFrame:
     return rows.repartition(max(least, -(-total_bytes // BYTES_PER_TASK)), *[F.col(name) for name in columns])
 
 
+def first_lines(paths: DataFrame, count: int = 1) -> DataFrame:
+    """`path` and the first lines of each file, undecoded, as `head`; the rest is not read."""
+    opened = opener()
+
+    def read(batches):
+        import pandas as pd
+
+        for batch in batches:
+            heads = []
+            for path in batch["path"]:
+                with opened(path) as file:
+                    heads.append(b"".join(file.readline() for _ in range(count)))
+            yield pd.DataFrame({"path": batch["path"], "head": heads})
+
+    return paths.select("path").mapInPandas(read, "path string, head binary")
+
+
 def first_bytes(paths: DataFrame, count: int) -> DataFrame:
     """`path` and the first bytes of each file as `start`."""
     opened = opener()
