@@ -67,13 +67,16 @@ class Pair:
         if any(BLANK in piece.lstrip(BLANK) for piece in pieces):
             raise ValueError(f"{path_b} has pieces that go on behind a blank")
         self.sizes_a, self.sizes_b = (np.array([len(x) for x in raw], np.uint32) for raw in (self.raw_a, self.raw_b))
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.older: dict[str, tuple[bytes, bytes] | None] = {}
 
     def learn(self, chunks: list[str]) -> None:
         """Remember the ids of chunks, or None where they do not spell the chunk. Each chunk begins
         with the blank that B adds by itself."""
-        latin = [x for x in chunks if x.isascii() or max(x) < chr(0x250)]
-        rest = [x for x in chunks if not (x.isascii() or max(x) < chr(0x250))]
+        latin: list[str] = []
+        rest: list[str] = []
+        for chunk in chunks:
+            (latin if chunk.isascii() or max(chunk) < chr(0x250) else rest).append(chunk)
         # The faster library knows letters by another version of Unicode, which Latin ones do not feel.
         ids_a = [self.fast.encode_ordinary(x) for x in latin] + [x.ids for x in self.slow.encode_batch(rest, add_special_tokens=False)]
         # The library gives an empty text no ids, not even its own blank.
@@ -87,9 +90,13 @@ class Pair:
         """Ids of both vocabularies for each text, with the blank before it. An empty text has none,
         and neither has one that they do not spell byte for byte: chunks join as the text does."""
         cut = [CHUNK.findall(" " + text) if text else [] for text in texts]
+        # Two generations: when the newer is full it becomes the older, and what is used moves back.
         if len(self.known) > CACHE:
-            self.known = {}
-        self.learn(list(dict.fromkeys(x for chunks in cut for x in chunks if x not in self.known)))
+            self.known, self.older = {}, self.known
+        missing = {x for chunks in cut for x in chunks}.difference(self.known)
+        again = missing & self.older.keys()
+        self.known.update((x, self.older[x]) for x in again)
+        self.learn(list(missing - again))
         known, out = self.known, []
         for chunks in cut:
             pairs = list(map(known.__getitem__, chunks))
