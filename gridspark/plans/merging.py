@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from gridspark.dims import AREA_IDS, area_code_of, area_id_of, lookup
 from gridspark.functions.dates import clamp_future_year
 from gridspark.operators import merge
+from gridspark.operators.bucketed import BucketedTable
 from gridspark.operators.dedup import duplicate_groups, duplicate_rows, duplicate_summary, first_usable, keep_first
 from gridspark.operators.ledger import dense_ids, ledger_entries
 from gridspark.operators.routing import table_name, with_area
@@ -106,6 +107,41 @@ def snapshot_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.read().select("date", "slot", "sell_bid_qty_kwh", "buy_bid_qty_kwh")
 
 
+BUCKETED_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def bucketed_lines(spark: SparkSession, sf_dir: str) -> tuple[BucketedTable, DataFrame]:
+    """A bucketed table of the line items with odd parts, and the others as the next batch."""
+    lines = table(spark, sf_dir, "lineitem").select(*BUCKETED_COLUMNS)
+    stored = BucketedTable(spark, scratch_folder(spark, "lines"), lines.schema, LINE_KEY, 8)
+    stored.insert(lines.filter("l_partkey % 2 = 1"), ["l_partkey", "l_suppkey"])
+    return stored, lines.filter("l_partkey % 2 = 0")
+
+
+BUCKETED_SQL = """l AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_partkey % 2 AS odd FROM lineitem),
+o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS n FROM l WHERE odd = 1),
+e AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS first,
+  row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC) AS last FROM l WHERE odd = 0)"""
+
+
+@plan(f"""WITH {BUCKETED_SQL} SELECT {", ".join(BUCKETED_COLUMNS)} FROM e WHERE last = 1 UNION ALL
+SELECT {", ".join("o." + c for c in BUCKETED_COLUMNS)} FROM o ANTI JOIN e ON o.l_orderkey = e.l_orderkey AND o.l_linenumber = e.l_linenumber WHERE n = 1""")
+def bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole rows replaced in a table that lies in buckets of its key and does not move."""
+    stored, batch = bucketed_lines(spark, sf_dir)
+    stored.upsert(batch, ["l_partkey", "l_suppkey"])
+    return stored.read()
+
+
+@plan(f"""WITH {BUCKETED_SQL} SELECT {", ".join(BUCKETED_COLUMNS)} FROM o WHERE n = 1 UNION ALL
+SELECT {", ".join("e." + c for c in BUCKETED_COLUMNS)} FROM e ANTI JOIN o ON o.l_orderkey = e.l_orderkey AND o.l_linenumber = e.l_linenumber WHERE first = 1""")
+def bucketed_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows with unknown keys added to the same table."""
+    stored, batch = bucketed_lines(spark, sf_dir)
+    stored.insert(batch, ["l_partkey", "l_suppkey"])
+    return stored.read()
+
+
 @plan("""WITH g AS (SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY ALL)
 SELECT count(*) FILTER (copies > 1) AS repeated_keys, CAST(sum(copies) FILTER (copies > 1) AS BIGINT) AS rows_in_groups,
        CAST(sum(copies - 1) FILTER (copies > 1) AS BIGINT) AS rows_removed FROM g""")

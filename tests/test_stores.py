@@ -85,3 +85,53 @@ def test_layouts_are_found_from_first_lines_alone(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(intertie, "can_seek", lambda *_: False)
     monkeypatch.setattr(files, "can_seek", lambda *_: False)
     assert intertie.layouts(spark, str(tmp_path)) == expected
+
+
+SCHEMA = "k int, j string, v double, n int"
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select("k", "j", "v").collect()))
+
+
+def test_merges_do_not_move_a_bucketed_table(spark, tmp_path):
+    import re
+
+    from gridspark.operators.bucketed import BucketedTable
+    from test_plans import physical_plan
+
+    table = BucketedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], SCHEMA).schema, ["k", "j"], 8)
+    made = [(i, "x", float(i), 0) for i in range(200)]
+    assert table.insert(spark.createDataFrame(made + made[:9], SCHEMA), ["n"]) == 1
+    batch = spark.createDataFrame([(i, "x", -1.0, i) for i in range(190, 210)] + [(5, "y", 5.0, 0), (5, "y", 6.0, 1), (None, "z", 0.0, 0)], SCHEMA)
+    for merged in (table.upserted(batch, ["n"]), table.inserted(batch, ["n"])):
+        plan = physical_plan(merged)
+        # Every shuffle and broadcast stands above the batch; the table is read where it lies.
+        scans = [i for i, line in enumerate(plan.splitlines()) if "Bucketed: true" in line]
+        assert scans and "Broadcast" not in plan
+        lines = plan.splitlines()
+        for at in scans:
+            depth = [re.search(r"[A-Z]", line).start() if re.search(r"[A-Z]", line) else 0 for line in lines]
+            above, level = [], depth[at]
+            for i in range(at - 1, -1, -1):
+                if depth[i] < level:
+                    above.append(lines[i])
+                    level = depth[i]
+            assert not any("Exchange" in line for line in above), above
+    assert table.upsert(batch, ["n"]) == 2
+    expected = {(i, "x"): float(i) for i in range(200)} | {(i, "x"): -1.0 for i in range(190, 210)} | {(5, "y"): 6.0}
+    assert rows_of(table.read()) == sorted((k, j, v) for (k, j), v in expected.items())
+    assert rows_of(table.read(1)) == sorted((i, "x", float(i)) for i in range(200))
+    assert table.insert(batch, ["n"]) == 3 and rows_of(table.read()) == rows_of(table.read(2))
+
+
+def test_a_bucketed_version_belongs_to_one_writer(spark, tmp_path, monkeypatch):
+    from gridspark.operators import bucketed
+
+    table = bucketed.BucketedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], SCHEMA).schema, ["k", "j"], 2)
+    table.insert(spark.createDataFrame([(1, "x", 1.0, 0)], SCHEMA), ["n"])
+    monkeypatch.setattr(table, "version", lambda: 0)
+    with pytest.raises(RuntimeError, match="another writer"):
+        table.commit(spark.createDataFrame([(2, "x", 1.0, 0)], SCHEMA))
+    monkeypatch.undo()
+    assert rows_of(table.read()) == [(1, "x", 1.0)]
