@@ -60,7 +60,7 @@ def test_versions_that_land_together_and_files_that_compete_with_none(spark, tmp
     land(landing, "tepco/eria_2025.csv", supply(5, 5, month="07"))
     expected = [(3, "20240402_1", 2.0), (3, "20240609_1", 9.0)]
     assert run() == expected
-    assert run(checkpoint="forgotten", files_per_batch=1) == expected
+    assert run(checkpoint="forgotten", files_per_batch=3) == expected
 
 
 def test_choice_is_on_unless_switched_off(spark, tmp_path, rows):
