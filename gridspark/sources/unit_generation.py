@@ -60,7 +60,8 @@ def parsed(answers: DataFrame, kept: list[str]) -> DataFrame:
     reason = F.coalesce(F.col("issue"), why) if "issue" in answers.columns else why
     # Worked out once per answer, and only for those without items.
     missing = F.when(F.coalesce(F.size("found"), F.lit(0)) < 1, reason)
-    rows = found.select(*kept, missing.alias("file_issue"), F.posexplode_outer("found").alias("pos", "item"))
+    # Before the items are taken apart, so that no row carries its whole answer.
+    rows = found.withColumn("file_issue", missing).select(*kept, "file_issue", F.posexplode_outer("found").alias("pos", "item"))
     return rows.select(*kept, F.coalesce("pos", F.lit(0)).cast("bigint").alias("at"), "item", "file_issue")
 
 
