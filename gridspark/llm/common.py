@@ -46,6 +46,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(place)
 
 
+def free_name(df: DataFrame, name: str = "__row_no") -> str:
+    """A column name that the table does not have."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def ship(spark: SparkSession) -> None:
     """Prepare a session: send this package to the executors' Python once per application, as they
     may not have it, and bound the bytes of texts that go to Python at a time."""

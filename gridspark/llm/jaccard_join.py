@@ -3,8 +3,9 @@
 Most documents share nothing and lie at distance 1 from each other and from any pivot, where no
 pivot tells them apart. So pivots claim their regions by signatures: a set is divided by hash into
 more classes than a link may have differing shingles, and two linked sets agree on a whole class.
-The first set with a signature is the pivot of all that share it, and a set is replicated into the
-region of each of its pivots, so every linked pair meets in some region.
+Only classes with shingles count; a set of which too many classes are empty is divided again by
+another hash. The first set with a signature is the pivot of all that share it, and a set is
+replicated into the region of each of its pivots, so every linked pair meets in some region.
 
 A region is then split again in a space onto which the metric contracts: counts of shingles per
 hash class differ by no more than the sets do. What stays together is joined exactly: the most
@@ -25,13 +26,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gridspark.llm.common import CHECK_LANE, LANE, Block, blocks, mix, signed, staged, words_of
+from gridspark.llm.common import LANE, Block, blocks, free_name, mix, signed, staged, words_of
 from gridspark.llm.components import components
 
 WORDS, PERCENT = 5, 80
 FLUSH = 1 << 19
 # A region of more members or shingles than these is measured against its pivot and cut in blocks.
 REGION_ROWS, REGION_SHINGLES = 512, 1 << 21
+# Hashes by which a set is divided before its least shingles are taken.
+DIVISIONS = 4
 
 
 def shingle_sets(block: Block, size: int) -> Iterator[np.ndarray]:
@@ -86,7 +89,7 @@ def size_steps(percent: int, most: int) -> list[int]:
 
 def classes(step: int, steps: list[int], percent: int) -> tuple[int, int]:
     """Number of classes for sizes in steps[step] up to those in the next range, and how many empty
-    classes a set may have before these count as well.
+    classes a set may have without being divided again.
 
     Linked sets x, y differ in at most (1 - t) / (1 + t) * (|x| + |y|) shingles, so they agree on at
     least 1 + spare classes; if at most `spare` of x's are empty, one of the agreeing ones is not.
@@ -100,19 +103,34 @@ def classes(step: int, steps: list[int], percent: int) -> tuple[int, int]:
 
 
 def signatures(values: np.ndarray, percent: int, steps: list[int]) -> np.ndarray:
+    """Marks of a set; each is made of shingles that the set has, and linked sets share one.
+
+    A set is divided by one hash after another until at most `spare` of its classes are empty. Of two
+    linked sets, take the one that ends first: there it has few empty classes, the other one is
+    divided in the same way, and they agree on a class with shingles. Sets that never end (their
+    size allows few full classes) share one of their least shingles instead, as each link leaves
+    out at most n - ceil(t * n) shingles of a set of n.
+    """
     own = int(np.searchsorted(steps, len(values), "right")) - 1
-    hashed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values ^ np.uint64(0xD6E8FEB86659FD93)))])
-    high = values >> np.uint64(32)
     out = []
     for step in (own - 1, own):
         if step < 0:
             continue
         k, spare = classes(step, steps, percent)
-        cuts = np.searchsorted(high, (np.arange(k + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(k), "left")
-        cuts[-1] = len(values)
-        count = np.diff(cuts)
-        marks = mix((hashed[cuts[1:]] - hashed[cuts[:-1]]) + mix(np.arange(k, dtype=np.uint64) + np.uint64(step << 40)))
-        out.append(marks if (count == 0).sum() > spare else marks[count > 0])
+        for division in range(DIVISIONS):
+            # The first division goes by the shingles' own hashes, which are sorted already.
+            order = values if not division else np.sort(mix(values + mix(np.array([division], np.uint64))))
+            hashed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(order ^ np.uint64(0xD6E8FEB86659FD93)))])
+            cuts = np.searchsorted(order >> np.uint64(32), (np.arange(k + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(k), "left")
+            cuts[-1] = len(values)
+            count = np.diff(cuts)
+            name = mix(np.arange(k, dtype=np.uint64) + np.uint64((step << 40) + (division << 32)))
+            out.append(mix((hashed[cuts[1:]] - hashed[cuts[:-1]]) + name)[count > 0])
+            if (count == 0).sum() <= spare:
+                break
+        else:
+            least = values[:len(values) - -(-percent * len(values) // 100) + 1]
+            out.append(mix(mix(least) + np.uint64((step << 40) + (DIVISIONS << 32))))
     return np.concatenate(out)
 
 
@@ -167,18 +185,19 @@ def nearer(percent: int):
 
     def split(rows: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
         m = len(rows)
-        label, apart = np.arange(m), np.zeros(m)
+        label = np.arange(m)
         for i in range(m):
             gap = np.abs(counts - counts[i]).sum(axis=1)
-            apart[i] = gap.mean()
             near = np.flatnonzero(gap <= most_apart(sizes, sizes[i], percent))
             least = label[near].min()
             label[np.isin(label, label[near])] = least
         for one in np.unique(label):
             own = np.flatnonzero(label == one)
             if len(own) > 1:
-                own = own[np.lexsort((rows[own], apart[own]))]
-                # Equal groups reach several pivots; their name is made of their members.
+                # Equal groups reach several pivots; their name and ranks are made of their members.
+                own = own[np.argsort(rows[own])]
+                apart = np.abs(counts[own] - counts[own].mean(axis=0)).sum(axis=1)
+                own = own[np.lexsort((rows[own], apart))]
                 name = int(signed(mix(mix(rows[own].view(np.uint64)).sum(dtype=np.uint64) + np.arange(1, dtype=np.uint64)))[0])
                 for rank, i in enumerate(own):
                     yield name, int(rows[i]), rank, len(own), int(sizes[own].sum())
@@ -247,8 +266,8 @@ def linked(common: np.ndarray, size: int, sizes: np.ndarray, percent: int) -> np
 LINKS = "a long, b long"
 
 
-def joiner(percent: int):
-    """Links that span the components of each block of a region, exactly."""
+def joiner(percent: int, every: bool = False):
+    """Links that span the components of each block of a region, exactly; or every link."""
     radius = 1 - percent / 100 + 1e-9
 
     def join(rows: np.ndarray, sets: list[np.ndarray], ball: np.ndarray, residual: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -258,7 +277,7 @@ def joiner(percent: int):
             label[ball] = np.flatnonzero(ball)[0]
         measured: list[np.ndarray] = []
         for i in range(len(rows)):
-            near = (label != label[i]) & (residual | residual[i])
+            near = ((label != label[i]) | every) & (residual | residual[i])
             near[:i + 1] = False
             near &= 100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])
             for distance in measured:
@@ -273,8 +292,9 @@ def joiner(percent: int):
                 distance[i] = 0
                 measured.append(distance)
             for j in others[linked(common, sizes[i], sizes[others], percent)]:
-                if label[j] != label[i]:
+                if every or label[j] != label[i]:
                     yield int(rows[i]), int(rows[j])
+                if not every:
                     label[label == label[j]] = label[i]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,24 +313,26 @@ def joiner(percent: int):
 MEASURED = "region long, row_no long, rank int, members int, shingles long, hashes binary, pivot long, ball boolean"
 
 
-def measurer(percent: int):
+def measurer(percent: int, every: bool = False):
+    """Whether each member is in its pivot's ball. Where every link is wanted, balls stand for
+    nothing, and all members are residual."""
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ball = []
             for own, pivot in zip(batch.column("hashes").to_pylist(), batch.column("pivot_hashes").to_pylist()):
                 one, other = np.frombuffer(pivot, np.uint64), np.frombuffer(own, np.uint64)
-                ball.append(bool(linked(shared(one, [other]), len(one), np.array([len(other)]), percent)[0]))
+                ball.append(not every and bool(linked(shared(one, [other]), len(one), np.array([len(other)]), percent)[0]))
             keep = [batch.column(x) for x in ("region", "row_no", "rank", "members", "shingles", "hashes", "pivot")]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(ball)], names=[x.split()[0] for x in MEASURED.split(", ")])
 
     return measure
 
 
-def blocked(large: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def blocked(large: DataFrame, percent: int, every: bool = False) -> tuple[DataFrame, DataFrame]:
     """Large regions: the links of each ball to its pivot, and members by pair of blocks (residual
     rows in bands, all rows in stripes), so that each residual row meets every other row once."""
     pivots = large.filter("rank = 0").select("region", F.col("row_no").alias("pivot"), F.col("hashes").alias("pivot_hashes"))
-    seen = staged(large.join(pivots, "region").mapInArrow(measurer(percent), MEASURED), "measured")
+    seen = staged(large.join(pivots, "region").mapInArrow(measurer(percent, every), MEASURED), "measured")
     ball = seen.filter("ball AND row_no <> pivot").select(F.col("row_no").alias("a"), F.col("pivot").alias("b"))
     counts = seen.groupBy("region").agg(
         F.greatest(F.lit(1), F.ceil(F.greatest(F.sum(F.expr("int(NOT ball)")) / REGION_ROWS, F.sum(F.expr("if(ball, 0, octet_length(hashes))")) / 8 / REGION_SHINGLES))).cast("int").alias("bands"),
@@ -363,8 +385,8 @@ def regions_of(docs: DataFrame, reps: DataFrame, words: int, percent: int) -> Da
     return seats.join(kept, "region")
 
 
-def links(docs: DataFrame, profiles: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
-    """a, b: rows of different sets whose links span the components."""
+def links(docs: DataFrame, profiles: DataFrame, reps: DataFrame, words: int, percent: int, every: bool = False) -> DataFrame:
+    """a, b: rows of different sets whose links span the components; or every link, once or more."""
     seats = staged(regions_of(docs, reps, words, percent), "seated")
     gathered = F.expr(f"members <= {4 * REGION_ROWS}")
     # A representative's own row has its counts.
@@ -378,12 +400,12 @@ def links(docs: DataFrame, profiles: DataFrame, reps: DataFrame, words: int, per
     fits = F.expr(f"members <= {REGION_ROWS} AND shingles <= {REGION_SHINGLES}")
     columns = ["row_no", "rank", "hashes", "ball", "residual"]
     small = sets_of(docs, near.filter(fits), words).withColumns({"ball": F.lit(False), "residual": F.lit(True)})
-    found = by_region(small, *columns).mapInArrow(joiner(percent), LINKS)
+    found = by_region(small, *columns).mapInArrow(joiner(percent, every), LINKS)
     large = near.filter(~fits)
     if large.isEmpty():
         return found
-    ball, cells = blocked(staged(sets_of(docs, large, words), "sets"), percent)
-    return found.unionByName(by_region(cells, *columns).mapInArrow(joiner(percent), LINKS)).unionByName(ball)
+    ball, cells = blocked(staged(sets_of(docs, large, words), "sets"), percent, every)
+    return found.unionByName(by_region(cells, *columns).mapInArrow(joiner(percent, every), LINKS)).unionByName(ball)
 
 
 def sets_of(docs: DataFrame, seats: DataFrame, words: int) -> DataFrame:
@@ -416,8 +438,33 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
         "row_no", "doc_id", "n_shingles", F.col("head.id").alias("component_id"), (F.col("row_no") == F.col("head.row")).alias("first"))
 
 
+def all_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Every link, as pairs of classes and the rows of each class.
+
+    A class is a set that one row or more have; its name is its first row's number. The links are
+    class_a, class_b (class_a < class_b), once each. The rows are row_no, doc_id, n_shingles,
+    class_id and n_links: with how many other rows the row links, copies of its set included. Rows
+    without words have a null class and no links; nulls, repeated rows, empty tables and further
+    columns are as in `groups`.
+    """
+    profiles = staged(numbered(docs).mapInArrow(profiler(words), PROFILE), "profiles")
+    reps = representatives(profiles)
+    pairs = staged(links(docs, profiles, reps, words, percent, every=True).select(
+        F.least("a", "b").alias("class_a"), F.greatest("a", "b").alias("class_b")).distinct(), "pairs")
+    copies = staged(reps.groupBy("rep").agg(F.count("*").alias("copies")), "copies")
+    both = pairs.unionByName(pairs.select(F.col("class_b").alias("class_a"), F.col("class_a").alias("class_b")))
+    linked_rows = both.join(copies.withColumnRenamed("rep", "class_b"), "class_b").groupBy("class_a").agg(F.sum("copies").alias("others"))
+    counted = staged(copies.join(linked_rows.withColumnRenamed("class_a", "rep"), "rep", "left").select(
+        "rep", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "counted")
+    rows = reps.join(counted, "rep").select("row_no", "doc_id", "n_shingles", F.col("rep").alias("class_id"), "n_links")
+    alone = profiles.filter("n_shingles = 0").select(
+        "row_no", "doc_id", "n_shingles", F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return pairs, rows.unionByName(alone)
+
+
 def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of `docs` without those that link, directly or not, to a row that stays."""
-    gone = groups(docs, words, percent).filter("NOT first").select(F.col("row_no").alias("__row_no"))
-    marked = docs.withColumn("__row_no", F.monotonically_increasing_id())
-    return marked.join(gone, "__row_no", "left_anti").drop("__row_no")
+    number = free_name(docs)
+    gone = groups(docs, words, percent).filter("NOT first").select(F.col("row_no").alias(number))
+    marked = docs.withColumn(number, F.monotonically_increasing_id())
+    return marked.join(gone, number, "left_anti").drop(number)
