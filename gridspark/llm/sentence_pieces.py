@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 BLANK = "▁"
 CACHE, CACHED_LENGTH = 500_000, 48
+ENDS, GOES_ON = 1, 2
 
 
 def default_path() -> str:
@@ -40,14 +41,20 @@ class Pieces:
         self.texts = [text for text, _ in pieces]
         self.scores = {text: score for i, (text, score) in enumerate(pieces) if i not in no}
         self.ids = {text: i for i, (text, _) in enumerate(pieces) if i not in no}
-        self.starts = {text[:k] for text in self.ids for k in range(1, len(text) + 1)}
+        # ENDS: a piece; GOES_ON: a longer piece begins so.
+        self.kinds = dict.fromkeys(self.ids, ENDS)
+        for text in self.ids:
+            for k in range(1, len(text)):
+                self.kinds[text[:k]] = self.kinds.get(text[:k], 0) | GOES_ON
         self.longest = max(map(len, self.ids), default=1)
         self.byte_ids, self.unknown, self.merges = byte_ids, unknown, merges
         self.raw = [text.replace(BLANK, " ").encode() for text in self.texts]
         for byte, i in byte_ids.items():
             self.raw[i] = bytes([byte])
         self.penalty = min(self.scores.values(), default=0.0) - 10.0
-        self.pairs: dict[tuple[str, str], bool] = {}
+        # left piece: right piece: whether they are admissible neighbours
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.judged = 0
         # Two generations: when the newer is full, it becomes the older, and what is used moves back.
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -69,23 +76,63 @@ class Pieces:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
     def admissible(self, left: str, right: str) -> bool:
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) >= CACHE:
-                self.pairs.clear()
-            found = self.pairs[left, right] = self.merged(left + right) == [left, right]
+        """Whether the two pieces stay as they are when their text is merged by itself."""
+        if self.judged >= CACHE:
+            self.judged, self.pairs = 0, {}
+        self.judged += 1
+        found = self.pairs.setdefault(left, {})[right] = self.stays(left, right)
         return found
 
-    def arcs(self, text: str, base: int, at: int) -> Iterator[str]:
-        """The pieces that start at a place, and its single character in any case."""
-        begin = at - base
-        yield text[begin]
-        for end in range(begin + 2, min(begin + self.longest, len(text)) + 1):
-            piece = text[begin:end]
-            if piece not in self.starts:
+    def stays(self, left: str, right: str) -> bool:
+        """`merged`, ended by the first merge across the border of the two."""
+        scores, parts, border = self.scores, [*left, *right], len(left)
+        ranks = [scores.get(a + b) for a, b in zip(parts, parts[1:])]
+        while len(parts) > 2:
+            best, at = None, -1
+            for i, score in enumerate(ranks):
+                if score is not None and (best is None or score > best):
+                    best, at = score, i
+            if best is None or at == border - 1:
+                return False
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = scores.get(parts[at] + parts[at + 1])
+            if at:
+                ranks[at - 1] = scores.get(parts[at - 1] + parts[at])
+            border -= at < border
+        return border == 1 and ranks[0] is None
+
+    def onward(self, text: str, begin: int, at: int, ways: dict[int, tuple[float, int, str]]) -> None:
+        """Extend the way to boundary `at`, which is text[begin], by each piece that starts there, a
+        single character in any case."""
+        score, _, left = ways[at]
+        kinds, merges = self.kinds, self.merges
+        judged = self.pairs.get(left, {}) if left else None
+        end, most = begin + 1, min(begin + self.longest, len(text))
+        to, piece = at + 1, text[begin:end]
+        kind = kinds.get(piece, 0)
+        ends = ENDS
+        while True:
+            if ends:
+                if not merges:
+                    total = score + self.scores.get(piece, self.penalty)
+                    if to not in ways or total > ways[to][0]:
+                        ways[to] = (total, at, piece)
+                elif to not in ways:
+                    # Each boundary has one admissible way to it.
+                    right = judged is None or judged.get(piece)
+                    if right is None:
+                        right = self.admissible(left, piece)
+                    if right:
+                        ways[to] = (0.0, at, piece)
+            if kind < GOES_ON or end >= most:
                 return
-            if piece in self.ids:
-                yield piece
+            end += 1
+            to += 1
+            piece = text[begin:end]
+            kind = kinds.get(piece, 0)
+            ends = kind & ENDS
 
     def stream(self, chunks: Iterable[str]) -> Iterator[str]:
         """Pieces of a text that comes in chunks, each as soon as it is final.
@@ -99,21 +146,17 @@ class Pieces:
             text += chunk
             end = base + len(text)
             # Without more text, a piece might still be longer than what is seen.
-            while at < end and (last or end - at >= self.longest):
-                way = ways.get(at)
-                if way is not None:
-                    for piece in self.arcs(text, base, at):
-                        if self.merges:
-                            if not way[2] or self.admissible(way[2], piece):
-                                ways[at + len(piece)] = (0.0, at, piece)
-                        else:
-                            score = way[0] + self.scores.get(piece, self.penalty)
-                            if at + len(piece) not in ways or score > ways[at + len(piece)][0]:
-                                ways[at + len(piece)] = (score, at, piece)
+            stop = end if last else end - self.longest + 1
+            while at < stop:
+                if at in ways:
+                    self.onward(text, at - base, at, ways)
                 at += 1
                 if len(ways) > 4 * self.longest or (last and at == end):
-                    meet = self.meeting(ways, at)
+                    # At the text's end all paths have come together.
+                    meet = end if last and at == end else self.meeting(ways, at)
                     yield from self.path(ways, meet)
+                    if last and meet == end:
+                        return
                     text, base = text[meet - base:], meet
                     score, _, piece = ways[meet]
                     ways = {b: w for b, w in ways.items() if b > meet} | {meet: (score, -1, piece)}
@@ -159,55 +202,15 @@ class Pieces:
         return np.frombuffer(b"".join(packed), np.uint32)
 
     def remember(self, part: str) -> bytes:
+        """Ids of a part by the streaming search. Long parts, which hardly come again, are not kept."""
         if len(part) > CACHED_LENGTH:
-            return np.array(self.ids_of(self.stream(chunks_of(part))), np.uint32).tobytes()
-        out = self.older.get(part) or array("I", self.ids_of(self.short(part) if self.merges else self.stream([part]))).tobytes()
+            return array("I", self.ids_of(self.stream(chunks_of(part)))).tobytes()
+        out = self.older.get(part) or array("I", self.ids_of(self.stream((part,)))).tobytes()
         if len(self.known) >= CACHE:
             self.older, self.known = self.known, {}
         self.known[part] = out
         return out
 
-    def short(self, text: str) -> list[str]:
-        """The same search for a text that fits in one window, with boundaries opened on demand: the
-        longest piece first, and a boundary from which no way leads on is closed for good. As each
-        boundary has one admissible way to it, the first path that reaches the end is the one."""
-        n, longest, starts, ids, pairs = len(text), self.longest, self.starts, self.ids, self.pairs
-        path: list[str] = []
-        open_: list[list[str]] = []
-        closed: set[int] = set()
-        at, left = 0, ""
-        while at < n:
-            end, limit = at + 1, min(at + longest, n)
-            piece = text[at:end]
-            ways = [piece]
-            while end < limit and piece in starts:
-                end += 1
-                piece = text[at:end]
-                if piece in ids:
-                    ways.append(piece)
-            open_.append(ways)
-            while True:
-                if not ways:
-                    closed.add(at)
-                    open_.pop()
-                    at -= len(path.pop())
-                    ways, left = open_[-1], path[-1] if path else ""
-                    continue
-                piece = ways.pop()
-                if at + len(piece) in closed:
-                    continue
-                if left:
-                    found = pairs.get((left, piece))
-                    if found is None:
-                        found = self.admissible(left, piece)
-                    if not found:
-                        continue
-                path.append(piece)
-                at += len(piece)
-                left = piece
-                break
-        return path
-
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids, without the blank before it; bytes that are no UTF-8 become U+FFFD."""
         raw = b"".join(map(self.raw.__getitem__, ids))
