@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridspark.llm.common import staged
+from gridspark.llm.common import free_name, staged
 
 # A digest with more than this share of all rows is always found; at most 1 / SUPPORT are broadcast.
 SUPPORT = 1e-3
@@ -61,6 +61,7 @@ def decide(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
 
 def deduplicate(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
-    dropped = decide(docs, support).filter(~F.col("kept")).select(F.col("row_no").alias("__row_no"))
-    marked = docs.withColumn("__row_no", F.monotonically_increasing_id())
-    return marked.join(dropped, "__row_no", "left_anti").drop("__row_no")
+    number = free_name(docs)
+    dropped = decide(docs, support).filter(~F.col("kept")).select(F.col("row_no").alias(number))
+    marked = docs.withColumn(number, F.monotonically_increasing_id())
+    return marked.join(dropped, number, "left_anti").drop(number)

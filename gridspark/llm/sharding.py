@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gridspark.llm.common import staged
+from gridspark.llm.common import free_name, staged
 
 SHARDS = 8
 SEED = 20_240_607
@@ -72,7 +72,8 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = S
 
     Each shard folder is written by several tasks, as its share of buckets needs; `slot` orders it.
     """
-    order = assign(docs, shards, seed).select("row_no", F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
-    marked = docs.withColumn("row_no", F.monotonically_increasing_id())
-    full = marked.join(order, "row_no").drop("row_no")
+    number = free_name(docs)
+    order = assign(docs, shards, seed).select(F.col("row_no").alias(number), F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
+    marked = docs.withColumn(number, F.monotonically_increasing_id())
+    full = marked.join(order, number).drop(number)
     full.repartitionByRange("__shard", "__slot").sortWithinPartitions("__shard", "__slot").write.partitionBy("__shard").parquet(path)

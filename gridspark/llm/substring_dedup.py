@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gridspark.llm.common import CHECK_LANE, LANE, Block, blocks, signed, sliding_min, staged, words_of
+from gridspark.llm.common import free_name, CHECK_LANE, LANE, Block, blocks, signed, sliding_min, staged, words_of
 
 WINDOW = 35
 # Word runs of WINDOW - REACH words are the anchors' candidates; an edge holds REACH + 1 of them.
@@ -221,11 +221,12 @@ def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """`docs` with the repeated passages taken out of `text`; other texts and all rows stay as they are."""
     _, spans = find(docs, window)
     changed = staged(take_out(docs, spans, window, texts=True).select("row_no", "kept_text"), "cut")
-    marked = docs.withColumn("__row_no", F.monotonically_increasing_id())
-    new = changed.withColumnRenamed("row_no", "__row_no").withColumnRenamed("kept_text", "__text")
-    joined = marked.join(new, "__row_no", "left")
-    text = F.when(F.col("__text").isNotNull(), F.col("__text")).otherwise(F.col("text"))
+    number, cut = free_name(docs), free_name(docs, "__text")
+    marked = docs.withColumn(number, F.monotonically_increasing_id())
+    new = changed.withColumnRenamed("row_no", number).withColumnRenamed("kept_text", cut)
+    joined = marked.join(new, number, "left")
+    text = F.when(F.col(cut).isNotNull(), F.col(cut)).otherwise(F.col("text"))
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__text").isNotNull(), F.length("__text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col(cut).isNotNull(), F.length(cut)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
