@@ -55,8 +55,11 @@ def parse(lines: DataFrame) -> DataFrame:
         .when(F.col("slot").isNull(), "invalid_slot")
         .when(F.col("area_code").isNull(), "invalid_area")
     )
-    key = joined_key(F.col("date"), F.col("slot").cast("string"), F.col("area_code").cast("string"))
-    return settled(steps.withColumn("id", key).withColumn("issue", issue).drop("width", "file_issue"))
+    return settled(steps.withColumn("id", key_of_steps()).withColumn("issue", issue).drop("width", "file_issue"))
+
+
+def key_of_steps() -> Column:
+    return joined_key(F.col("date"), F.col("slot").cast("string"), F.col("area_code").cast("string"))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -118,11 +121,12 @@ def table_rows(parsed: DataFrame) -> DataFrame:
 
 def segment_rows(parsed: DataFrame) -> DataFrame:
     """Rows of the segment table: bounded arrays of a key's steps, with the feed they come from."""
-    steps = accepted(parsed).withColumn("feed", feed_of(F.col("path"))).withColumn("part", file_segment())
-    gathered = steps.groupBy(*KEY, "feed", "path", "seg", "part").agg(
-        F.sort_array(F.collect_list(F.struct("line_no", *POINT))).alias("rows"))
+    place = [*KEY[1:], "path", "seg", "part"]
+    # Lines move as narrow as they are, and without arrays of one: what follows from the key is added above the shuffle.
+    steps = accepted(parsed).withColumn("part", file_segment()).select(*place, "line_no", *POINT).repartition(*place)
+    gathered = steps.groupBy(*place).agg(F.sort_array(F.collect_list(F.struct("line_no", *POINT))).alias("rows"))
     points = F.transform("rows", lambda row: F.struct(*[row[name].alias(name) for name in POINT]))
-    return gathered.select(*KEY, "feed", "path", "seg", "part", points.alias("bid"))
+    return gathered.select(key_of_steps().alias("id"), *KEY[1:], feed_of(F.col("path")).alias("feed"), "path", "seg", "part", points.alias("bid"))
 
 
 def store_segments(table: SnapshotTable, parsed: DataFrame) -> Commit:
