@@ -16,7 +16,7 @@ from gridspark.operators.ledger import file_outcomes
 from gridspark.plans.market import HEADER_WIDTH, exact_text
 from gridspark.plans.registry import EVENTS_SQL, EXACT, plan, slot_events, table
 from gridspark.sources import area_supply, bid_stack, spot_price, unit_generation, weather
-from gridspark.sources.archives import file_rejects
+from gridspark.sources.archives import CHUNK_BYTES, SPOOL_BYTES, file_rejects, in_chunks
 from gridspark.sources.files import archive_pieces, area_of_path, whole_pieces
 from gridspark.sources.lines import first_cell_line, nth_line, piece_lines, with_headless
 
@@ -137,26 +137,50 @@ def landed_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zipped(files: DataFrame) -> DataFrame:
-    """Archives of the files in `path`, `entry`, `content`."""
-    members = files.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("entry", "content"))).alias("members"))
+    """Archives of the files in `path`, `entry`, `content`, in chunks: rows of `path`, `at` and `part`, one
+    archive's after the other's. An archive names an entry once."""
+    size, spool = CHUNK_BYTES, SPOOL_BYTES
 
     def pack(batches):
-        import io
+        import tempfile
         import zipfile
 
-        import pandas as pd
+        import pyarrow as pa
 
-        for batch in batches:
-            packed = []
-            for members in batch["members"]:
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as target:
-                    for member in members:
-                        target.writestr(member["entry"], bytes(member["content"]))
-                packed.append(buffer.getvalue())
-            yield pd.DataFrame({"path": batch["path"], "content": packed})
+        def packed(path, file):
+            file.seek(0)
+            at = 0
+            while some := file.read(size * 256):
+                parts = [some[i:i + size] for i in range(0, len(some), size)]
+                columns = [pa.array([path] * len(parts), pa.string()), pa.array(range(at, at + len(parts)), pa.int32()), pa.array(parts, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["path", "at", "part"])
+                at += len(parts)
+            file.close()
 
-    return members.mapInPandas(pack, "path string, content binary")
+        open_path = file = target = entry = None
+        for batch in batches:
+            paths, names, places, parts = (batch.column(name) for name in ("path", "entry", "at", "part"))
+            for i in range(batch.num_rows):
+                path = paths[i].as_py()
+                if places[i].as_py() == 0:
+                    if entry is not None:
+                        entry.close()
+                    if target is None or path != open_path:
+                        if target is not None:
+                            target.close()
+                            yield from packed(open_path, file)
+                        open_path, file = path, tempfile.SpooledTemporaryFile(spool)
+                        target = zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED)
+                    entry = target.open(names[i].as_py(), "w")
+                if parts[i].is_valid:
+                    entry.write(parts[i].as_buffer())
+        if target is not None:
+            entry.close()
+            target.close()
+            yield from packed(open_path, file)
+
+    chunks = in_chunks(files, "path", "entry").repartition("path").sortWithinPartitions("path", "entry", "at")
+    return chunks.mapInArrow(pack, "path string, at int, part binary")
 
 
 def price_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,9 +197,9 @@ def price_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         line.alias("line"), F.when(bare, "注意,,").otherwise("spot\r\n" + header).alias("head"))
     files = written(lines, F.col("head"))
     entries = files.select(F.substring_index("path", "|", 1).alias("path"), F.substring_index("path", "|", -1).alias("entry"), "content")
-    packed = zipped(entries)
-    cut = F.when(F.col("path").contains("/P_"), F.expr("substring(content, 1, 40)")).otherwise(F.col("content"))
-    return packed.withColumn("content", cut)
+    cut = F.col("path").contains("/P_")
+    sent = zipped(entries).filter(~cut | (F.col("at") == 0))
+    return sent.withColumn("part", F.when(cut, F.expr("substring(part, 1, 40)")).otherwise(F.col("part")))
 
 
 def landed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:

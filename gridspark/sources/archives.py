@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, functions as F
 from gridspark.sources.seek import dealt, opener
 
 PIECE_BYTES = 4 * 1024 * 1024
+# Rows go to workers by thousands: a batch of chunks is some tens of MB.
+CHUNK_BYTES, SPOOL_BYTES = 4 * 1024, 8 * 1024 * 1024
 PIECES = "path string, seg bigint, first_line bigint, head binary, utf8 boolean, content binary, issue string"
 DIRECTORY = "path string, entry string, place int, bytes bigint, issue string"
 BROKEN_ARCHIVE, BROKEN_ENTRY, NO_HEADER = "broken_archive", "broken_entry", "no_header"
@@ -182,30 +184,65 @@ def entry_heads(files: DataFrame, count: int = 1) -> DataFrame:
     return files.select("path").mapInPandas(read, "path string, head binary")
 
 
+def in_chunks(files: DataFrame, *names: str) -> DataFrame:
+    """`content` in rows of bounded size, which follow each other: the columns `names`, `at` from 0, and `part`.
+    A file without bytes has one."""
+    last = F.greatest(F.ceil(F.length("content") / CHUNK_BYTES), F.lit(1)).cast("int") - 1
+    places = files.select(*names, "content", F.explode(F.sequence(F.lit(0), last)).alias("at"))
+    return places.select(*names, "at", F.substring("content", F.col("at") * CHUNK_BYTES + 1, F.lit(CHUNK_BYTES)).alias("part"))
+
+
 def content_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES, rule: HeadRule | None = None) -> DataFrame:
     """The same from archives whose bytes are at hand as `content`."""
-    entries, pieces = archive_reader(piece_bytes, rule)
-    schema = PIECES
+    return chunk_pieces(in_chunks(files, "path"), piece_bytes, rule)
+
+
+def chunk_pieces(chunks: DataFrame, piece_bytes: int = PIECE_BYTES, rule: HeadRule | None = None) -> DataFrame:
+    """The same from archives in rows of `path`, `at` and `part`, one archive's after the other's.
+
+    Workers get few bytes at a time; an archive larger than SPOOL_BYTES lies in a temporary file while it is read."""
+    (entries, pieces), spool = archive_reader(piece_bytes, rule), SPOOL_BYTES
+
+    def spooled(batches):
+        import tempfile
+
+        path = file = None
+        for batch in batches:
+            paths, places, parts = (batch.column(name) for name in ("path", "at", "part"))
+            for i in range(batch.num_rows):
+                if places[i].as_py() == 0:
+                    if file is not None:
+                        yield path, file
+                        file.close()
+                    path, file = paths[i].as_py(), tempfile.SpooledTemporaryFile(spool)
+                if parts[i].is_valid:
+                    file.write(parts[i].as_buffer())
+        if file is not None:
+            yield path, file
+            file.close()
 
     def read(batches):
-        import io
         import zipfile
 
-        import pandas as pd
+        import pyarrow as pa
 
-        names = [x.split()[0] for x in schema.split(", ")]
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                try:
-                    archive = zipfile.ZipFile(io.BytesIO(content))
-                except (zipfile.BadZipFile, OSError, ValueError, NotImplementedError):
-                    yield pd.DataFrame([(path, 0, 0, None, None, None, BROKEN_ARCHIVE)], columns=names)
-                    continue
-                for _, info in entries(archive):
-                    for piece in pieces(archive, info):
-                        yield pd.DataFrame([(f"{path}!{info.filename}", *piece)], columns=names)
-
-    return files.select("path", "content").mapInPandas(read, schema)
+        schema = pa.schema([("path", pa.string()), ("seg", pa.int64()), ("first_line", pa.int64()), ("head", pa.binary()),
+                            ("utf8", pa.bool_()), ("content", pa.binary()), ("issue", pa.string())])
+
+        def row(*values):
+            return pa.RecordBatch.from_arrays([pa.array([value], field.type) for value, field in zip(values, schema)], schema=schema)
+
+        for path, file in spooled(batches):
+            try:
+                archive = zipfile.ZipFile(file)
+            except (zipfile.BadZipFile, OSError, ValueError, NotImplementedError):
+                yield row(path, 0, 0, None, None, None, BROKEN_ARCHIVE)
+                continue
+            for _, info in entries(archive):
+                for piece in pieces(archive, info):
+                    yield row(f"{path}!{info.filename}", *piece)
+
+    return chunks.select("path", "at", "part").mapInArrow(read, PIECES)
 
 
 def file_rejects(pieces: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from gridspark.dims import AREA_CODES, lookup
 from gridspark.functions.text import is_utf8, is_zip
 from gridspark.operators.ledger import next_id, sparse_ids
 from gridspark.schemas import TABLES, enforce
-from gridspark.sources.archives import PIECE_BYTES, HeadRule, content_pieces, entry_pieces
+from gridspark.sources.archives import PIECE_BYTES, HeadRule, chunk_pieces, content_pieces, entry_pieces
 from gridspark.sources.seek import can_seek, first_bytes
 
 WHOLE_FILE_LIMIT = 32 * 1024 * 1024
@@ -109,7 +109,9 @@ def has_other_name(name: Column) -> Column:
 
 def archive_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES, rule: HeadRule | None = None) -> DataFrame:
     """CSV entries of archives, or the `issue` of what cannot be read: from `content` where the files
-    have it, else opened by their `path`, entry by entry."""
+    have it, whole or in chunks, else opened by their `path`, entry by entry."""
+    if "part" in files.columns:
+        return chunk_pieces(files, piece_bytes, rule)
     if "content" in files.columns:
         return content_pieces(files, piece_bytes, rule)
     total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
