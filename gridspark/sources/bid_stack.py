@@ -123,7 +123,8 @@ def segment_rows(parsed: DataFrame) -> DataFrame:
     """Rows of the segment table: bounded arrays of a key's steps, with the feed they come from."""
     place = [*KEY[1:], "path", "seg", "part"]
     # Lines move as narrow as they are, and without arrays of one: what follows from the key is added above the shuffle.
-    steps = accepted(parsed).withColumn("part", file_segment()).select(*place, "line_no", *POINT).repartition(*place)
+    moved = accepted(parsed).select(*place[:-1], "line_no", *POINT).repartition(*place[:-1], file_segment())
+    steps = moved.select("*", file_segment().alias("part"))
     gathered = steps.groupBy(*place).agg(F.sort_array(F.collect_list(F.struct("line_no", *POINT))).alias("rows"))
     points = F.transform("rows", lambda row: F.struct(*[row[name].alias(name) for name in POINT]))
     return gathered.select(key_of_steps().alias("id"), *KEY[1:], feed_of(F.col("path")).alias("feed"), "path", "seg", "part", points.alias("bid"))
@@ -148,8 +149,9 @@ def in_order(stored: DataFrame, id: str) -> DataFrame:
 
 def first_and_size_of_segments(stored: DataFrame) -> DataFrame:
     """First step and number of steps of every stored stack, by partial aggregation of segments."""
-    first = F.min_by(F.get("bid", F.lit(0)), F.struct("path", "seg", "part"))
-    return stored.groupBy(*KEY).agg(first.alias("f"), F.sum(F.size("bid")).alias("points")).select(
+    # Rows are sorted for this, so they leave their arrays behind.
+    narrow = stored.select(*KEY, "path", "seg", "part", F.get("bid", F.lit(0)).alias("step"), F.size("bid").alias("size"))
+    return narrow.groupBy(*KEY).agg(F.min_by("step", F.struct("path", "seg", "part")).alias("f"), F.sum("size").alias("points")).select(
         *KEY, *[F.col(f"f.{name}").alias(f"first_{name}") for name in POINT], "points")
 
 

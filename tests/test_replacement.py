@@ -86,3 +86,16 @@ def test_vacuum_removes_staged_files_that_no_version_names(spark, table):
     assert {c for c, _, _ in files(table)} <= {name[2:] for name in os.listdir(f"{table.path}/data")} and len(os.listdir(f"{table.path}/data")) == 2
     table.replace_groups(batch(spark, ("b", 4, 0, 0, "5")), ["id"], "feed")
     assert table.vacuum(1) == 1 and held(table) == [("a", 0, 0, "4"), ("b", 0, 0, "5")]
+
+
+def test_lines_of_bid_files_move_once_and_narrow(spark):
+    """One exchange, of lines: no array is made before it and no column that others tell."""
+    from gridspark.sources import bid_stack
+    from test_plans import physical_plan
+
+    lines = spark.createDataFrame([("landed/spot_bid_curves.csv", 0, 1, "20240401,1,5,10,20,1")], "path string, seg long, line_no long, line string")
+    plan = physical_plan(bid_stack.segment_rows(bid_stack.parse(lines))).splitlines()
+    at = [i for i, line in enumerate(plan) if "Exchange" in line]
+    assert len(at) == 1 and not any("collect_list" in line for line in plan[at[0]:])
+    moved = next(line for line in plan[at[0] + 1:] if "Project" in line)
+    assert not any(f"{name}#" in moved.split("Project", 1)[1] for name in ("id", "feed", "part"))
